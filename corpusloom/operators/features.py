@@ -153,6 +153,9 @@ def style_features(
     def has(sentence: Column, test) -> Column:
         return F.exists(sentence, test)
 
+    def has_pos(pos: str):
+        return lambda tok: tok["pos"] == pos
+
     def measured(sents: Column, toks: Column, words: Column, lemmas: Column, depths: Column) -> Column:
         n = F.size(words)
         n_sents = F.greatest(F.size(sents), F.lit(1))
@@ -163,7 +166,7 @@ def style_features(
         hedge, marker = F.col("_hedges"), F.col("_markers")
         letters = total(F.transform(words, lambda tok: F.length(tok["token"])))
         share = {
-            f"pct_{p.lower()}": ratio(count_if(words, lambda tok, p=p: tok["pos"] == p), n)
+            f"pct_{p.lower()}": ratio(count_if(words, has_pos(p)), n)
             for p in ("NOUN", "VERB", "ADJ", "ADV", "PRON")
         }
         values = {
