@@ -32,23 +32,38 @@ def word_sentences(text: Column, max_sentence: int = MAX_SENTENCE) -> Column:
     return F.filter(F.flatten(F.transform(words, lambda ws: pieces(ws, max_sentence))), lambda ws: F.size(ws) > 0)
 
 
+def _ends(low: Column, ending: str, at_least: int = 0) -> Column:
+    test = F.endswith(low, F.lit(ending))
+    return test & (F.length(low) >= at_least) if at_least else test
+
+
 def _pos(word: Column, low: Column, index: Column) -> Column:
-    return (
-        F.when(word.rlike(r"^\p{N}+$"), "NUM")
-        .when(word.rlike(r"^\p{P}$"), "PUNCT")
-        .when(~word.rlike(r"^[\p{L}\p{N}]"), "SYM")
-        .when(low.isin(vocab.ADPOSITIONS), "ADP")
+    """Part of speech from the lexicon, the case of the first letter, and the ending."""
+    closed = vocab.ADPOSITIONS + vocab.DETERMINERS + vocab.PRONOUNS + vocab.AUXILIARIES + vocab.CONJUNCTIONS
+    verbs = vocab.verb_forms()
+    listed = (
+        F.when(low.isin(vocab.ADPOSITIONS), "ADP")
         .when(low.isin(vocab.DETERMINERS), "DET")
         .when(low.isin(vocab.PRONOUNS), "PRON")
         .when(low.isin(vocab.AUXILIARIES), "AUX")
         .when(low.isin(vocab.CONJUNCTIONS), "CCONJ")
-        .when(low.isin(vocab.verb_forms()), "VERB")
-        .when((index > 0) & word.rlike(r"^\p{Lu}"), "PROPN")
-        .when(low.rlike(r"^...*(ing|ed)$"), "VERB")
-        .when(low.rlike(r"^..*ly$"), "ADV")
-        .when(low.rlike(r"^..*(ful|less|able|ous)$"), "ADJ")
+        .otherwise("VERB")
+    )
+    guessed = (
+        F.when((index > 0) & (word != low) & word.rlike(r"^\p{Lu}"), "PROPN")
+        .when(_ends(low, "ing", 5) | _ends(low, "ed", 4), "VERB")
+        .when(_ends(low, "ly", 3), "ADV")
+        .when(_ends(low, "ful", 4) | _ends(low, "less", 5) | _ends(low, "able", 5) | _ends(low, "ous", 4), "ADJ")
         .otherwise("NOUN")
     )
+    worded = F.when(low.isin(closed + verbs), listed).otherwise(guessed)
+    return (
+        F.when(word.rlike(r"^\p{L}"), worded)
+        .when(word.rlike(r"^\p{N}+$"), "NUM")
+        .when(word.rlike(r"^\p{P}$"), "PUNCT")
+        .when(~word.rlike(r"^\p{N}"), "SYM")
+        .otherwise(worded)
+    )
 
 
 def _lemma(low: Column, pos: Column) -> Column:
@@ -64,43 +79,40 @@ def _lemma(low: Column, pos: Column) -> Column:
             .otherwise(low)
         )
 
-    noun = (
-        F.when(low.rlike("...ies$"), F.regexp_replace(low, "ies$", "y"))
-        .when(low.rlike("(ss|us|is)$"), low)
-        .when(low.rlike("...s$"), F.regexp_replace(low, "s$", ""))
-        .otherwise(low)
-    )
+    noun = F.when(
+        _ends(low, "s", 4),
+        F.when(_ends(low, "ies", 6), F.regexp_replace(low, "ies$", "y"))
+        .when(_ends(low, "ss") | _ends(low, "us") | _ends(low, "is"), low)
+        .otherwise(F.regexp_replace(low, "s$", "")),
+    ).otherwise(low)
     return (
         F.when(pos == "NOUN", noun)
-        .when(pos == "VERB", verb(F.regexp_replace(low, "(ing|ed|es|s)$", "")))
+        .when(pos == "VERB", let(F.regexp_replace(low, "(ing|ed|es|s)$", ""), verb))
         .when((pos == "AUX") & low.isin(vocab.BE_FORMS), "be")
         .otherwise(low)
     )
 
 
+# The fine tag of each part of speech that needs no closer look.
+_PLAIN_TAGS = {
+    "PROPN": "NNP", "PUNCT": ".", "ADP": "IN", "DET": "DT", "PRON": "PRP", "AUX": "MD", "CCONJ": "CC", "NUM": "CD",
+    "ADV": "RB", "ADJ": "JJ", "SYM": "SYM",
+}
+
+
 def _tag(low: Column, pos: Column, after_be: Column) -> Column:
-    return (
-        F.when(
-            pos == "VERB",
-            F.when(low.isin(vocab.BASE_VERBS), "VB")
-            .when(low.rlike("ing$"), "VBG")
-            .when(low.rlike("ed$"), F.when(after_be, "VBN").otherwise("VBD"))
-            .when(low.rlike("s$"), "VBZ")
-            .otherwise("VBD"),
-        )
-        .when(pos == "NOUN", F.when(low.rlike("[^su]s$"), "NNS").otherwise("NN"))
-        .when(pos == "PROPN", "NNP")
-        .when(pos == "PUNCT", ".")
-        .when(pos == "ADP", "IN")
-        .when(pos == "DET", "DT")
-        .when(pos == "PRON", "PRP")
-        .when(pos == "AUX", "MD")
-        .when(pos == "CCONJ", "CC")
-        .when(pos == "NUM", "CD")
-        .when(pos == "ADV", "RB")
-        .when(pos == "ADJ", "JJ")
-        .otherwise("SYM")
+    plural = _ends(low, "s", 2) & ~_ends(low, "ss") & ~_ends(low, "us")
+    tag = F.when(pos == "NOUN", F.when(plural, "NNS").otherwise("NN")).when(
+        pos == "VERB",
+        F.when(low.isin(vocab.BASE_VERBS), "VB")
+        .when(_ends(low, "ing"), "VBG")
+        .when(_ends(low, "ed"), F.when(after_be, "VBN").otherwise("VBD"))
+        .when(_ends(low, "s"), "VBZ")
+        .otherwise("VBD"),
     )
+    for plain, fine in _PLAIN_TAGS.items():
+        tag = tag.when(pos == plain, fine)
+    return tag
 
 
 def _dep(pos: Column, before: Column, after: Column, is_root: Column) -> Column:
@@ -176,35 +188,30 @@ def annotate(messages: DataFrame, text: str = "raw_text", max_chars: int | None
     return split.withColumn("sentences", F.transform("_words", lambda ws, i: _tokens(ws, i))).drop("_words")
 
 
-def with_entities(sentences: Column, types: list[str]) -> Column:
-    """Keep only entities of the given types."""
-
-    def keep(token: Column) -> Column:
-        wanted = token["ent_type"].isin(types)
-        return token.withField("ent_pos", F.when(wanted, token["ent_pos"])).withField(
-            "ent_type", F.when(wanted, token["ent_type"])
-        )
+def flat_token(tok: Column, i: Column, types: list[str] | None = None, *more: Column) -> Column:
+    """A token of the long form, from a token of a sentence and its position in the message.
 
-    return F.transform(sentences, lambda s: F.transform(s, keep))
+    Only entities of the given types are kept.
+    """
+    ent_pos = tok["ent_pos"] if types is None else F.when(tok["ent_type"].isin(types), tok["ent_pos"])
+    return F.struct(
+        i.alias("token_idx"),
+        tok["sent_idx"].alias("sent_idx"),
+        tok["token"].alias("token"),
+        tok["pos"].alias("pos"),
+        tok["tag"].alias("tag_"),
+        tok["dep"].alias("dep"),
+        tok["lemma"].alias("lemma"),
+        (i + tok["head_off"]).alias("head_idx"),
+        ent_pos.alias("ent_pos"),
+        ent_pos.isNotNull().cast("int").alias("is_ent"),
+        *more,
+    )
 
 
-def flat_tokens(sentences: Column) -> Column:
+def flat_tokens(sentences: Column, types: list[str] | None = None) -> Column:
     """All tokens of a message in order, with position, head position and entity flag."""
-    return F.transform(
-        F.flatten(sentences),
-        lambda tok, i: F.struct(
-            i.alias("token_idx"),
-            tok["sent_idx"].alias("sent_idx"),
-            tok["token"].alias("token"),
-            tok["pos"].alias("pos"),
-            tok["tag"].alias("tag_"),
-            tok["dep"].alias("dep"),
-            tok["lemma"].alias("lemma"),
-            (i + tok["head_off"]).alias("head_idx"),
-            tok["ent_pos"].alias("ent_pos"),
-            tok["ent_pos"].isNotNull().cast("int").alias("is_ent"),
-        ),
-    )
+    return F.transform(F.flatten(sentences), lambda tok, i: flat_token(tok, i, types))
 
 
 def explode_tokens(messages: DataFrame, tokens: str = "tokens", key: str = "message_id") -> DataFrame:

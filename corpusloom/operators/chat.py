@@ -8,6 +8,7 @@ from pyspark.sql import window as w
 
 from corpusloom.functions import text as t
 from corpusloom.functions import vocab
+from corpusloom.functions.arrays import explode_rows
 from corpusloom.operators.ordering import salted_join
 
 TURN_RANGE = 1024
@@ -49,7 +50,7 @@ def history(
     described, not copied into every row, for copies would grow with the square of a conversation.
     Turns are cut into ranges: windows run within a range, and one row per range carries over.
     """
-    ranged = turns.withColumn("_range", F.floor(F.col(turn) / width))
+    ranged = turns.withColumn("_range", F.col(turn) - F.pmod(F.col(turn), F.lit(width)))
     keys = [conversation, "_range"]
     last = F.struct(F.col(role).alias("role"), F.col(text).alias("text"))
     sums = ranged.groupBy(*keys).agg(
@@ -90,5 +91,5 @@ def grounded_prompts(questions: DataFrame, knowledge: Column, question: str, tem
 def credential_candidates(df: DataFrame, key: str, text: str, pattern: str) -> DataFrame:
     """One row per credential-like piece of text, with its class."""
     found = F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))
-    rows = df.select(key, F.posexplode(found).alias("candidate_no", "candidate"))
+    rows = explode_rows(df, [key], found, "candidate", "candidate_no")
     return rows.withColumn("class", t.credential_class(F.col("candidate")))

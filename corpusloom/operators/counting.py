@@ -16,9 +16,8 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 def class_distribution(df: DataFrame, label: str) -> DataFrame:
     """Rows per class and their share in percent."""
-    counts = value_counts(df, label)
-    rows = counts.agg(F.sum("n").alias("rows")).scalar()
-    return counts.withColumn("percent", F.col("n") * 100.0 / rows)
+    rows = F.sum("n").over(w.Window.partitionBy())
+    return value_counts(df, label).withColumn("percent", F.col("n") * 100.0 / rows)
 
 
 def group_means(df: DataFrame, group: str, columns: list[str], digits: int = 3) -> DataFrame:

@@ -21,7 +21,7 @@ def positions(
 ) -> DataFrame:
     """Add the one-based position by the integer column ``order``, which is unique in its group."""
     group = group or []
-    ranged = df.withColumn("_range", F.floor(F.col(order) / width))
+    ranged = df.withColumn("_range", F.col(order) - F.pmod(F.col(order), F.lit(width)))
     keys = group + ["_range"]
     sizes = ranged.groupBy(*keys).agg(F.count("*").alias("_n"))
     earlier = (
@@ -49,10 +49,10 @@ def neighbours(
     copied into the neighbouring range, so that no row needs another range, and the copies are
     dropped afterwards.
     """
-    own = F.floor(F.col(order) / width)
     place = F.pmod(F.col(order), F.lit(width))
+    own = F.col(order) - place
     ranges = F.filter(
-        F.array(own, F.when(place == 0, own - 1), F.when(place == width - 1, own + 1)),
+        F.array(own, F.when(place == 0, own - width), F.when(place == width - 1, own + width)),
         lambda r: r.isNotNull() & (r >= 0),
     )
     copies = df.select("*", own.alias("_own"), F.explode(ranges).alias("_range"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import window as w
 
 from corpusloom.lookups import bounded_map
 from corpusloom.operators.ordering import with_passed_cuts
@@ -35,9 +36,8 @@ def stratified_folds(df: DataFrame, label: str, key: str, k: int = 5, seed: int
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """(label, n, weight) with weight = rows / (classes * rows of the class)."""
     counts = df.groupBy(label).agg(F.count("*").alias("n"))
-    totals = counts.agg(F.sum("n").alias("rows"), F.count("*").alias("classes"))
-    weight = totals.select((F.col("rows") / F.col("classes")).alias("x")).scalar() / F.col("n")
-    return counts.withColumn("weight", weight)
+    every = w.Window.partitionBy()
+    return counts.withColumn("weight", F.sum("n").over(every) / (F.count("*").over(every) * F.col("n")))
 
 
 def with_weights(df: DataFrame, label: str, power: int = 1, name: str = "weight") -> DataFrame:

@@ -4,7 +4,7 @@ A tag depends on the tag before it, but only through three states: outside, in a
 action. Every token is therefore reduced to three outcomes, one per state before it, packed into
 one integer. Tokens are cut into pieces; a first fold finds how each piece maps the state it is
 entered with to the state it is left with, a short fold over the pieces gives every piece its
-entry state, and a last fold writes the tags. The work is linear in the length of the message.
+entry state, and a last fold writes the tags.
 """
 
 from __future__ import annotations
@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import vocab
 from corpusloom.functions.arrays import let, pieces
-from corpusloom.operators.annotate import annotate, explode_tokens, flat_tokens, with_entities
+from corpusloom.operators.annotate import annotate, explode_tokens, flat_token
 
-PIECE = 256
+PIECE = 20
 OUTSIDE, LOC_START, LOC_INNER, ACT_START, ACT_INNER = 1, 2, 3, 4, 5
 
 
@@ -32,14 +32,16 @@ class SpanVocabulary:
     entity_types: list[str] = field(default_factory=lambda: list(vocab.ENTITY_TYPES))
 
 
-def _outcomes(token: Column, prev_lemma: Column, words: SpanVocabulary) -> Column:
+def _outcomes(token: Column, prev_lemma: Column, words: SpanVocabulary, tag: str) -> Column:
     """Outcome codes for the states outside, location and action in bits 0-2, 3-5 and 6-8."""
     pos, dep, lemma = token["pos"], token["dep"], token["lemma"]
-    entity = F.when(token["ent_pos"] == 0, LOC_START).when(token["ent_pos"] > 0, LOC_INNER)
+    entity = F.when(token["ent_pos"].isNotNull(), F.when(token["ent_pos"] == 0, LOC_START).otherwise(LOC_INNER))
+    if tag == "tag":
+        entity = F.when(token["ent_type"].isin(words.entity_types), entity)
     place = lemma.isin(words.places)
     place_start = place & pos.isin("NOUN", "PROPN") & dep.isin(vocab.PLACE_WORD_DEPS)
     action_start = lemma.isin(words.actions) | (
-        (pos == "VERB") & (dep == "ROOT") & token["tag_"].isin(vocab.FINITE_TAGS)
+        (pos == "VERB") & (dep == "ROOT") & token[tag].isin(vocab.FINITE_TAGS)
     )
     place_inner = (
         dep.isin(vocab.PLACE_INNER_DEPS) | (pos == "NUM") | place | token["token"].isin(vocab.PLACE_JOINERS)
@@ -74,17 +76,23 @@ def _leaving(piece: Column) -> Column:
     )
 
 
-def _fold(outcomes: Column, start: Column) -> Column:
-    """The code after each outcome, beginning from the code ``start``."""
-    empty = F.array().cast("array<int>")
-    return F.aggregate(
-        outcomes,
-        F.struct(start.alias("code"), empty.alias("out")),
-        lambda acc, f: let(
-            _next(f, acc["code"]),
-            lambda c: F.struct(c.alias("code"), F.concat(acc["out"], F.array(c)).alias("out")),
+def _codes(piece: Column, start: Column) -> Column:
+    """The code after each outcome, beginning from the code ``start``.
+
+    The fold packs three bits per token into one bigint, so that no step copies an array.
+    """
+    packed = F.aggregate(
+        piece,
+        start.cast("bigint"),
+        lambda acc, f: acc * 8 + _next(f, acc.bitwiseAND(F.lit(7)).cast("int")),
+    )
+    last = F.size(piece) - 1
+    return let(
+        packed,
+        lambda p: F.transform(
+            piece,
+            lambda _, j: F.call_function("shiftright", p, (last - j) * 3).bitwiseAND(F.lit(7)).cast("int"),
         ),
-        lambda acc: acc["out"],
     )
 
 
@@ -101,18 +109,22 @@ def _entries(leaving: Column) -> Column:
     )
 
 
-def bio_tags(tokens: Column, words: SpanVocabulary) -> Column:
-    """One span label per token, from an array of token structs."""
+def bio_tags(tokens: Column, words: SpanVocabulary, tag: str = "tag_") -> Column:
+    """One span label per token, from an array of token structs.
+
+    ``tag`` names the fine tag: ``tag_`` in the long form, ``tag`` in sentences, whose entities
+    are still of all types.
+    """
     labels = F.array(*[F.lit(label) for label in vocab.SPAN_LABELS])
 
     def outcomes(toks: Column) -> Column:
         return F.transform(
             toks,
-            lambda tok, i: _outcomes(tok, F.when(i > 0, F.get(toks, i - 1)["lemma"]).otherwise(""), words),
+            lambda tok, i: _outcomes(tok, F.when(i > 0, F.get(toks, i - 1)["lemma"]).otherwise(""), words, tag),
         )
 
     def codes(cut: Column) -> Column:
-        return F.flatten(F.zip_with(cut, _entries(F.transform(cut, _leaving)), _fold))
+        return F.flatten(F.zip_with(cut, _entries(F.transform(cut, _leaving)), _codes))
 
     cut = let(tokens, lambda toks: let(outcomes(toks), lambda out: pieces(out, PIECE)))
     return F.transform(let(cut, codes), lambda c: F.element_at(labels, c))
@@ -136,9 +148,16 @@ def tag_corpus(
 ) -> DataFrame:
     """Annotate and tag every message; adds ``tokens`` with a ``bio_tag`` in each token."""
     words = words or SpanVocabulary()
-    annotated = annotate(messages, text, max_chars)
-    flat = flat_tokens(with_entities(F.col("sentences"), words.entity_types))
-    return add_bio_tags(annotated.withColumn("tokens", flat).drop("sentences"), words)
+    tagged = let(
+        F.flatten("sentences"),
+        lambda toks: let(
+            bio_tags(toks, words, "tag"),
+            lambda tags: F.transform(
+                toks, lambda tok, i: flat_token(tok, i, words.entity_types, F.get(tags, i).alias("bio_tag"))
+            ),
+        ),
+    )
+    return annotate(messages, text, max_chars).withColumn("tokens", tagged).drop("sentences")
 
 
 def bio_tokens(tagged: DataFrame, key: str = "message_id") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import text as t
 from corpusloom.functions import vocab
+from corpusloom.functions.arrays import explode_rows
 from corpusloom.operators.split import label_codes
 
 REQUEST_SCHEMA = "tickets array<struct<type:string,subject:string,body:string,text:string>>"
@@ -31,8 +32,7 @@ def scoring_text(tickets: DataFrame, kind: str = "type", subject: str = "subject
 
 def parse_requests(requests: DataFrame, keys: list[str], body: Column) -> DataFrame:
     """One row per ticket of a JSON batch request."""
-    parsed = requests.select(*keys, F.from_json(body, REQUEST_SCHEMA).alias("_r"))
-    rows = parsed.select(*keys, F.posexplode("_r.tickets").alias("ticket_no", "_t"))
+    rows = explode_rows(requests, keys, F.from_json(body, REQUEST_SCHEMA)["tickets"], "_t", "ticket_no")
     return rows.select(*keys, "ticket_no", "_t.*")
 
 

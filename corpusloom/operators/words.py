@@ -7,18 +7,19 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import text as t
 from corpusloom.functions import vocab
+from corpusloom.functions.arrays import explode_rows
 from corpusloom.functions.stemming import add_stems
 
 
 def word_counts(df: DataFrame, text: str) -> DataFrame:
     """(word, n) over the white-space separated, lower-cased words of all texts."""
-    return df.select(F.explode(t.split_words(F.col(text))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    return explode_rows(df, [], t.split_words(F.col(text)), "word").groupBy("word").agg(F.count("*").alias("n"))
 
 
 def letter_word_counts(df: DataFrame, text: str) -> DataFrame:
     """(word, n) over the lower-cased runs of letters of all texts."""
     found = F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+"), F.lit(0))
-    return df.select(F.explode(found).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    return explode_rows(df, [], found, "word").groupBy("word").agg(F.count("*").alias("n"))
 
 
 def suffix_key(word: Column) -> Column:

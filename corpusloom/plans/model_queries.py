@@ -1,0 +1,277 @@
+"""Queries that evaluate labels, cluster, and fit and score models."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from corpusloom.functions import vocab
+from corpusloom.operators import clustering as cl
+from corpusloom.operators import counting, metrics, models, split, tagging
+from corpusloom.operators import features as ft
+from corpusloom.operators import tickets as tk
+from corpusloom.plans.registry import query, responses, spread, table, tickets
+from corpusloom.plans.token_queries import TEST_FEATURES, TEST_SPANS, styled
+from corpusloom.session import materialise
+
+# Sizes of the fits in the registered queries; the defaults of the functions are 300 and 200.
+TREES = 40
+ROUNDS = 10
+
+
+# ---- evaluation --------------------------------------------------------------------------------
+
+_REPORT_SQL = """
+  p AS (SELECT quality AS y, toxic AS p, count(*) AS n FROM labels GROUP BY ALL),
+  r AS (SELECT class, sum(n) FILTER (y = class) AS support, coalesce(sum(n) FILTER (p.p = class), 0) AS predicted,
+               coalesce(sum(n) FILTER (y = class AND p.p = class), 0) AS hits FROM p, (VALUES (0), (1)) c(class) GROUP BY class),
+  s AS (SELECT class, hits, support, coalesce(hits / nullif(predicted, 0), 0) AS precision, coalesce(hits / nullif(support, 0), 0) AS recall,
+               coalesce(2 * hits / nullif(predicted + support, 0), 0) AS f1 FROM r)"""
+
+
+@query("""
+  SELECT round(avg(CAST(quality = toxic AS INT)), 9) AS accuracy,
+         round(coalesce(count_if(quality = 1 AND toxic = 1) / nullif(count_if(toxic = 1), 0), 0), 9) AS precision,
+         round(coalesce(count_if(quality = 1 AND toxic = 1) / nullif(count_if(quality = 1), 0), 0), 9) AS recall,
+         round(coalesce(2 * count_if(quality = 1 AND toxic = 1) / nullif(count_if(toxic = 1) + count_if(quality = 1), 0), 0), 9) AS f1 FROM labels""")
+def binary_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    scores = metrics.binary_metrics(table(spark, folder, "labels"), "quality", "toxic")
+    return scores.select(*[F.round(c, 9).alias(c) for c in scores.columns])
+
+
+@query(f"""WITH {_REPORT_SQL} SELECT class, round(precision, 9) AS precision, round(recall, 9) AS recall, round(f1, 9) AS f1,
+                  CAST(support AS BIGINT) AS support FROM s""")
+def class_report(spark: SparkSession, folder: str) -> DataFrame:
+    report = metrics.class_report(table(spark, folder, "labels"), "quality", "toxic")
+    return report.withColumns({c: F.round(c, 9) for c in ("precision", "recall", "f1")})
+
+
+@query("""
+  SELECT quality AS label, count_if(toxic = 0) AS p0, count_if(toxic = 1) AS p1 FROM labels GROUP BY quality""")
+def confusion_matrix(spark: SparkSession, folder: str) -> DataFrame:
+    matrix = metrics.confusion_matrix(table(spark, folder, "labels"), "quality", "toxic", [0, 1])
+    return matrix.withColumnsRenamed({"quality": "label", "0": "p0", "1": "p1"})
+
+
+@query(f"""WITH {_REPORT_SQL} SELECT round(sum(hits) / sum(support), 9) AS accuracy, round(avg(f1), 9) AS f1_macro,
+                  round(sum(f1 * support) / sum(support), 9) AS f1_weighted FROM s""")
+def f1_averages(spark: SparkSession, folder: str) -> DataFrame:
+    scores = metrics.f1_averages(table(spark, folder, "labels"), "quality", "toxic")
+    return scores.select(*[F.round(c, 9).alias(c) for c in scores.columns])
+
+
+@query("""
+  WITH c AS (SELECT lang, quality, count(*) AS n FROM documents JOIN labels USING (doc_id) GROUP BY ALL),
+  s AS (SELECT (SELECT sum(n * (n - 1) / 2) FROM c) AS same, (SELECT sum(x * (x - 1) / 2) FROM (SELECT sum(n) AS x FROM c GROUP BY lang)) AS a,
+               (SELECT sum(x * (x - 1) / 2) FROM (SELECT sum(n) AS x FROM c GROUP BY quality)) AS b,
+               (SELECT sum(n) * (sum(n) - 1) / 2 FROM c) AS t)
+  SELECT round((same - a * b / t) / ((a + b) / 2 - a * b / t), 9) AS ari FROM s""")
+def adjusted_rand_index(spark: SparkSession, folder: str) -> DataFrame:
+    labelled = table(spark, folder, "documents").join(table(spark, folder, "labels"), "doc_id")
+    return metrics.adjusted_rand_index(labelled, "lang", "quality").select(F.round("ari", 9).alias("ari"))
+
+
+@query("""
+  WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
+  d AS (SELECT x.vec_id, x.label, y.label AS other, sum(list_distance(x.v, y.v) ** 2) AS s, count(*) AS n
+        FROM e x, e y WHERE x.vec_id <> y.vec_id GROUP BY ALL),
+  s AS (SELECT vec_id, label, max(s / n) FILTER (label = other) AS a, min(s / n) FILTER (label <> other) AS b FROM d GROUP BY ALL)
+  SELECT label, count(*) AS n, round(avg((b - a) / greatest(a, b)), 6) AS silhouette FROM s GROUP BY label""")
+def silhouette(spark: SparkSession, folder: str) -> DataFrame:
+    """Squared-Euclidean silhouette of the given labels, by label."""
+    rows = cl.silhouette_rows(spread(table(spark, folder, "embeddings")), "embedding", "label")
+    return rows.groupBy("label").agg(F.count("*").alias("n"), F.round(F.avg("silhouette"), 6).alias("silhouette"))
+
+
+# ---- clustering --------------------------------------------------------------------------------
+
+def scaled_styles(spark: SparkSession, folder: str) -> DataFrame:
+    """Standardised style features of every reply, written once."""
+    raw = materialise(styled(spark, folder).select("response_id", "source_type", *ft.STYLE_FEATURES), "styles")
+    return cl.assemble(cl.standardise(raw, ft.STYLE_FEATURES), ft.STYLE_FEATURES).select(
+        "response_id", "source_type", "features"
+    )
+
+
+@query()
+def kmeans_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    data = cl.vectors(table(spark, folder, "embeddings"), "embedding")
+    return cl.kmeans(data, k=2, starts=10).transform(data).select("vec_id", "cluster")
+
+
+@query()
+def elbow_table(spark: SparkSession, folder: str) -> DataFrame:
+    data = materialise(scaled_styles(spark, folder), "scaled")
+    return cl.elbow(data, range(2, 8), starts=2).withColumn("inertia", F.round("inertia", 4))
+
+
+@query()
+def hierarchical_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    data = cl.vectors(table(spark, folder, "embeddings"), "embedding")
+    return cl.hierarchical(data, k=2).transform(data).select("vec_id", "cluster")
+
+
+@query()
+def pca_projection(spark: SparkSession, folder: str) -> DataFrame:
+    return cl.pca(scaled_styles(spark, folder)).select("response_id", "source_type", "pc1", "pc2")
+
+
+@query()
+def cluster_labels(spark: SparkSession, folder: str) -> DataFrame:
+    """Both clusterings of the replies against the true source, as a cross-tabulation."""
+    data = materialise(scaled_styles(spark, folder), "scaled")
+    labelled = cl.cluster_labels(data, ["response_id", "source_type"], starts=3)
+    return counting.crosstab(labelled, "kmeans_cluster", "source_type", ["AI", "human"])
+
+
+@query()
+def clustering_summary(spark: SparkSession, folder: str) -> DataFrame:
+    data = materialise(scaled_styles(spark, folder), "scaled")
+    labelled = materialise(cl.cluster_labels(data, ["response_id", "source_type"], starts=3), "clusters")
+    return cl.clustering_summary(labelled, "source_type", cl.elbow(data, range(2, 5), starts=2))
+
+
+# ---- style classifiers -------------------------------------------------------------------------
+
+def style_matrix(spark: SparkSession, folder: str) -> DataFrame:
+    """Replies with features, label (1 is AI), split and fold, written once."""
+    rows = styled(spark, folder).withColumn("label", (F.col("source_type") == "AI").cast("double"))
+    held = materialise(rows.select("response_id", "label", *ft.STYLE_FEATURES), "style-matrix")
+    parted = split.stratified_split(held, "label", "response_id", {"train": 75, "test": 25})
+    folded = split.stratified_folds(parted, "label", "response_id", k=5)
+    kept = cl.assemble(folded, ft.STYLE_FEATURES).select("response_id", "features", "label", "split", "fold")
+    return materialise(kept, "style-split")
+
+
+def _style_estimators(rounds: int) -> dict[str, object]:
+    return {
+        "DecisionTree": models.decision_tree(depth=5, leaf=4, weight=None),
+        "AdaBoost": models.AdaBoost(rounds=rounds, depth=2, rate=0.6, balanced=False),
+        "GradientBoosting": models.gradient_boosting(rounds=rounds),
+    }
+
+
+def _train_test(data: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return data.where(F.col("split") == "train"), data.where(F.col("split") == "test")
+
+
+@query()
+def style_classification(spark: SparkSession, folder: str) -> DataFrame:
+    """Accuracy, precision, recall and F1 of three classifiers on the held-out quarter."""
+    train, test = _train_test(style_matrix(spark, folder))
+    scored = [
+        models.fit_and_score(name, est, train, test, ["response_id"])[1] for name, est in _style_estimators(ROUNDS).items()
+    ]
+    both = scored[0].unionByName(scored[1]).unionByName(scored[2])
+    return metrics.binary_metrics(both, "label", "prediction", 1.0, by=["model"])
+
+
+@query()
+def style_cross_validation(spark: SparkSession, folder: str) -> DataFrame:
+    """Mean and deviation of F1 over five folds."""
+    data = style_matrix(spark, folder)
+    est = models.decision_tree(depth=5, leaf=4, weight=None)
+    return counting.fold_statistics(models.cross_validate("DecisionTree", est, data, positive=1.0), "model", "score")
+
+
+@query()
+def style_importances(spark: SparkSession, folder: str) -> DataFrame:
+    """Feature importances of the boosted trees, greatest first, top eight."""
+    train, _ = _train_test(style_matrix(spark, folder))
+    model = models.gradient_boosting(rounds=ROUNDS).fit(train)
+    rows = models.importance_rows(spark, {"GradientBoosting": model}, ft.STYLE_FEATURES)
+    return rows.orderBy(F.desc("importance"), "feature").limit(8)
+
+
+# ---- token classifiers -------------------------------------------------------------------------
+
+def token_matrix(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of all replies with features, label, doubly balanced weight and split, written once."""
+    replies = responses(spark, folder).select(F.col("response_id").alias("message_id"), F.col("response_text").alias("raw_text"))
+    corpus = materialise(tagging.tag_corpus(spread(replies), TEST_SPANS).select("message_id", "tokens"), "tagged")
+    encoders = ft.encoder_columns(ft.fit_encoders(corpus))
+    rows = ft.token_features(corpus, encoders, TEST_FEATURES).withColumn("label", F.col("bio_enc").cast("double"))
+    keyed = rows.withColumn("token_id", F.concat_ws("#", "message_id", "token_idx"))
+    held = materialise(keyed, "token-matrix")
+    parted = split.stratified_split(held, "label", "token_id", {"train": 75, "test": 25})
+    weighted = split.with_weights(parted, "label", power=2)
+    kept = cl.assemble(weighted, ft.TOKEN_FEATURES).select("token_id", "features", "label", "weight", "split")
+    return materialise(kept, "token-split")
+
+
+def _token_report(scored: DataFrame) -> DataFrame:
+    report = metrics.class_report(scored, "label", "prediction", by=["model"])
+    average = metrics.f1_averages(scored, "label", "prediction", by=["model"])
+    return report.join(average.select("model", "f1_macro"), "model")
+
+
+@query()
+def decision_tree_report(spark: SparkSession, folder: str) -> DataFrame:
+    train, test = _train_test(token_matrix(spark, folder))
+    _, scored = models.fit_and_score("Decision Tree", models.decision_tree(), train, test, ["token_id"])
+    return _token_report(scored)
+
+
+@query()
+def random_forest_report(spark: SparkSession, folder: str) -> DataFrame:
+    train, test = _train_test(token_matrix(spark, folder))
+    _, scored = models.fit_and_score("Random Forest", models.random_forest(trees=TREES), train, test, ["token_id"])
+    return _token_report(scored)
+
+
+@query()
+def adaboost_report(spark: SparkSession, folder: str) -> DataFrame:
+    train, test = _train_test(token_matrix(spark, folder))
+    _, scored = models.fit_and_score("AdaBoost", models.AdaBoost(rounds=ROUNDS), train, test, ["token_id"])
+    return _token_report(scored)
+
+
+@query()
+def importance_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Importances of the token features by model, missing ones 0, with their mean, greatest first."""
+    train, _ = _train_test(token_matrix(spark, folder))
+    fitted = {
+        "AdaBoost": models.AdaBoost(rounds=3).fit(train),
+        "Decision Tree": models.decision_tree().fit(train),
+        "Random Forest": models.random_forest(trees=10).fit(train),
+    }
+    rows = models.importance_rows(spark, fitted, ft.TOKEN_FEATURES)
+    return counting.wide_means(rows, "feature", "model", "importance", list(fitted))
+
+
+@query()
+def token_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Labels of the chosen model for every token, decoded; an unknown name falls back to the first."""
+    data = token_matrix(spark, folder)
+    fitted = {"decision_tree": models.decision_tree().fit(_train_test(data)[0])}
+    model = models.choose_model(fitted, "random_forest")
+    return model.transform(data).select("token_id", F.col("prediction").cast("int").alias("code"))
+
+
+# ---- ticket classifier -------------------------------------------------------------------------
+
+def ticket_split(spark: SparkSession, folder: str) -> DataFrame:
+    rows = materialise(
+        tk.training_tickets(tickets(spark, folder)).select("doc_id", "text", "label", "priority"), "tickets"
+    )
+    return split.stratified_split(rows, "label", "doc_id", {"train": 80, "val": 10, "test": 10})
+
+
+@query()
+def priority_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Per-class results of the chosen classifier on the test rows."""
+    data = ticket_split(spark, folder)
+    model, _ = models.fit_priority_model(data, budgets=(5, 10, 20))
+    scored = model.transform(data.where(F.col("split") == "test")).withColumn("prediction", F.col("prediction").cast("int"))
+    report = metrics.class_report(scored, "label", "prediction")
+    names = F.array(*[F.lit(p) for p in vocab.PRIORITY_CODES])
+    return report.select(F.get(names, F.col("class")).alias("priority"), "precision", "recall", "f1", "support")
+
+
+@query()
+def ticket_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Priority, confidence and probabilities of every ticket in every language."""
+    model, _ = models.fit_priority_model(ticket_split(spark, folder), budgets=(5,))
+    raw = tickets(spark, folder).withColumn("text", F.lit(None).cast("string"))
+    scored = models.score_tickets(tk.scoring_text(spread(raw)), model, ["doc_id"])
+    return scored.select("doc_id", "predicted_priority", "confidence", "probabilities.*")

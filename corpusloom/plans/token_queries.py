@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import text as t
 from corpusloom.functions import vocab
+from corpusloom.functions.arrays import explode_rows
 from corpusloom.functions.numeric import half_even
 from corpusloom.lookups import literal_map
 from corpusloom.operators import annotate as an
@@ -183,7 +184,7 @@ def token_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 def token_shapes(spark: SparkSession, folder: str) -> DataFrame:
     found = F.regexp_extract_all(F.col("text"), F.lit(an.TOKEN_PATTERN + r"|\s+"), F.lit(0))
     token = F.col("token")
-    shapes = table(spark, folder, "documents").select(F.explode(found).alias("token")).select(
+    shapes = explode_rows(table(spark, folder, "documents"), [], found, "token").select(
         t.is_capitalised(token).cast("int").alias("capitalised"), t.is_numeric(token).cast("int").alias("numeric"),
         t.is_alphabetic(token).cast("int").alias("alphabetic"), t.is_punctuation(token).cast("int").alias("punctuation"),
         t.is_space(token).cast("int").alias("space"), F.least(F.length(token), F.lit(20)).alias("length"),
