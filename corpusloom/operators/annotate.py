@@ -18,10 +18,9 @@ TOKEN_PATTERN = r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]"
 SENTENCE_BREAK = r"(?<=[.!?])\s+"
 MAX_SENTENCE = 512
 
-TOKEN_TYPE = (
-    "struct<sent_idx:int,token:string,pos:string,tag:string,dep:string,lemma:string,"
-    "head_off:int,ent_pos:int,ent_type:string>"
-)
+# Fields of a token in ``sentences`` and in the long form.
+SENTENCE_FIELDS = ["sent_idx", "token", "pos", "tag", "dep", "lemma", "head_off", "ent_pos", "ent_type"]
+LONG_FIELDS = ["token_idx", "sent_idx", "token", "pos", "tag_", "dep", "lemma", "head_idx", "ent_pos", "is_ent"]
 
 
 def word_sentences(text: Column, max_sentence: int = MAX_SENTENCE) -> Column:
@@ -131,7 +130,7 @@ def _dep(pos: Column, before: Column, after: Column, is_root: Column) -> Column:
     )
 
 
-def _tokens(words: Column, sent_idx: Column) -> Column:
+def _tokens(words: Column, sent_idx: Column, fields: list[str]) -> Column:
     """Annotated tokens of one sentence.
 
     The head is the nearest earlier verb; the first verb, or else the first token, is the root. An
@@ -153,17 +152,18 @@ def _tokens(words: Column, sent_idx: Column) -> Column:
                 before = F.when(i > 0, F.get(pos, i - 1)).otherwise("")
                 after = F.coalesce(F.get(pos, i + 1), F.lit(""))
                 after_be = F.when(i > 0, F.get(lows, i - 1).isin(vocab.BE_FORMS)).otherwise(False)
-                return F.struct(
-                    sent_idx.cast("int").alias("sent_idx"),
-                    F.get(words, i).alias("token"),
-                    p.alias("pos"),
-                    _tag(low, p, after_be).alias("tag"),
-                    _dep(p, before, after, i == root).alias("dep"),
-                    _lemma(low, p).alias("lemma"),
-                    (head - i).alias("head_off"),
-                    F.when(p == "PROPN", i - start).alias("ent_pos"),
-                    F.when(p == "PROPN", kind).alias("ent_type"),
-                )
+                values = {
+                    "sent_idx": sent_idx.cast("int"),
+                    "token": F.get(words, i),
+                    "pos": p,
+                    "tag": _tag(low, p, after_be),
+                    "dep": _dep(p, before, after, i == root),
+                    "lemma": _lemma(low, p),
+                    "head_off": head - i,
+                    "ent_pos": F.when(p == "PROPN", i - start),
+                    "ent_type": F.when(p == "PROPN", kind),
+                }
+                return F.struct(*[values[name].alias(name) for name in SENTENCE_FIELDS if name in fields])
 
             return F.transform(pos, one)
 
@@ -179,39 +179,42 @@ def _tokens(words: Column, sent_idx: Column) -> Column:
     )
 
 
-def annotate(messages: DataFrame, text: str = "raw_text", max_chars: int | None = None) -> DataFrame:
-    """Add ``sentences``. ``max_chars`` keeps only the first characters; by default texts stay whole."""
+def annotate(
+    messages: DataFrame, text: str = "raw_text", max_chars: int | None = None, fields: list[str] | None = None
+) -> DataFrame:
+    """Add ``sentences``, with all token fields or only the named ones.
+
+    The optimizer cannot prune fields of structs built inside an array, so callers name what they
+    read. ``max_chars`` keeps only the first characters; by default texts stay whole.
+    """
+    fields = fields or SENTENCE_FIELDS
     source = F.coalesce(F.col(text), F.lit(""))
     if max_chars is not None:
         source = F.substring(source, 1, max_chars)
     split = messages.withColumn("_words", word_sentences(source))
-    return split.withColumn("sentences", F.transform("_words", lambda ws, i: _tokens(ws, i))).drop("_words")
+    return split.withColumn("sentences", F.transform("_words", lambda ws, i: _tokens(ws, i, fields))).drop("_words")
 
 
-def flat_token(tok: Column, i: Column, types: list[str] | None = None, *more: Column) -> Column:
-    """A token of the long form, from a token of a sentence and its position in the message.
+def flat_token(tok: Column, i: Column, fields: list[str], types: list[str] | None = None) -> list[Column]:
+    """Fields of the long form, from a token of a sentence and its position in the message.
 
     Only entities of the given types are kept.
     """
     ent_pos = tok["ent_pos"] if types is None else F.when(tok["ent_type"].isin(types), tok["ent_pos"])
-    return F.struct(
-        i.alias("token_idx"),
-        tok["sent_idx"].alias("sent_idx"),
-        tok["token"].alias("token"),
-        tok["pos"].alias("pos"),
-        tok["tag"].alias("tag_"),
-        tok["dep"].alias("dep"),
-        tok["lemma"].alias("lemma"),
-        (i + tok["head_off"]).alias("head_idx"),
-        ent_pos.alias("ent_pos"),
-        ent_pos.isNotNull().cast("int").alias("is_ent"),
-        *more,
-    )
+    values = {
+        "token_idx": lambda: i,
+        "tag_": lambda: tok["tag"],
+        "head_idx": lambda: i + tok["head_off"],
+        "ent_pos": lambda: ent_pos,
+        "is_ent": lambda: ent_pos.isNotNull().cast("int"),
+    }
+    return [values.get(name, lambda name=name: tok[name])().alias(name) for name in LONG_FIELDS if name in fields]
 
 
-def flat_tokens(sentences: Column, types: list[str] | None = None) -> Column:
+def flat_tokens(sentences: Column, types: list[str] | None = None, fields: list[str] | None = None) -> Column:
     """All tokens of a message in order, with position, head position and entity flag."""
-    return F.transform(F.flatten(sentences), lambda tok, i: flat_token(tok, i, types))
+    fields = fields or LONG_FIELDS
+    return F.transform(F.flatten(sentences), lambda tok, i: F.struct(*flat_token(tok, i, fields, types)))
 
 
 def explode_tokens(messages: DataFrame, tokens: str = "tokens", key: str = "message_id") -> DataFrame:

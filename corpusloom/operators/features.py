@@ -18,6 +18,8 @@ TOKEN_FEATURES = [
     "pos_enc", "dep_enc", "prev_pos_enc", "next_pos_enc", "prev_is_prep", "next_is_noun", "is_act_verb",
     "is_loc_word", "is_capitalized", "is_ent", "token_pos_norm", "sentence_len", "is_number",
 ]
+# Token fields the features read.
+TOKEN_FIELDS = ["token", "pos", "dep", "lemma", "is_ent"]
 STYLE_FEATURES = [
     "avg_sentence_length", "num_sentences", "num_words", "parse_tree_depth", "type_token_ratio", "passive_ratio",
     "hedge_count", "hedge_rate", "discourse_count", "discourse_rate", "avg_word_length", "punct_ratio",
@@ -84,17 +86,20 @@ def token_features(
         key, tokens, encoders["pos"].alias("_pos"), encoders["dep"].alias("_dep"), encoders["bio"].alias("_bio")
     )
 
-    def one(toks: Column, tok: Column, i: Column) -> Column:
+    def pos_code(pos: Column) -> Column:
+        return encode(F.col("_pos"), F.coalesce(pos, F.lit("X")), unknown)
+
+    def one(toks: Column, codes: Column, tok: Column, i: Column) -> Column:
         n = F.size(toks)
+        edge = pos_code(F.lit("X"))
         prev, after = F.get(toks, i - 1), F.get(toks, i + 1)
-        pos_code = lambda p: encode(F.col("_pos"), F.coalesce(p, F.lit("X")), unknown)
         flag = lambda test: F.coalesce(test, F.lit(False)).cast("int")
         columns = [
             i.alias("token_idx"),
-            pos_code(tok["pos"]).alias("pos_enc"),
+            F.get(codes, i).alias("pos_enc"),
             encode(F.col("_dep"), F.coalesce(tok["dep"], F.lit("dep")), unknown).alias("dep_enc"),
-            pos_code(F.when(i > 0, prev["pos"])).alias("prev_pos_enc"),
-            pos_code(after["pos"]).alias("next_pos_enc"),
+            F.when(i > 0, F.get(codes, i - 1)).otherwise(edge).alias("prev_pos_enc"),
+            F.when(i < n - 1, F.get(codes, i + 1)).otherwise(edge).alias("next_pos_enc"),
             flag((i > 0) & prev["lemma"].isin(words.prepositions)).alias("prev_is_prep"),
             flag(after["pos"].isin("NOUN", "PROPN")).alias("next_is_noun"),
             flag(tok["lemma"].isin(words.actions)).alias("is_act_verb"),
@@ -109,7 +114,13 @@ def token_features(
             columns.append(encode(F.col("_bio"), tok["bio_tag"], unknown).alias("bio_enc"))
         return F.struct(*columns)
 
-    rows = let(F.col(tokens), lambda toks: F.transform(toks, lambda tok, i: one(toks, tok, i)))
+    rows = let(
+        F.col(tokens),
+        lambda toks: let(
+            F.transform(toks, lambda tok: pos_code(tok["pos"])),
+            lambda codes: F.transform(toks, lambda tok, i: one(toks, codes, tok, i)),
+        ),
+    )
     return explode_rows(held, [key], rows, "f").select(key, "f.*")
 
 

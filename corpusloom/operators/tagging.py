@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import vocab
 from corpusloom.functions.arrays import let, pieces
-from corpusloom.operators.annotate import annotate, explode_tokens, flat_token
+from corpusloom.operators.annotate import LONG_FIELDS, SENTENCE_FIELDS, annotate, explode_tokens, flat_token
 
 PIECE = 20
 OUTSIDE, LOC_START, LOC_INNER, ACT_START, ACT_INNER = 1, 2, 3, 4, 5
@@ -145,19 +145,29 @@ def tag_corpus(
     words: SpanVocabulary | None = None,
     text: str = "raw_text",
     max_chars: int | None = None,
+    fields: list[str] | None = None,
 ) -> DataFrame:
-    """Annotate and tag every message; adds ``tokens`` with a ``bio_tag`` in each token."""
+    """Annotate and tag every message; adds ``tokens`` with a ``bio_tag`` in each token.
+
+    ``fields`` names the other token fields to keep, by default all of them.
+    """
     words = words or SpanVocabulary()
+    fields = LONG_FIELDS if fields is None else fields
+    unread = {"sent_idx": "sent_idx", "head_off": "head_idx"}
+    needed = [name for name in SENTENCE_FIELDS if unread.get(name, name) in fields or name not in unread]
     tagged = let(
         F.flatten("sentences"),
         lambda toks: let(
             bio_tags(toks, words, "tag"),
             lambda tags: F.transform(
-                toks, lambda tok, i: flat_token(tok, i, words.entity_types, F.get(tags, i).alias("bio_tag"))
+                toks,
+                lambda tok, i: F.struct(
+                    *flat_token(tok, i, fields, words.entity_types), F.get(tags, i).alias("bio_tag")
+                ),
             ),
         ),
     )
-    return annotate(messages, text, max_chars).withColumn("tokens", tagged).drop("sentences")
+    return annotate(messages, text, max_chars, needed).withColumn("tokens", tagged).drop("sentences")
 
 
 def bio_tokens(tagged: DataFrame, key: str = "message_id") -> DataFrame:

@@ -17,6 +17,7 @@ from corpusloom.plans.registry import (
     TICKETS_SQL,
     query,
     responses,
+    spread,
     strip_sql,
     table,
     tickets,
@@ -53,6 +54,11 @@ def prompts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def texts(spark: SparkSession, folder: str) -> DataFrame:
+    """documents for work that is heavy per text."""
+    return spread(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 # ---- sources and sinks -------------------------------------------------------------------------
 
 @query(f"SELECT response_id, prompt_id, response_text, source_type FROM ({RESPONSES_SQL})")
@@ -490,7 +496,7 @@ def fold_statistics(spark: SparkSession, folder: str) -> DataFrame:
   SELECT doc_id, len(words) AS n_words, len(list_distinct(words)) AS n_distinct FROM (
     SELECT doc_id, list_filter(string_split_regex(lower(text), '\s+'), lambda w: w <> '') AS words FROM documents)""")
 def distinct_words(spark: SparkSession, folder: str) -> DataFrame:
-    split_once = table(spark, folder, "documents").select("doc_id", t.split_words(F.col("text")).alias("w"))
+    split_once = texts(spark, folder).select("doc_id", t.split_words(F.col("text")).alias("w"))
     return split_once.select("doc_id", F.size("w").alias("n_words"), F.size(F.array_distinct("w")).alias("n_distinct"))
 
 
@@ -545,7 +551,7 @@ _LETTER_WORDS_SQL = r"""
 
 @query(_WORDS_SQL)
 def word_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return words.word_counts(table(spark, folder, "documents"), "text")
+    return words.word_counts(texts(spark, folder), "text")
 
 
 def _case(affixes: list[str], test: str) -> str:
@@ -564,7 +570,7 @@ def _case(affixes: list[str], test: str) -> str:
     WHEN prefix IS NOT NULL THEN 'prefix (''' || prefix || ''')' WHEN suffix IS NOT NULL THEN 'suffix (''' || suffix || ''')'
     ELSE 'neither' END AS short_class FROM a""")
 def affix_classes(spark: SparkSession, folder: str) -> DataFrame:
-    found = words.affixes(words.letter_word_counts(table(spark, folder, "documents"), "text"))
+    found = words.affixes(words.letter_word_counts(texts(spark, folder), "text"))
     short = t.affix_class(F.col("prefix"), F.col("suffix"), short=True)
     return found.select("word", "prefix", "suffix", "affix_class", short.alias("short_class"))
 
@@ -574,27 +580,27 @@ def affix_classes(spark: SparkSession, folder: str) -> DataFrame:
   r AS (SELECT word, n, substr(word, 1, length(word) - coalesce(length(suffix), 0)) AS root FROM a)
   SELECT root, string_agg(word, ',' ORDER BY word) AS members, count(*) AS size, CAST(sum(n) AS BIGINT) AS uses FROM r GROUP BY root""")
 def suffix_families(spark: SparkSession, folder: str) -> DataFrame:
-    counted = words.letter_word_counts(table(spark, folder, "documents"), "text")
+    counted = words.letter_word_counts(texts(spark, folder), "text")
     grouped = words.families(counted, words.suffix_key(F.col("word")))
     return grouped.withColumn("members", F.array_join("members", ",")).orderBy("root")
 
 
 @query(PORTER_SQL.format(words=_LETTER_WORDS_SQL) + "SELECT word, stem FROM stems")
 def word_stems(spark: SparkSession, folder: str) -> DataFrame:
-    return add_stems(words.letter_word_counts(table(spark, folder, "documents"), "text")).select("word", "stem")
+    return add_stems(words.letter_word_counts(texts(spark, folder), "text")).select("word", "stem")
 
 
 @query(PORTER_SQL.format(words=_LETTER_WORDS_SQL) + """
   SELECT stem AS root, string_agg(word, ',' ORDER BY word) AS members, count(*) AS size, CAST(sum(n) AS BIGINT) AS uses
   FROM stems GROUP BY stem""")
 def word_families(spark: SparkSession, folder: str) -> DataFrame:
-    grouped = words.stem_families(words.letter_word_counts(table(spark, folder, "documents"), "text"))
+    grouped = words.stem_families(words.letter_word_counts(texts(spark, folder), "text"))
     return grouped.withColumn("members", F.array_join("members", ",")).orderBy("root")
 
 
 @query(f"""SELECT word, n FROM ({_LETTER_WORDS_SQL}) WHERE word NOT IN ({quoted(vocab.STOPWORDS)})""")
 def without_stopwords(spark: SparkSession, folder: str) -> DataFrame:
-    return words.without_stopwords(words.letter_word_counts(table(spark, folder, "documents"), "text"))
+    return words.without_stopwords(words.letter_word_counts(texts(spark, folder), "text"))
 
 
 def _phrases_sql(phrases: list[str]) -> str:
@@ -606,7 +612,7 @@ def _phrases_sql(phrases: list[str]) -> str:
                   CAST({_phrases_sql(vocab.HEDGES + vocab.DISCOURSE)} AS INT) AS default_phrases FROM documents""")
 def phrase_counts(spark: SparkSession, folder: str) -> DataFrame:
     text = F.col("text")
-    return table(spark, folder, "documents").select(
+    return texts(spark, folder).select(
         "doc_id", t.phrase_count(text, TEST_HEDGES).alias("hedges"), t.phrase_count(text, TEST_DISCOURSE).alias("discourse"),
         t.phrase_count(text, vocab.HEDGES + vocab.DISCOURSE).alias("default_phrases"),
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.operators import models
 from corpusloom.plans.model_queries import ticket_split
-from corpusloom.plans.registry import SQL, query
+from corpusloom.plans.registry import SQL, query, table
 from corpusloom.plans.token_queries import TEST_SPANS
 from corpusloom.streaming import jobs
 
@@ -15,7 +15,10 @@ DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars big
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
-    return jobs.file_stream(spark, folder, "documents.parquet", DOCUMENTS)
+    """Spread over the cores only when the files there make fewer partitions than cores."""
+    cores = spark.sparkContext.defaultParallelism
+    few = table(spark, folder, "documents").rdd.getNumPartitions() <= cores
+    return jobs.file_stream(spark, folder, "documents.parquet", DOCUMENTS, partitions=4 * cores if few else None)
 
 
 @query(SQL["token_lists"])

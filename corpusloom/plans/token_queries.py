@@ -13,7 +13,7 @@ from corpusloom.lookups import literal_map
 from corpusloom.operators import annotate as an
 from corpusloom.operators import clustering, counting, ordering, tagging, words
 from corpusloom.operators import features as ft
-from corpusloom.plans.corpus_queries import TEST_DISCOURSE, TEST_HEDGES, _phrases_sql
+from corpusloom.plans.corpus_queries import TEST_DISCOURSE, TEST_HEDGES, _phrases_sql, texts
 from corpusloom.plans.registry import RESPONSES_SQL, messages, query, responses, spread, table
 from corpusloom.plans.token_sql import annotated_sql, listed, style_sql, tagged_sql
 from corpusloom.session import materialise
@@ -35,9 +35,9 @@ _STYLE_ROUNDED = ", ".join(
 )
 
 
-def tagged(spark: SparkSession, folder: str) -> DataFrame:
-    """Every document annotated and tagged, whole texts."""
-    return tagging.tag_corpus(spread(messages(spark, folder)), TEST_SPANS)
+def tagged(spark: SparkSession, folder: str, fields: list[str]) -> DataFrame:
+    """Every document annotated and tagged, whole texts, with the token fields that are read."""
+    return tagging.tag_corpus(spread(messages(spark, folder)), TEST_SPANS, fields=fields)
 
 
 def styled(spark: SparkSession, folder: str) -> DataFrame:
@@ -85,12 +85,12 @@ def entity_spans(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(_BIO + " SELECT message_id, token_idx, token, bio_tag FROM bio")
 def bio_tags(spark: SparkSession, folder: str) -> DataFrame:
-    return tagging.bio_tokens(tagged(spark, folder)).select("message_id", "token_idx", "token", "bio_tag")
+    return tagging.bio_tokens(tagged(spark, folder, ["token_idx", "token"]))
 
 
 @query(_BIO + " SELECT bio_tag, count(*) AS n, round(count(*) * 100.0 / sum(count(*)) OVER (), 6) AS percent FROM bio GROUP BY bio_tag")
 def tag_distribution(spark: SparkSession, folder: str) -> DataFrame:
-    shares = counting.class_distribution(tagging.bio_tokens(tagged(spark, folder)), "bio_tag")
+    shares = counting.class_distribution(tagging.bio_tokens(tagged(spark, folder, [])), "bio_tag")
     return shares.withColumn("percent", F.round("percent", 6))
 
 
@@ -101,7 +101,7 @@ def tag_distribution(spark: SparkSession, folder: str) -> DataFrame:
     SELECT bio_tag, attribute, value, k, count(*) AS n, row_number() OVER (PARTITION BY bio_tag, attribute ORDER BY count(*) DESC, value) AS r
     FROM long WHERE bio_tag IN ('B-LOC', 'B-ACT') GROUP BY bio_tag, attribute, value, k) WHERE r <= k""")
 def span_patterns(spark: SparkSession, folder: str) -> DataFrame:
-    return counting.span_patterns(tagging.bio_tokens(tagged(spark, folder)))
+    return counting.span_patterns(tagging.bio_tokens(tagged(spark, folder, ["pos", "dep", "lemma"])))
 
 
 @query(_BIO + """
@@ -109,7 +109,7 @@ def span_patterns(spark: SparkSession, folder: str) -> DataFrame:
          coalesce(string_agg(token, ' ' ORDER BY token_idx) FILTER (ends_with(bio_tag, 'ACT')), '') AS act_tokens
   FROM src m LEFT JOIN bio USING (message_id) GROUP BY m.message_id""")
 def token_lists(spark: SparkSession, folder: str) -> DataFrame:
-    lists = tagging.token_lists(tagged(spark, folder))
+    lists = tagging.token_lists(tagged(spark, folder, ["token"]))
     return lists.select(
         "message_id", F.array_join("loc_tokens", " ").alias("loc_tokens"), F.array_join("act_tokens", " ").alias("act_tokens")
     )
@@ -120,7 +120,8 @@ def token_lists(spark: SparkSession, folder: str) -> DataFrame:
   FROM bio GROUP BY 1""")
 def display_classes(spark: SparkSession, folder: str) -> DataFrame:
     css = F.coalesce(literal_map(vocab.DISPLAY_CLASSES)[F.col("bio_tag")], F.lit("other"))
-    return tagging.bio_tokens(tagged(spark, folder)).select(css.alias("css")).groupBy("css").agg(F.count("*").alias("n"))
+    rows = tagging.bio_tokens(tagged(spark, folder, [])).select(css.alias("css"))
+    return rows.groupBy("css").agg(F.count("*").alias("n"))
 
 
 _ENCODERS = _BIO + f""",
@@ -131,7 +132,7 @@ _ENCODERS = _BIO + f""",
 
 @query(_ENCODERS + " SELECT kind, value, code FROM enc")
 def encoder_tables(spark: SparkSession, folder: str) -> DataFrame:
-    return ft.fit_encoders(tagged(spark, folder))
+    return ft.fit_encoders(tagged(spark, folder, ["pos", "dep"]))
 
 
 @query(_ENCODERS + rf""",
@@ -149,7 +150,7 @@ def encoder_tables(spark: SparkSession, folder: str) -> DataFrame:
     JOIN enc b ON b.kind = 'bio' AND b.value = f.bio_tag""")
 def token_features(spark: SparkSession, folder: str) -> DataFrame:
     """Tagging is written once; the encoders and the features both read it."""
-    corpus = materialise(tagged(spark, folder).select("message_id", "tokens"), "tagged")
+    corpus = materialise(tagged(spark, folder, ft.TOKEN_FIELDS).select("message_id", "tokens"), "tagged")
     encoders = ft.encoder_columns(ft.fit_encoders(corpus))
     return ft.token_features(corpus, encoders, TEST_FEATURES)
 
@@ -184,7 +185,7 @@ def token_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 def token_shapes(spark: SparkSession, folder: str) -> DataFrame:
     found = F.regexp_extract_all(F.col("text"), F.lit(an.TOKEN_PATTERN + r"|\s+"), F.lit(0))
     token = F.col("token")
-    shapes = explode_rows(table(spark, folder, "documents"), [], found, "token").select(
+    shapes = explode_rows(texts(spark, folder), [], found, "token").select(
         t.is_capitalised(token).cast("int").alias("capitalised"), t.is_numeric(token).cast("int").alias("numeric"),
         t.is_alphabetic(token).cast("int").alias("alphabetic"), t.is_punctuation(token).cast("int").alias("punctuation"),
         t.is_space(token).cast("int").alias("space"), F.least(F.length(token), F.lit(20)).alias("length"),
@@ -199,7 +200,7 @@ def token_shapes(spark: SparkSession, folder: str) -> DataFrame:
 def vocabulary_hits(spark: SparkSession, folder: str) -> DataFrame:
     """The words of the benchmark as a user's vocabulary."""
     vocabulary = words.letter_word_counts(table(spark, folder, "benchmark"), "text")
-    rows = an.tokenize(messages(spark, folder)).withColumn("token", F.lower("token"))
+    rows = an.tokenize(spread(messages(spark, folder))).withColumn("token", F.lower("token"))
     hits = words.vocabulary_hits(rows, vocabulary, "token")
     return hits.groupBy("message_id").agg(F.count("*").alias("hits"))
 

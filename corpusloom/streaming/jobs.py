@@ -11,14 +11,20 @@ from corpusloom.operators.tickets import scoring_text
 from corpusloom.session import scratch_path
 
 
-def file_stream(spark: SparkSession, folder: str, pattern: str, schema: str, files_per_batch: int = 1000) -> DataFrame:
-    """Parquet files of a folder whose names match ``pattern``, as they arrive."""
-    return (
+def file_stream(
+    spark: SparkSession, folder: str, pattern: str, schema: str, files_per_batch: int = 1000, partitions: int | None = None
+) -> DataFrame:
+    """Parquet files of a folder whose names match ``pattern``, as they arrive.
+
+    ``partitions`` spreads batches of few files over the cores; batches of many files do not need it.
+    """
+    arriving = (
         spark.readStream.schema(schema)
         .option("pathGlobFilter", pattern)
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(folder)
     )
+    return arriving if partitions is None else arriving.repartition(partitions)
 
 
 def run_available(stream: DataFrame, name: str) -> DataFrame:
@@ -42,4 +48,4 @@ def ticket_scoring(tickets: DataFrame, model: PipelineModel, keys: list[str]) ->
 
 def message_tagging(messages: DataFrame, words: SpanVocabulary | None = None) -> DataFrame:
     """Stream of messages to stream of location and action tokens; no state."""
-    return token_lists(tag_corpus(messages, words))
+    return token_lists(tag_corpus(messages, words, fields=["token"]))
