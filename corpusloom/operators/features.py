@@ -12,7 +12,7 @@ from corpusloom.functions import text as t
 from corpusloom.functions import vocab
 from corpusloom.functions.arrays import count_if, explode_rows, let, positions, total
 from corpusloom.functions.numeric import half_even, ratio
-from corpusloom.lookups import bounded_map, literal_map
+from corpusloom.lookups import literal_map
 
 TOKEN_FEATURES = [
     "pos_enc", "dep_enc", "prev_pos_enc", "next_pos_enc", "prev_is_prep", "next_is_noun", "is_act_verb",
@@ -37,29 +37,23 @@ class FeatureVocabulary:
 def fit_encoders(messages: DataFrame, tokens: str = "tokens", seed_pos: list[str] = vocab.SEED_POS) -> DataFrame:
     """(kind, value, code): codes are ranks in the sorted vocabulary of pos, dep and bio.
 
-    ``pos`` also holds the seed values. Values are made distinct inside each message first, so the
-    shuffle carries a few rows per message rather than one per token.
+    ``pos`` also holds the seed values. The few combinations that occur are found first, so the
+    shuffle carries some hundred rows per task.
     """
-
-    def values(kind: str, column: str, missing: str) -> Column:
-        seen = F.array_distinct(F.transform(tokens, lambda tok: F.coalesce(tok[column], F.lit(missing))))
-        return F.transform(seen, lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value")))
-
-    pairs = F.concat(values("pos", "pos", "X"), values("dep", "dep", "dep"), values("bio", "bio_tag", "O"))
-    seen = explode_rows(messages, [], pairs, "p").select("p.kind", "p.value")
+    rows = explode_rows(messages, [], F.col(tokens), "tok")
+    seen = rows.groupBy(
+        F.coalesce("tok.pos", F.lit("X")).alias("pos"), F.coalesce("tok.dep", F.lit("dep")).alias("dep"),
+        F.coalesce("tok.bio_tag", F.lit("O")).alias("bio"),
+    ).agg(F.count("*").alias("n"))
+    values = seen.unpivot([], ["pos", "dep", "bio"], "kind", "value")
     seeds = messages.sparkSession.createDataFrame([("pos", v) for v in seed_pos], "kind string, value string")
-    vocabulary = seen.unionByName(seeds).distinct()
+    vocabulary = values.unionByName(seeds).distinct()
     rank = F.row_number().over(w.Window.partitionBy("kind").orderBy("value")) - 1
     return vocabulary.withColumn("code", rank)
 
 
-def encoder_columns(encoders: DataFrame) -> dict[str, Column]:
-    """One value-to-code map per kind, for frames that are read lazily."""
-    return {k: bounded_map(encoders.where(F.col("kind") == k), "value", F.col("code")) for k in ("pos", "dep", "bio")}
-
-
-def encoder_literals(encoders: DataFrame, max_entries: int = 1000) -> dict[str, Column]:
-    """The same maps as literals, for streams. The vocabularies are tag sets; their size is checked."""
+def encoder_maps(encoders: DataFrame, max_entries: int = 1000) -> dict[str, Column]:
+    """One value-to-code map per kind, as literals. The vocabularies are tag sets; their size is checked."""
     rows = encoders.limit(max_entries + 1).collect()
     if len(rows) > max_entries:
         raise ValueError(f"encoders hold more than {max_entries} values")

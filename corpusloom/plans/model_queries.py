@@ -190,7 +190,7 @@ def token_matrix(spark: SparkSession, folder: str) -> DataFrame:
     replies = responses(spark, folder).select(F.col("response_id").alias("message_id"), F.col("response_text").alias("raw_text"))
     tagged = tagging.tag_corpus(spread(replies), TEST_SPANS, fields=ft.TOKEN_FIELDS)
     corpus = materialise(tagged.select("message_id", "tokens"), "tagged")
-    encoders = ft.encoder_columns(ft.fit_encoders(corpus))
+    encoders = ft.encoder_maps(ft.fit_encoders(corpus))
     rows = ft.token_features(corpus, encoders, TEST_FEATURES).withColumn("label", F.col("bio_enc").cast("double"))
     keyed = rows.withColumn("token_id", F.concat_ws("#", "message_id", "token_idx"))
     held = materialise(keyed, "token-matrix")

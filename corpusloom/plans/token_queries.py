@@ -151,7 +151,7 @@ def encoder_tables(spark: SparkSession, folder: str) -> DataFrame:
 def token_features(spark: SparkSession, folder: str) -> DataFrame:
     """Tagging is written once; the encoders and the features both read it."""
     corpus = materialise(tagged(spark, folder, ft.TOKEN_FIELDS).select("message_id", "tokens"), "tagged")
-    encoders = ft.encoder_columns(ft.fit_encoders(corpus))
+    encoders = ft.encoder_maps(ft.fit_encoders(corpus))
     return ft.token_features(corpus, encoders, TEST_FEATURES)
 
 

@@ -49,23 +49,21 @@ def test_token_features(spark):
     codes = {(r["kind"], r["value"]): r["code"] for r in encoders.collect()}
     seen = sorted(set(vocab.SEED_POS))
     assert [codes[("pos", v)] for v in seen] == list(range(len(seen)))
-    rows = {(r["message_id"], r["token_idx"]): r for r in ft.token_features(corpus, ft.encoder_columns(encoders)).collect()}
+    rows = {(r["message_id"], r["token_idx"]): r for r in ft.token_features(corpus, ft.encoder_maps(encoders)).collect()}
     assert (rows[0, 0]["token_pos_norm"], rows[0, 0]["sentence_len"]) == (0.0, 0.02)
     first, last = rows[1, 0], rows[1, 6]
     assert first["is_act_verb"] == 1 and first["is_capitalized"] == 1 and first["prev_pos_enc"] == codes[("pos", "X")]
     assert last["prev_is_prep"] == 1 and last["is_ent"] == 1 and last["next_pos_enc"] == codes[("pos", "X")]
     assert rows[1, 1]["is_number"] == 1 and rows[1, 2]["is_number"] == 0
     assert rows[1, 1]["token_pos_norm"] == 0.1667 and first["bio_enc"] == codes[("bio", "B-ACT")]
-    literal = ft.token_features(corpus, ft.encoder_literals(encoders)).collect()
-    assert {tuple(r) for r in literal} == {tuple(r) for r in rows.values()}
 
 
 def test_unknown_value(spark):
     encoders = ft.fit_encoders(tagged(spark, "help"))
     other = tagged(spark, "we go")
-    rows = ft.token_features(other, ft.encoder_columns(encoders)).collect()
+    rows = ft.token_features(other, ft.encoder_maps(encoders)).collect()
     assert rows[0]["pos_enc"] == 0
-    marked = ft.token_features(other, ft.encoder_columns(encoders), unknown=-1).collect()
+    marked = ft.token_features(other, ft.encoder_maps(encoders), unknown=-1).collect()
     assert marked[0]["pos_enc"] == -1
 
 
