@@ -29,6 +29,8 @@ STYLE_FEATURES = [
 
 @dataclass(frozen=True)
 class FeatureVocabulary:
+    """The word lists behind the features."""
+
     prepositions: list[str] = field(default_factory=lambda: list(vocab.FEATURE_PREPOSITIONS))
     actions: list[str] = field(default_factory=lambda: list(vocab.FEATURE_ACTIONS))
     places: list[str] = field(default_factory=lambda: list(vocab.FEATURE_PLACES))
@@ -60,6 +62,14 @@ def encoder_maps(encoders: DataFrame, max_entries: int = 1000) -> dict[str, Colu
     return {k: literal_map({r["value"]: r["code"] for r in rows if r["kind"] == k}) for k in ("pos", "dep", "bio")}
 
 
+def decoder_map(encoders: DataFrame, kind: str = "bio", max_entries: int = 1000) -> Column:
+    """Code to value of one kind, as a literal."""
+    rows = encoders.where(F.col("kind") == kind).limit(max_entries + 1).collect()
+    if len(rows) > max_entries:
+        raise ValueError(f"encoder holds more than {max_entries} values")
+    return literal_map({r["code"]: r["value"] for r in rows})
+
+
 def encode(codes: Column, value: Column, unknown: int = 0) -> Column:
     """The code of a value; an unknown value gets 0, like the first class, unless told otherwise."""
     return F.coalesce(F.element_at(codes, value), F.lit(unknown))
@@ -72,8 +82,12 @@ def token_features(
     key: str = "message_id",
     tokens: str = "tokens",
     unknown: int = 0,
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """One row per token: key, token_idx, 13 features and ``bio_enc`` when tokens carry a label."""
+    """One row per token: key, token_idx, 13 features and ``bio_enc`` when tokens carry a label.
+
+    ``keep`` names token fields to carry along.
+    """
     words = words or FeatureVocabulary()
     labelled = "bio_tag" in messages.schema[tokens].dataType.elementType.names
     held = messages.select(
@@ -106,6 +120,7 @@ def token_features(
         ]
         if labelled:
             columns.append(encode(F.col("_bio"), tok["bio_tag"], unknown).alias("bio_enc"))
+        columns += [tok[name].alias(name) for name in keep or []]
         return F.struct(*columns)
 
     rows = let(

@@ -260,6 +260,17 @@ def normalised_labels(spark: SparkSession, folder: str) -> DataFrame:
     return _variants(spark, folder).select("conv_id", "turn", t.normalised_label(F.col("raw_label")).alias("source_type"))
 
 
+@query(f"""
+  SELECT r.response_id, r.prompt_id::VARCHAR AS prompt_id, {strip_sql('r.response_text')} AS response_text,
+         replace(replace({strip_sql('v.raw_label')}, 'Human', 'human'), 'ai', 'AI') AS source_type
+  FROM ({RESPONSES_SQL}) r JOIN ({_VARIANT_SQL}) v ON r.response_id = v.conv_id || '_' || v.turn
+  WHERE length({strip_sql('r.response_text')}) > 20""")
+def loaded_responses(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("source_type") == "human", " Human ").otherwise("ai")
+    raw = responses(spark, folder).withColumn("source_type", label).withColumn("prompt_id", F.col("prompt_id").cast("string"))
+    return corpus.load_responses(raw.withColumn("prompt", F.lit(""))).drop("prompt")
+
+
 @query(f"""
   SELECT count(*) AS rows, count_if({strip_sql('raw_label')} NOT IN ('human', 'AI', 'Human', 'ai')) AS odd_rows
   FROM ({_VARIANT_SQL})""")

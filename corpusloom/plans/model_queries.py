@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import vocab
 from corpusloom.operators import clustering as cl
-from corpusloom.operators import counting, metrics, models, split, tagging
+from corpusloom.operators import analysis, counting, metrics, models
 from corpusloom.operators import features as ft
 from corpusloom.operators import tickets as tk
+from corpusloom.plans import flows
 from corpusloom.plans.registry import query, responses, spread, table, tickets
 from corpusloom.plans.token_queries import TEST_FEATURES, TEST_SPANS, styled
 from corpusloom.session import materialise
@@ -85,14 +86,6 @@ def silhouette(spark: SparkSession, folder: str) -> DataFrame:
 
 # ---- clustering --------------------------------------------------------------------------------
 
-def scaled_styles(spark: SparkSession, folder: str) -> DataFrame:
-    """Standardised style features of every reply, written once."""
-    raw = materialise(styled(spark, folder).select("response_id", "source_type", *ft.STYLE_FEATURES), "styles")
-    return cl.assemble(cl.standardise(raw, ft.STYLE_FEATURES), ft.STYLE_FEATURES).select(
-        "response_id", "source_type", "features"
-    )
-
-
 @query()
 def kmeans_clusters(spark: SparkSession, folder: str) -> DataFrame:
     data = cl.vectors(table(spark, folder, "embeddings"), "embedding")
@@ -101,7 +94,7 @@ def kmeans_clusters(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def elbow_table(spark: SparkSession, folder: str) -> DataFrame:
-    data = materialise(scaled_styles(spark, folder), "scaled")
+    data = flows.scaled_style_rows(styled(spark, folder))
     return cl.elbow(data, range(2, 8), starts=2).withColumn("inertia", F.round("inertia", 4))
 
 
@@ -113,20 +106,20 @@ def hierarchical_clusters(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def pca_projection(spark: SparkSession, folder: str) -> DataFrame:
-    return cl.pca(scaled_styles(spark, folder)).select("response_id", "source_type", "pc1", "pc2")
+    return cl.pca(flows.scaled_style_rows(styled(spark, folder))).select("response_id", "source_type", "pc1", "pc2")
 
 
 @query()
 def cluster_labels(spark: SparkSession, folder: str) -> DataFrame:
     """Both clusterings of the replies against the true source, as a cross-tabulation."""
-    data = materialise(scaled_styles(spark, folder), "scaled")
+    data = flows.scaled_style_rows(styled(spark, folder))
     labelled = cl.cluster_labels(data, ["response_id", "source_type"], starts=3)
     return counting.crosstab(labelled, "kmeans_cluster", "source_type", ["AI", "human"])
 
 
 @query()
 def clustering_summary(spark: SparkSession, folder: str) -> DataFrame:
-    data = materialise(scaled_styles(spark, folder), "scaled")
+    data = flows.scaled_style_rows(styled(spark, folder))
     labelled = materialise(cl.cluster_labels(data, ["response_id", "source_type"], starts=3), "clusters")
     return cl.clustering_summary(labelled, "source_type", cl.elbow(data, range(2, 5), starts=2))
 
@@ -134,13 +127,7 @@ def clustering_summary(spark: SparkSession, folder: str) -> DataFrame:
 # ---- style classifiers -------------------------------------------------------------------------
 
 def style_matrix(spark: SparkSession, folder: str) -> DataFrame:
-    """Replies with features, label (1 is AI), split and fold, written once."""
-    rows = styled(spark, folder).withColumn("label", (F.col("source_type") == "AI").cast("double"))
-    held = materialise(rows.select("response_id", "label", *ft.STYLE_FEATURES), "style-matrix")
-    parted = split.stratified_split(held, "label", "response_id", {"train": 75, "test": 25})
-    folded = split.stratified_folds(parted, "label", "response_id", k=5)
-    kept = cl.assemble(folded, ft.STYLE_FEATURES).select("response_id", "features", "label", "split", "fold")
-    return materialise(kept, "style-split")
+    return flows.style_training_rows(styled(spark, folder))
 
 
 def _style_estimators(rounds: int) -> dict[str, object]:
@@ -185,19 +172,15 @@ def style_importances(spark: SparkSession, folder: str) -> DataFrame:
 
 # ---- token classifiers -------------------------------------------------------------------------
 
+def reply_messages(spark: SparkSession, folder: str) -> DataFrame:
+    return spread(
+        responses(spark, folder).select(F.col("response_id").alias("message_id"), F.col("response_text").alias("raw_text"))
+    )
+
+
 def token_matrix(spark: SparkSession, folder: str) -> DataFrame:
-    """Tokens of all replies with features, label, doubly balanced weight and split, written once."""
-    replies = responses(spark, folder).select(F.col("response_id").alias("message_id"), F.col("response_text").alias("raw_text"))
-    tagged = tagging.tag_corpus(spread(replies), TEST_SPANS, fields=ft.TOKEN_FIELDS)
-    corpus = materialise(tagged.select("message_id", "tokens"), "tagged")
-    encoders = ft.encoder_maps(ft.fit_encoders(corpus))
-    rows = ft.token_features(corpus, encoders, TEST_FEATURES).withColumn("label", F.col("bio_enc").cast("double"))
-    keyed = rows.withColumn("token_id", F.concat_ws("#", "message_id", "token_idx"))
-    held = materialise(keyed, "token-matrix")
-    parted = split.stratified_split(held, "label", "token_id", {"train": 75, "test": 25})
-    weighted = split.with_weights(parted, "label", power=2)
-    kept = cl.assemble(weighted, ft.TOKEN_FEATURES).select("token_id", "features", "label", "weight", "split")
-    return materialise(kept, "token-split")
+    """The tokens of all replies."""
+    return flows.token_training_rows(reply_messages(spark, folder), TEST_SPANS, TEST_FEATURES)[0]
 
 
 def _token_report(scored: DataFrame) -> DataFrame:
@@ -241,21 +224,33 @@ def importance_table(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query()
-def token_scores(spark: SparkSession, folder: str) -> DataFrame:
-    """Labels of the chosen model for every token, decoded; an unknown name falls back to the first."""
+def token_cross_validation(spark: SparkSession, folder: str) -> DataFrame:
+    """Mean and deviation of macro F1 over five folds."""
     data = token_matrix(spark, folder)
+    est = models.decision_tree(weight=None)
+    return counting.fold_statistics(models.cross_validate("Decision Tree", est, data), "model", "score")
+
+
+@query()
+def token_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of all replies labelled by a fitted model; an unknown name falls back to the first one."""
+    replies = reply_messages(spark, folder)
+    data, encoders = flows.token_training_rows(replies, TEST_SPANS, TEST_FEATURES)
     fitted = {"decision_tree": models.decision_tree().fit(_train_test(data)[0])}
-    model = models.choose_model(fitted, "random_forest")
-    return model.transform(data).select("token_id", F.col("prediction").cast("int").alias("code"))
+    return analysis.analyse(replies, models.choose_model(fitted, "random_forest"), encoders, TEST_FEATURES)
+
+
+@query()
+def scored_token_lists(spark: SparkSession, folder: str) -> DataFrame:
+    """Location and action tokens of every reply, by the fitted model."""
+    lists = analysis.analysed_lists(token_scores(spark, folder))
+    return lists.select("message_id", F.array_join("loc_tokens", " ").alias("loc_tokens"), F.array_join("act_tokens", " ").alias("act_tokens"))
 
 
 # ---- ticket classifier -------------------------------------------------------------------------
 
 def ticket_split(spark: SparkSession, folder: str) -> DataFrame:
-    rows = materialise(
-        tk.training_tickets(tickets(spark, folder)).select("doc_id", "text", "label", "priority"), "tickets"
-    )
-    return split.stratified_split(rows, "label", "doc_id", {"train": 80, "val": 10, "test": 10})
+    return flows.ticket_training_rows(tickets(spark, folder), "doc_id")
 
 
 @query()

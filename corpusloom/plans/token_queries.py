@@ -13,6 +13,7 @@ from corpusloom.lookups import literal_map
 from corpusloom.operators import annotate as an
 from corpusloom.operators import clustering, counting, ordering, tagging, words
 from corpusloom.operators import features as ft
+from corpusloom.plans import flows
 from corpusloom.plans.corpus_queries import TEST_DISCOURSE, TEST_HEDGES, _phrases_sql, texts
 from corpusloom.plans.registry import RESPONSES_SQL, messages, query, responses, spread, table
 from corpusloom.plans.token_sql import annotated_sql, listed, style_sql, tagged_sql
@@ -42,8 +43,7 @@ def tagged(spark: SparkSession, folder: str, fields: list[str]) -> DataFrame:
 
 def styled(spark: SparkSession, folder: str) -> DataFrame:
     """Style features of every reply."""
-    annotated = an.annotate(spread(responses(spark, folder)), "response_text")
-    return ft.style_features(annotated, hedges=TEST_HEDGES, discourse=TEST_DISCOURSE)
+    return flows.style_rows(spread(responses(spark, folder)), TEST_HEDGES, TEST_DISCOURSE)
 
 
 @query(r"""

@@ -109,6 +109,36 @@ def test_priority_model(spark):
     assert all(abs(sum(r["probabilities"]) - 1) < 2e-4 and max(r["probabilities"]) == r["confidence"] for r in scored)
 
 
+def test_encoder_table(spark, tmp_path):
+    from corpusloom.operators.features import encoder_maps, fit_encoders
+    from corpusloom.operators.tagging import tag_corpus
+
+    messages = spark.createDataFrame([("a", "Send boats near Delhi")], "message_id string, raw_text string")
+    encoders = fit_encoders(tag_corpus(messages))
+    path = str(tmp_path / "encoders")
+    tables.write_csv(encoders, path)
+    back = tables.read_csv(spark, path, "kind string, value string, code int")
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, encoders.collect()))
+    assert set(encoder_maps(back)) == {"pos", "dep", "bio"}
+
+
+def test_flow_and_analysis(spark):
+    from corpusloom.operators.analysis import analyse, analysed_lists
+    from corpusloom.plans.flows import token_training_rows
+
+    rows = [(i, f"Send boats near Delhi bridge {i}. Nothing else here") for i in range(60)] + [(99, " ")]
+    messages = spark.createDataFrame(rows, "message_id int, raw_text string")
+    data, encoders = token_training_rows(messages)
+    assert {r["split"]: r["n"] for r in data.groupBy("split").agg(F.count("*").alias("n")).collect()}["train"] == 60 * 10 * 3 // 4
+    model = models.decision_tree().fit(data.where("split = 'train'"))
+    scored = analyse(messages, model, encoders)
+    labels = {r["token"]: (r["label"], r["css"]) for r in scored.where("message_id = 7").collect()}
+    assert labels["Delhi"] == ("B-LOC", "loc") and labels["boats"] == ("I-ACT", "act") and labels["here"] == ("O", "other")
+    lists = {r["message_id"]: r for r in analysed_lists(scored).collect()}
+    assert lists[7]["loc_tokens"][:2] == ["Delhi", "bridge"] and lists[7]["act_tokens"] == ["Send", "boats"]
+    assert 99 not in lists
+
+
 def test_choose_model():
     assert models.choose_model({"a": 1, "b": 2}, "b") == 2
     assert models.choose_model({"a": 1, "b": 2}, "none") == 1
