@@ -13,11 +13,8 @@ from corpusloom.operators.ordering import salted_join
 
 TURN_RANGE = 1024
 
-GROUNDED_PROMPT = (
-    "You are a helpful assistant. Answer questions using ONLY the knowledge provided below.\n"
-    "If the answer is not in the knowledge base, say you don't have that information.\n\n"
-    "KNOWLEDGE BASE:\n{knowledge}\n"
-)
+GROUNDED_PROMPT = "Reply from the facts listed here and from nothing else; say so when they do not help.\n\nFACTS\n{knowledge}\n"
+# Fixed value: how a question follows its instructions.
 QUESTION_PROMPT = "{system}\n\nUser question:\n{question}"
 
 

@@ -47,9 +47,15 @@ def kmeans(df: DataFrame, k: int, starts: int = 10, seed: int = 42, features: st
     return min(models, key=lambda m: m.summary.trainingCost)
 
 
-def hierarchical(df: DataFrame, k: int = 2, seed: int = 42, features: str = "features"):
-    """Divisive clustering by repeated bisection."""
-    return BisectingKMeans(k=k, seed=seed, featuresCol=features, predictionCol="cluster").fit(df)
+def hierarchical(df: DataFrame, k: int = 2, seed: int = 42, features: str = "features", starts: int = 3):
+    """Divisive clustering by repeated bisection, the least cost over ``starts`` seeds.
+
+    A bisection may leave one side empty and stop early; another seed then does better.
+    """
+    models = [
+        BisectingKMeans(k=k, seed=seed + i, featuresCol=features, predictionCol="cluster").fit(df) for i in range(starts)
+    ]
+    return min(models, key=lambda m: m.summary.trainingCost)
 
 
 def pca(df: DataFrame, k: int = 2, features: str = "features") -> DataFrame:

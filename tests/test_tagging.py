@@ -39,26 +39,39 @@ def test_rules(spark):
     ]
 
 
-def expected_tags(tokens):
-    """The rules one after the other, token by token."""
-    words, out, before, prev_lemma = tg.SpanVocabulary(), [], "O", ""
-    for token, pos, tag, dep, lemma, ent in tokens:
-        label = "O"
-        place = lemma in words.places
-        if ent is not None:
-            label = "B-LOC" if ent == 0 else "I-LOC"
-        elif before == "O" and prev_lemma in words.prepositions:
-            label = "B-LOC" if pos in vocab.PLACE_HEAD_POS else "O"
-        elif before.endswith("LOC"):
-            label = "I-LOC" if dep in vocab.PLACE_INNER_DEPS or pos == "NUM" or place or token in vocab.PLACE_JOINERS else "O"
-        elif place and pos in ("NOUN", "PROPN") and dep in vocab.PLACE_WORD_DEPS:
-            label = "B-LOC"
-        elif lemma in words.actions or (pos == "VERB" and dep == "ROOT" and tag in vocab.FINITE_TAGS):
-            label = "B-ACT"
-        elif before.endswith("ACT") and dep in vocab.ACTION_INNER_DEPS and pos in vocab.ACTION_INNER_POS:
-            label = "I-ACT"
-        out.append(label)
-        before, prev_lemma = label, lemma
+WORDS = tg.SpanVocabulary()
+# (applies, label), in order; the first rule that applies decides. t is a token, s the state before
+# it ("", "LOC" or "ACT") and p the lemma before it.
+RULES = [
+    (lambda t, s, p: t["ent"] is not None, lambda t: "B-LOC" if t["ent"] == 0 else "I-LOC"),
+    (lambda t, s, p: not s and p in WORDS.prepositions, lambda t: "B-LOC" if t["pos"] in vocab.PLACE_HEAD_POS else "O"),
+    (
+        lambda t, s, p: s == "LOC",
+        lambda t: "I-LOC"
+        if {t["dep"]} & set(vocab.PLACE_INNER_DEPS) or t["pos"] == "NUM" or t["lemma"] in WORDS.places or t["token"] in "-/&"
+        else "O",
+    ),
+    (
+        lambda t, s, p: t["lemma"] in WORDS.places and t["pos"] in ("NOUN", "PROPN") and t["dep"] in vocab.PLACE_WORD_DEPS,
+        lambda t: "B-LOC",
+    ),
+    (lambda t, s, p: t["lemma"] in WORDS.actions, lambda t: "B-ACT"),
+    (lambda t, s, p: (t["pos"], t["dep"]) == ("VERB", "ROOT") and t["tag"] in vocab.FINITE_TAGS, lambda t: "B-ACT"),
+    (
+        lambda t, s, p: s == "ACT" and t["dep"] in vocab.ACTION_INNER_DEPS and t["pos"] in vocab.ACTION_INNER_POS,
+        lambda t: "I-ACT",
+    ),
+    (lambda t, s, p: True, lambda t: "O"),
+]
+
+
+def expected_tags(message):
+    out = []
+    for i, values in enumerate(message):
+        t = dict(zip(("token", "pos", "tag", "dep", "lemma", "ent"), values))
+        state = out[-1][2:] if out else ""
+        before = message[i - 1][4] if i else ""
+        out.append(next(label(t) for applies, label in RULES if applies(t, state, before)))
     return out
 
 
