@@ -9,6 +9,7 @@ from corpusloom.functions import text as t
 from corpusloom.functions import vocab
 from corpusloom.functions.arrays import explode_rows
 from corpusloom.functions.stemming import add_stems
+from corpusloom.operators.ordering import salted_join
 
 
 def word_counts(df: DataFrame, text: str) -> DataFrame:
@@ -56,5 +57,6 @@ def without_stopwords(df: DataFrame, word: str = "word", stopwords: list[str] =
 
 
 def vocabulary_hits(tokens: DataFrame, vocabulary: DataFrame, token: str) -> DataFrame:
-    """Tokens that occur in a vocabulary table of any size; Spark picks the join by the sizes it sees."""
-    return tokens.join(vocabulary.select(F.col("word").alias(token)).distinct(), token, "left_semi")
+    """Tokens that occur in a vocabulary table of any size; frequent tokens are spread."""
+    words = vocabulary.select(F.col("word").alias(token)).distinct()
+    return salted_join(tokens, words, [token], how="left_semi")

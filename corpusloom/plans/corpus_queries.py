@@ -272,7 +272,7 @@ def loaded_responses(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(f"""
-  SELECT count(*) AS rows, count_if({strip_sql('raw_label')} NOT IN ('human', 'AI', 'Human', 'ai')) AS odd_rows
+  SELECT count(*) AS rows, count(*) FILTER ({strip_sql('raw_label')} NOT IN ('human', 'AI', 'Human', 'ai')) AS odd_rows
   FROM ({_VARIANT_SQL})""")
 def label_audit(spark: SparkSession, folder: str) -> DataFrame:
     labels = _variants(spark, folder).withColumn("raw_label", t.strip(F.col("raw_label")))
@@ -416,7 +416,7 @@ def class_distribution(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("""
   SELECT quality, toxic_0, toxic_1 FROM (
-    SELECT quality, count_if(toxic = 0) AS toxic_0, count_if(toxic = 1) AS toxic_1 FROM labels GROUP BY quality)""")
+    SELECT quality, count(*) FILTER (toxic = 0) AS toxic_0, count(*) FILTER (toxic = 1) AS toxic_1 FROM labels GROUP BY quality)""")
 def crosstab(spark: SparkSession, folder: str) -> DataFrame:
     table_ = counting.crosstab(table(spark, folder, "labels"), "quality", "toxic", [0, 1])
     return table_.withColumnsRenamed({"0": "toxic_0", "1": "toxic_1"})
@@ -424,8 +424,8 @@ def crosstab(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"""
   WITH t AS ({TICKETS_SQL})
-  SELECT 'body' AS column, count_if(body IS NULL) AS nulls FROM t UNION ALL
-  SELECT 'priority', count_if(priority IS NULL) FROM t UNION ALL SELECT 'subject', count_if(subject IS NULL) FROM t""")
+  SELECT 'body' AS column, count(*) FILTER (body IS NULL) AS nulls FROM t UNION ALL
+  SELECT 'priority', count(*) FILTER (priority IS NULL) FROM t UNION ALL SELECT 'subject', count(*) FILTER (subject IS NULL) FROM t""")
 def null_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counting.null_counts(tickets(spark, folder).select("body", "priority", "subject"))
 
@@ -460,7 +460,7 @@ def wide_means(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""
-  SELECT count(*) AS total, count_if(lang = 'en') AS english, count_if(n_chars > 1000) AS long_texts,
+  SELECT count(*) AS total, count(*) FILTER (lang = 'en') AS english, count(*) FILTER (n_chars > 1000) AS long_texts,
          round(count_if(n_chars > 1000) / count(*), 9) AS share FROM documents""")
 def conditional_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").agg(
@@ -504,7 +504,7 @@ def fold_statistics(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(r"""
-  SELECT doc_id, len(words) AS n_words, len(list_distinct(words)) AS n_distinct FROM (
+  SELECT doc_id, CAST(len(words) AS INT) AS n_words, CAST(len(list_distinct(words)) AS INT) AS n_distinct FROM (
     SELECT doc_id, list_filter(string_split_regex(lower(text), '\s+'), lambda w: w <> '') AS words FROM documents)""")
 def distinct_words(spark: SparkSession, folder: str) -> DataFrame:
     split_once = texts(spark, folder).select("doc_id", t.split_words(F.col("text")).alias("w"))

@@ -48,7 +48,7 @@ def class_report(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""
-  SELECT quality AS label, count_if(toxic = 0) AS p0, count_if(toxic = 1) AS p1 FROM labels GROUP BY quality""")
+  SELECT quality AS label, count(*) FILTER (toxic = 0) AS p0, count(*) FILTER (toxic = 1) AS p1 FROM labels GROUP BY quality""")
 def confusion_matrix(spark: SparkSession, folder: str) -> DataFrame:
     matrix = metrics.confusion_matrix(table(spark, folder, "labels"), "quality", "toxic", [0, 1])
     return matrix.withColumnsRenamed({"quality": "label", "0": "p0", "1": "p1"})

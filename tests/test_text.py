@@ -104,6 +104,14 @@ def test_families(spark):
     assert found["easi"] == (["easy"], 1, 1)
 
 
+def test_vocabulary_hits(spark):
+    tokens = spark.createDataFrame([(i, "the") for i in range(500)] + [(0, "river"), (1, "x")], "m int, token string")
+    vocabulary = spark.createDataFrame([("the",), ("the",), ("river",)], "word string")
+    hits = words.vocabulary_hits(tokens, vocabulary, "token")
+    assert sorted(hits.columns) == ["m", "token"]
+    assert hits.count() == 501
+
+
 def test_ticket_text(spark):
     rows = [(1, "Incident", " VPN down ", None, None), (2, None, None, None, None), (3, " ", "\t", "", " \n"), (4, None, None, None, " given ")]
     df = spark.createDataFrame(rows, "id int, type string, subject string, body string, text string")
