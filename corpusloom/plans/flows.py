@@ -5,16 +5,39 @@ Frames that several later passes read are written once to the shared folder.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom import schemas
 from corpusloom.functions import vocab
 from corpusloom.operators import annotate as an
 from corpusloom.operators import clustering as cl
+from corpusloom.operators import chat, corpus, split, tagging
 from corpusloom.operators import features as ft
-from corpusloom.operators import split, tagging
 from corpusloom.operators import tickets as tk
 from corpusloom.session import materialise
+from corpusloom.sources import tables
+
+
+def merged_responses(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Response files that are there, normalised and put together."""
+    parts = [corpus.load_responses(tables.read_optional(spark, path, schemas.RESPONSES)) for path in paths]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def message_corpus(raw: DataFrame, source: str, *others: DataFrame, more_than: int = 10) -> DataFrame:
+    """Raw posts and further messages (message_id, raw_text, source) as one clean corpus."""
+    every = corpus.union_sources(corpus.filter_messages(raw, source), *others)
+    cleaned = corpus.clean_corpus(every, more_than, order=["source_rank", "message_id"])
+    return cleaned.select("message_id", "raw_text", "source")
+
+
+def questions_with_knowledge(questions: DataFrame, path: str, question: str) -> DataFrame:
+    """Prompts grounded in one knowledge file; an absent file is an empty text."""
+    knowledge = tables.read_text(questions.sparkSession, path).limit(1).select("value").scalar()
+    return chat.grounded_prompts(questions, knowledge, question)
 
 
 def token_training_rows(

@@ -139,6 +139,36 @@ def test_flow_and_analysis(spark):
     assert 99 not in lists
 
 
+def test_merged_responses(spark, tmp_path):
+    from corpusloom.plans.flows import merged_responses
+
+    rows = [("H_1", "P1", "q", " long enough to be kept ", " Human"), ("H_2", "P1", "q", "too short", "human")]
+    tables.write_csv(tables.literal_table(spark, rows, schemas.RESPONSES), str(tmp_path / "human"))
+    merged = merged_responses(spark, [str(tmp_path / "human"), str(tmp_path / "absent")]).collect()
+    assert [(r["response_text"], r["source_type"]) for r in merged] == [("long enough to be kept", "human")]
+
+
+def test_message_corpus(spark):
+    from corpusloom.plans.flows import message_corpus
+
+    raw = tables.literal_table(
+        spark, [(4, "flood near the bridge", None, None, 1), (5, "nice weather today", None, None, 0), (6, "short", None, None, 1)],
+        schemas.RAW_TWEETS,
+    )
+    other = tables.literal_table(spark, [("HI_0001", " flood near the bridge ", "m"), ("HI_0002", "paani aa gaya hai", "m")], schemas.CORPUS)
+    built = sorted(tuple(r) for r in message_corpus(raw, "posts", other).collect())
+    assert built == [("HI_0002", "paani aa gaya hai", "m"), ("KG_00004", "flood near the bridge", "posts")]
+
+
+def test_knowledge_questions(spark, tmp_path):
+    from corpusloom.plans.flows import questions_with_knowledge
+
+    (tmp_path / "k.txt").write_text("line one\nline two")
+    asked = spark.createDataFrame([(1, "where?"), (2, "when?")], "id int, q string")
+    prompts = {r["id"]: r["prompt"] for r in questions_with_knowledge(asked, str(tmp_path / "k.txt"), "q").collect()}
+    assert "line one\nline two" in prompts[1] and prompts[2].endswith("User question:\nwhen?")
+
+
 def test_choose_model():
     assert models.choose_model({"a": 1, "b": 2}, "b") == 2
     assert models.choose_model({"a": 1, "b": 2}, "none") == 1
