@@ -36,19 +36,19 @@ class FeatureVocabulary:
     places: list[str] = field(default_factory=lambda: list(vocab.FEATURE_PLACES))
 
 
-def fit_encoders(messages: DataFrame, tokens: str = "tokens", seed_pos: list[str] = vocab.SEED_POS) -> DataFrame:
+def fit_encoders(tokens: DataFrame, seed_pos: list[str] = vocab.SEED_POS) -> DataFrame:
     """(kind, value, code): codes are ranks in the sorted vocabulary of pos, dep and bio.
 
-    ``pos`` also holds the seed values. The few combinations that occur are found first, so the
-    shuffle carries some hundred rows per task.
+    ``tokens`` has one row per token with pos, dep and bio_tag; ``pos`` also gets the seed values.
+    The few combinations that occur are found first, so the shuffle carries some hundred rows per
+    task.
     """
-    rows = explode_rows(messages, [], F.col(tokens), "tok")
-    seen = rows.groupBy(
-        F.coalesce("tok.pos", F.lit("X")).alias("pos"), F.coalesce("tok.dep", F.lit("dep")).alias("dep"),
-        F.coalesce("tok.bio_tag", F.lit("O")).alias("bio"),
+    seen = tokens.groupBy(
+        F.coalesce("pos", F.lit("X")).alias("pos"), F.coalesce("dep", F.lit("dep")).alias("dep"),
+        F.coalesce("bio_tag", F.lit("O")).alias("bio"),
     ).agg(F.count("*").alias("n"))
     values = seen.unpivot([], ["pos", "dep", "bio"], "kind", "value")
-    seeds = messages.sparkSession.createDataFrame([("pos", v) for v in seed_pos], "kind string, value string")
+    seeds = tokens.sparkSession.createDataFrame([("pos", v) for v in seed_pos], "kind string, value string")
     vocabulary = values.unionByName(seeds).distinct()
     rank = F.row_number().over(w.Window.partitionBy("kind").orderBy("value")) - 1
     return vocabulary.withColumn("code", rank)
@@ -75,62 +75,80 @@ def encode(codes: Column, value: Column, unknown: int = 0) -> Column:
     return F.coalesce(F.element_at(codes, value), F.lit(unknown))
 
 
-def token_features(
+def token_columns(
     messages: DataFrame,
-    encoders: dict[str, Column],
     words: FeatureVocabulary | None = None,
     key: str = "message_id",
     tokens: str = "tokens",
-    unknown: int = 0,
     keep: list[str] | None = None,
 ) -> DataFrame:
-    """One row per token: key, token_idx, 13 features and ``bio_enc`` when tokens carry a label.
+    """One row per token: the features before encoding, with the neighbours' part of speech.
 
-    ``keep`` names token fields to carry along.
+    Neighbours are read inside the message row. ``bio_tag`` is there when tokens carry a label, and
+    ``keep`` names further token fields to carry along.
     """
     words = words or FeatureVocabulary()
-    labelled = "bio_tag" in messages.schema[tokens].dataType.elementType.names
-    held = messages.select(
-        key, tokens, encoders["pos"].alias("_pos"), encoders["dep"].alias("_dep"), encoders["bio"].alias("_bio")
-    )
+    fields = messages.schema[tokens].dataType.elementType.names
+    carried = [name for name in fields if name in ["bio_tag"] + (keep or []) and name not in ("pos", "dep")]
 
-    def pos_code(pos: Column) -> Column:
-        return encode(F.col("_pos"), F.coalesce(pos, F.lit("X")), unknown)
+    def flag(test: Column) -> Column:
+        return F.coalesce(test, F.lit(False)).cast("int")
 
-    def one(toks: Column, codes: Column, tok: Column, i: Column) -> Column:
+    def one(toks: Column, tok: Column, i: Column) -> Column:
         n = F.size(toks)
-        edge = pos_code(F.lit("X"))
         prev, after = F.get(toks, i - 1), F.get(toks, i + 1)
-        flag = lambda test: F.coalesce(test, F.lit(False)).cast("int")
-        columns = [
+        return F.struct(
             i.alias("token_idx"),
-            F.get(codes, i).alias("pos_enc"),
-            encode(F.col("_dep"), F.coalesce(tok["dep"], F.lit("dep")), unknown).alias("dep_enc"),
-            F.when(i > 0, F.get(codes, i - 1)).otherwise(edge).alias("prev_pos_enc"),
-            F.when(i < n - 1, F.get(codes, i + 1)).otherwise(edge).alias("next_pos_enc"),
+            F.coalesce(tok["pos"], F.lit("X")).alias("pos"),
+            F.coalesce(tok["dep"], F.lit("dep")).alias("dep"),
+            F.coalesce(F.when(i > 0, prev["pos"]), F.lit("X")).alias("prev_pos"),
+            F.coalesce(after["pos"], F.lit("X")).alias("next_pos"),
             flag((i > 0) & prev["lemma"].isin(words.prepositions)).alias("prev_is_prep"),
-            flag(after["pos"].isin("NOUN", "PROPN")).alias("next_is_noun"),
             flag(tok["lemma"].isin(words.actions)).alias("is_act_verb"),
             flag(tok["lemma"].isin(words.places)).alias("is_loc_word"),
             flag(t.is_capitalised(tok["token"])).alias("is_capitalized"),
             tok["is_ent"].alias("is_ent"),
-            half_even(i / F.greatest(n - 1, F.lit(1)), 4).alias("token_pos_norm"),
-            half_even(n / F.lit(50.0), 4).alias("sentence_len"),
+            n.alias("n_tokens"),
             flag(t.is_numeric(tok["token"])).alias("is_number"),
-        ]
-        if labelled:
-            columns.append(encode(F.col("_bio"), tok["bio_tag"], unknown).alias("bio_enc"))
-        columns += [tok[name].alias(name) for name in keep or []]
-        return F.struct(*columns)
-
-    rows = let(
-        F.col(tokens),
-        lambda toks: let(
-            F.transform(toks, lambda tok: pos_code(tok["pos"])),
-            lambda codes: F.transform(toks, lambda tok, i: one(toks, codes, tok, i)),
-        ),
-    )
-    return explode_rows(held, [key], rows, "f").select(key, "f.*")
+            *[tok[name].alias(name) for name in carried],
+        )
+
+    rows = let(F.col(tokens), lambda toks: F.transform(toks, lambda tok, i: one(toks, tok, i)))
+    return explode_rows(messages, [key], rows, "f").select(key, "f.*")
+
+
+def encode_tokens(
+    rows: DataFrame, encoders: dict[str, Column], unknown: int = 0, key: str = "message_id", keep: list[str] | None = None
+) -> DataFrame:
+    """Key, token_idx, the 13 features and ``bio_enc`` where there is a label."""
+    pos = lambda name: encode(encoders["pos"], F.col(name), unknown)
+    place = F.col("token_idx") / F.greatest(F.col("n_tokens") - 1, F.lit(1))
+    made = {
+        "pos_enc": pos("pos"),
+        "dep_enc": encode(encoders["dep"], F.col("dep"), unknown),
+        "prev_pos_enc": pos("prev_pos"),
+        "next_pos_enc": pos("next_pos"),
+        "next_is_noun": F.col("next_pos").isin("NOUN", "PROPN").cast("int"),
+        "token_pos_norm": half_even(place, 4),
+        "sentence_len": half_even(F.col("n_tokens") / 50.0, 4),
+    }
+    columns = [made.get(name, F.col(name)).alias(name) for name in TOKEN_FEATURES]
+    if "bio_tag" in rows.columns:
+        columns.append(encode(encoders["bio"], F.col("bio_tag"), unknown).alias("bio_enc"))
+    return rows.select(key, "token_idx", *columns, *(keep or []))
+
+
+def token_features(
+    messages: DataFrame,
+    encoders: dict[str, Column],
+    words: FeatureVocabulary | None = None,
+    key: str = "message_id",
+    tokens: str = "tokens",
+    unknown: int = 0,
+    keep: list[str] | None = None,
+) -> DataFrame:
+    """One row per token with its features, for encoders that are fitted already."""
+    return encode_tokens(token_columns(messages, words, key, tokens, keep), encoders, unknown, key, keep)
 
 
 def sentence_depth(sentence: Column) -> Column:

@@ -40,29 +40,31 @@ def questions_with_knowledge(questions: DataFrame, path: str, question: str) ->
     return chat.grounded_prompts(questions, knowledge, question)
 
 
+def _parted(rows: DataFrame, key: str, folds: int | None) -> DataFrame:
+    parted = split.stratified_split(rows, "label", key, {"train": 75, "test": 25})
+    return split.stratified_folds(parted, "label", key, folds) if folds else parted
+
+
 def token_training_rows(
     messages: DataFrame,
     words: tagging.SpanVocabulary | None = None,
     feature_words: ft.FeatureVocabulary | None = None,
-    folds: int = 5,
+    folds: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Messages (message_id, raw_text) to token rows and encoders.
 
-    Rows have token_id, features, label, weight (balanced twice), split (75/25) and fold.
+    Rows have token_id, features, label, weight (balanced twice), split (75/25) and, if asked for,
+    a fold.
     """
     tagged = tagging.tag_corpus(messages, words, fields=ft.TOKEN_FIELDS)
-    corpus = materialise(tagged.select("message_id", "tokens"), "tagged")
-    encoders = materialise(ft.fit_encoders(corpus), "encoders")
-    rows = ft.token_features(corpus, ft.encoder_maps(encoders), feature_words)
-    keyed = rows.withColumn("label", F.col("bio_enc").cast("double")).withColumn(
-        "token_id", F.concat_ws("#", "message_id", "token_idx")
-    )
-    held = materialise(keyed, "token-features")
-    parted = split.stratified_split(held, "label", "token_id", {"train": 75, "test": 25})
-    folded = split.stratified_folds(parted, "label", "token_id", folds)
-    weighted = split.with_weights(folded, "label", power=2)
-    kept = cl.assemble(weighted, ft.TOKEN_FEATURES).select("token_id", "features", "label", "weight", "split", "fold")
-    return materialise(kept, "token-rows"), encoders
+    held = materialise(ft.token_columns(tagged, feature_words), "token-columns")
+    encoders = materialise(ft.fit_encoders(held), "encoders")
+    rows = ft.encode_tokens(held, ft.encoder_maps(encoders)).withColumn("label", F.col("bio_enc").cast("double"))
+    keyed = rows.withColumn("token_id", F.concat_ws("#", "message_id", "token_idx"))
+    weighted = split.with_weights(_parted(keyed, "token_id", folds), "label", power=2)
+    kept = cl.assemble(weighted, ft.TOKEN_FEATURES)
+    extra = ["fold"] if folds else []
+    return materialise(kept.select("token_id", "features", "label", "weight", "split", *extra), "token-rows"), encoders
 
 
 def style_rows(
@@ -73,13 +75,11 @@ def style_rows(
     return ft.style_features(annotated, hedges=hedges, discourse=discourse)
 
 
-def style_training_rows(styles: DataFrame, folds: int = 5) -> DataFrame:
-    """Style features to rows with features, label (1 is AI), split (75/25) and fold."""
+def style_training_rows(styles: DataFrame, folds: int | None = None) -> DataFrame:
+    """Style features to rows with features, label (1 is AI), split (75/25) and, if asked for, a fold."""
     rows = styles.withColumn("label", (F.col("source_type") == "AI").cast("double"))
     held = materialise(rows.select("response_id", "label", *ft.STYLE_FEATURES), "style-features")
-    parted = split.stratified_split(held, "label", "response_id", {"train": 75, "test": 25})
-    folded = split.stratified_folds(parted, "label", "response_id", folds)
-    kept = cl.assemble(folded, ft.STYLE_FEATURES).select("response_id", "features", "label", "split", "fold")
+    kept = cl.assemble(_parted(held, "response_id", folds), ft.STYLE_FEATURES).drop(*ft.STYLE_FEATURES)
     return materialise(kept, "style-rows")
 
 

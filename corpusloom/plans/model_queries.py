@@ -126,8 +126,8 @@ def clustering_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 # ---- style classifiers -------------------------------------------------------------------------
 
-def style_matrix(spark: SparkSession, folder: str) -> DataFrame:
-    return flows.style_training_rows(styled(spark, folder))
+def style_matrix(spark: SparkSession, folder: str, folds: int | None = None) -> DataFrame:
+    return flows.style_training_rows(styled(spark, folder), folds)
 
 
 def _style_estimators(rounds: int) -> dict[str, object]:
@@ -156,7 +156,7 @@ def style_classification(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def style_cross_validation(spark: SparkSession, folder: str) -> DataFrame:
     """Mean and deviation of F1 over five folds."""
-    data = style_matrix(spark, folder)
+    data = style_matrix(spark, folder, folds=5)
     est = models.decision_tree(depth=5, leaf=4, weight=None)
     return counting.fold_statistics(models.cross_validate("DecisionTree", est, data, positive=1.0), "model", "score")
 
@@ -178,9 +178,9 @@ def reply_messages(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def token_matrix(spark: SparkSession, folder: str) -> DataFrame:
+def token_matrix(spark: SparkSession, folder: str, folds: int | None = None) -> DataFrame:
     """The tokens of all replies."""
-    return flows.token_training_rows(reply_messages(spark, folder), TEST_SPANS, TEST_FEATURES)[0]
+    return flows.token_training_rows(reply_messages(spark, folder), TEST_SPANS, TEST_FEATURES, folds)[0]
 
 
 def _token_report(scored: DataFrame) -> DataFrame:
@@ -226,7 +226,7 @@ def importance_table(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def token_cross_validation(spark: SparkSession, folder: str) -> DataFrame:
     """Mean and deviation of macro F1 over five folds."""
-    data = token_matrix(spark, folder)
+    data = token_matrix(spark, folder, folds=5)
     est = models.decision_tree(weight=None)
     return counting.fold_statistics(models.cross_validate("Decision Tree", est, data), "model", "score")
 

@@ -132,7 +132,7 @@ _ENCODERS = _BIO + f""",
 
 @query(_ENCODERS + " SELECT kind, value, code FROM enc")
 def encoder_tables(spark: SparkSession, folder: str) -> DataFrame:
-    return ft.fit_encoders(tagged(spark, folder, ["pos", "dep"]))
+    return ft.fit_encoders(tagging.bio_tokens(tagged(spark, folder, ["pos", "dep"])))
 
 
 @query(_ENCODERS + rf""",
@@ -149,10 +149,9 @@ def encoder_tables(spark: SparkSession, folder: str) -> DataFrame:
     LEFT JOIN enc pp ON pp.kind = 'pos' AND pp.value = f.prev_pos LEFT JOIN enc np ON np.kind = 'pos' AND np.value = f.next_pos
     JOIN enc b ON b.kind = 'bio' AND b.value = f.bio_tag""")
 def token_features(spark: SparkSession, folder: str) -> DataFrame:
-    """Tagging is written once; the encoders and the features both read it."""
-    corpus = materialise(tagged(spark, folder, ft.TOKEN_FIELDS).select("message_id", "tokens"), "tagged")
-    encoders = ft.encoder_maps(ft.fit_encoders(corpus))
-    return ft.token_features(corpus, encoders, TEST_FEATURES)
+    """Token rows are written once; the encoders and the features both read them."""
+    rows = materialise(ft.token_columns(tagged(spark, folder, ft.TOKEN_FIELDS), TEST_FEATURES), "token-columns")
+    return ft.encode_tokens(rows, ft.encoder_maps(ft.fit_encoders(rows)))
 
 
 @query(r"""

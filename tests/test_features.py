@@ -45,7 +45,7 @@ def tagged(spark, *texts):
 
 def test_token_features(spark):
     corpus = tagged(spark, "help", "Send 1,200 boats near Delhi")
-    encoders = ft.fit_encoders(corpus)
+    encoders = ft.fit_encoders(tg.bio_tokens(corpus))
     codes = {(r["kind"], r["value"]): r["code"] for r in encoders.collect()}
     seen = sorted(set(vocab.SEED_POS))
     assert [codes[("pos", v)] for v in seen] == list(range(len(seen)))
@@ -59,7 +59,7 @@ def test_token_features(spark):
 
 
 def test_unknown_value(spark):
-    encoders = ft.fit_encoders(tagged(spark, "help"))
+    encoders = ft.fit_encoders(tg.bio_tokens(tagged(spark, "help")))
     other = tagged(spark, "we go")
     rows = ft.token_features(other, ft.encoder_maps(encoders)).collect()
     assert rows[0]["pos_enc"] == 0

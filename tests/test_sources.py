@@ -111,10 +111,10 @@ def test_priority_model(spark):
 
 def test_encoder_table(spark, tmp_path):
     from corpusloom.operators.features import encoder_maps, fit_encoders
-    from corpusloom.operators.tagging import tag_corpus
+    from corpusloom.operators.tagging import bio_tokens, tag_corpus
 
     messages = spark.createDataFrame([("a", "Send boats near Delhi")], "message_id string, raw_text string")
-    encoders = fit_encoders(tag_corpus(messages))
+    encoders = fit_encoders(bio_tokens(tag_corpus(messages)))
     path = str(tmp_path / "encoders")
     tables.write_csv(encoders, path)
     back = tables.read_csv(spark, path, "kind string, value string, code int")
