@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 MAX_ENTRIES = 1000
 
 
-def _gathered(frame: DataFrame, entry: Column, max_entries: int) -> DataFrame:
-    """One row with all entries of a small frame; an error when there are too many."""
+def gathered(frame: DataFrame, entry: Column, max_entries: int = MAX_ENTRIES) -> DataFrame:
+    """One row with all ``entries`` of a small frame; an error when there are too many."""
     rows = frame.limit(max_entries + 1).agg(F.collect_list(entry).alias("entries"))
     checked = F.when(F.size("entries") <= max_entries, F.col("entries")).otherwise(
         F.raise_error(F.lit(f"lookup table has more than {max_entries} rows"))
@@ -24,12 +24,12 @@ def _gathered(frame: DataFrame, entry: Column, max_entries: int) -> DataFrame:
 
 def bounded_list(frame: DataFrame, entry: Column, max_entries: int = MAX_ENTRIES) -> Column:
     """All rows of a small ``frame`` as one array."""
-    return _gathered(frame, entry, max_entries).scalar()
+    return gathered(frame, entry, max_entries).scalar()
 
 
 def bounded_map(frame: DataFrame, key: str, value: Column, max_entries: int = MAX_ENTRIES) -> Column:
     """``key -> value`` of a small ``frame`` whose keys are unique and not null."""
-    entries = _gathered(frame, F.struct(F.col(key), value.alias("v")), max_entries)
+    entries = gathered(frame, F.struct(F.col(key), value.alias("v")), max_entries)
     return entries.select(F.map_from_entries("entries").alias("m")).scalar()
 
 

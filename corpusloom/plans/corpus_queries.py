@@ -9,6 +9,7 @@ from corpusloom.functions import text as t
 from corpusloom.functions import vocab
 from corpusloom.functions.numeric import argmax, half_even, ratio, softmax
 from corpusloom.functions.stemming import add_stems
+from corpusloom.lookups import gathered
 from corpusloom.operators import chat, corpus, counting, ordering, split, words
 from corpusloom.operators import tickets as tk
 from corpusloom.plans.porter_sql import PORTER_SQL
@@ -338,11 +339,11 @@ def conversation_history(spark: SparkSession, folder: str) -> DataFrame:
   FROM conversations, k WHERE role = 'user'""")
 def grounded_prompts(spark: SparkSession, folder: str) -> DataFrame:
     """The five rows of region are the knowledge text, user turns are the questions."""
-    lines = table(spark, folder, "region").select(
-        "r_regionkey", F.concat(F.lit("Region: "), "r_name").alias("line")
-    ).limit(1000)
-    ordered = F.array_sort(F.collect_list(F.struct("r_regionkey", "line")))
-    knowledge = lines.agg(F.array_join(F.transform(ordered, lambda x: x["line"]), "\n").alias("k")).scalar()
+    line = F.concat(F.lit("Region: "), "r_name").alias("line")
+    lines = gathered(table(spark, folder, "region"), F.struct("r_regionkey", line)).select(
+        F.transform(F.array_sort("entries"), lambda x: x["line"]).alias("lines")
+    )
+    knowledge = lines.select(F.array_join("lines", "\n")).scalar()
     asked = table(spark, folder, "conversations").where(F.col("role") == "user")
     return chat.grounded_prompts(asked, knowledge, "text").select("conv_id", "turn", "prompt")
 

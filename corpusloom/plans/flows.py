@@ -35,8 +35,8 @@ def message_corpus(raw: DataFrame, source: str, *others: DataFrame, more_than: i
 
 
 def questions_with_knowledge(questions: DataFrame, path: str, question: str) -> DataFrame:
-    """Prompts grounded in one knowledge file; an absent file is an empty text."""
-    knowledge = tables.read_text(questions.sparkSession, path).limit(1).select("value").scalar()
+    """Prompts grounded in one knowledge file; an absent file is an empty text, several are an error."""
+    knowledge = tables.read_text(questions.sparkSession, path).select("value").scalar()
     return chat.grounded_prompts(questions, knowledge, question)
 
 

@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from corpusloom.lookups import gathered
+
 
 def _declared(schema: str | StructType) -> StructType:
     return schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
@@ -84,9 +86,8 @@ def read_json(spark: SparkSession, path: str, schema: str | StructType) -> DataF
 def summary_row(metrics: DataFrame, importances: DataFrame, alignment: DataFrame, top: int = 8) -> DataFrame:
     """Metrics by model, the top features and the cluster alignment as one nested row."""
     best = importances.orderBy(F.desc("importance"), "feature").limit(top)
-    models = metrics.agg(
-        F.array_sort(F.collect_list(F.struct("model", "accuracy", "precision", "recall", "f1"))).alias("classification")
-    )
+    scores = F.struct("model", "accuracy", "precision", "recall", "f1")
+    models = gathered(metrics, scores).select(F.array_sort("entries").alias("classification"))
     features = best.agg(F.map_from_entries(F.collect_list(F.struct("feature", "importance"))).alias("m")).scalar()
     aligned = alignment.select(F.struct("kmeans_ari", "hierarchical_ari").alias("a")).scalar()
     return models.withColumn("top_features", features).withColumn("cluster_alignment", aligned)
