@@ -47,13 +47,16 @@ def _outcomes(token: Column, prev_lemma: Column, words: SpanVocabulary, tag: str
         dep.isin(vocab.PLACE_INNER_DEPS) | (pos == "NUM") | place | token["token"].isin(vocab.PLACE_JOINERS)
     )
     action_inner = dep.isin(vocab.ACTION_INNER_DEPS) & pos.isin(vocab.ACTION_INNER_POS)
-    opening = F.when(place_start, LOC_START).when(action_start, ACT_START)
-    outside = F.when(
-        prev_lemma.isin(words.prepositions), F.when(pos.isin(vocab.PLACE_HEAD_POS), LOC_START).otherwise(OUTSIDE)
-    ).otherwise(F.coalesce(opening, F.lit(OUTSIDE)))
-    in_place = F.when(place_inner, LOC_INNER).otherwise(OUTSIDE)
-    in_action = F.coalesce(opening, F.when(action_inner, ACT_INNER).otherwise(OUTSIDE))
-    return F.coalesce(entity * (1 + 8 + 64), outside + in_place * 8 + in_action * 64)
+    opening = F.when(place_start, LOC_START).when(action_start, ACT_START).otherwise(OUTSIDE)
+    after_preposition = F.when(pos.isin(vocab.PLACE_HEAD_POS), LOC_START).otherwise(OUTSIDE)
+    in_place = F.when(place_inner, LOC_INNER).otherwise(OUTSIDE) * 8
+
+    def packed(start: Column) -> Column:
+        outside = F.when(prev_lemma.isin(words.prepositions), after_preposition).otherwise(start)
+        in_action = F.when((start == OUTSIDE) & action_inner, ACT_INNER).otherwise(start)
+        return outside + in_place + in_action * 64
+
+    return F.coalesce(entity * (1 + 8 + 64), let(opening, packed))
 
 
 def _next(outcome: Column, code: Column) -> Column:
