@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import pyarrow as pa
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,13 +35,13 @@ def sampled(rows: DataFrame, key: Column, limit: int) -> DataFrame:
     return rows.where(F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(2**32)) < share)
 
 
-def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
-    """The texts of an Arrow batch; bytes that are not UTF-8 read as the replacement character."""
-    values = batch.column(column)
-    if pa.types.is_binary(values.type) or pa.types.is_large_binary(values.type):
-        return [(x or b"").decode("utf-8", "replace") for x in values.to_pylist()]
-    return [x or "" for x in values.to_pylist()]
-
-
-def batches(columns: dict[str, object], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 2000) -> Iterator[None]:
+    """Arrow batches of at most ``rows`` rows for what is run inside, so that a task holds few texts at once."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import id_and_text
+from corpusloom.llm.common import id_and_text, small_batches
 from corpusloom.llm.components import components
 from corpusloom.llm.quality import windows
 from corpusloom.session import materialise
@@ -215,6 +215,10 @@ class JaccardJoin:
         self.words, self.threshold, self.list_rows = words_each, Threshold(percent), list_rows
         self.kind = dict(self.rows.dtypes)["id"]
 
+    def written(self, rows: DataFrame, name: str) -> DataFrame:
+        with small_batches(rows.sparkSession):
+            return materialise(rows, name)
+
     def sets(self) -> DataFrame:
         """``id, n, print, prefix``: size, 128-bit fingerprint and hash-ordered prefix of each row's set."""
         words, threshold = self.words, self.threshold
@@ -229,7 +233,7 @@ class JaccardJoin:
                     rows.append((len(codes), fingerprint(codes), first.view(np.int64)))
                 yield pd.DataFrame(rows, columns=["n", "print", "prefix"])
 
-        return materialise(self.rows.select("id", summary("text").alias("s")).select("id", "s.*"), "shingle-sets")
+        return self.written(self.rows.select("id", summary("text").alias("s")).select("id", "s.*"), "shingle-sets")
 
     def plan(self, firsts: DataFrame) -> tuple[np.ndarray, int]:
         """The common elements, at most 100,000 whatever the size of the corpus, and the boundary of small sets.
@@ -266,7 +270,7 @@ class JaccardJoin:
                 yield pd.DataFrame([(k.view(np.int64), s, p) for k, s, p in rows], columns=["keys", "sketch", "print"])
 
         signed = self.rows.select("id", sign("text").alias("s")).select("id", "s.*")
-        return materialise(signed.join(firsts.select("id", "print", "n"), ["id", "print"]).dropDuplicates(["id", "print"]), "signatures")
+        return self.written(signed.join(firsts.select("id", "print", "n"), ["id", "print"]).dropDuplicates(["id", "print"]), "signatures")
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """``a, b, linked``: every pair decided on the whole sets of both texts."""
@@ -285,7 +289,7 @@ class JaccardJoin:
 
         right = pairs.join(self.rows, pairs["b"] == self.rows["id"]).select("a", "b", F.col("text").alias("right"))
         both = right.join(self.rows, right["a"] == self.rows["id"])
-        return materialise(both.select("a", "b", linked("text", "right").alias("linked")), "verified")
+        return self.written(both.select("a", "b", linked("text", "right").alias("linked")), "verified")
 
     def stars(self, lists: DataFrame, keyed: DataFrame) -> DataFrame:
         """In lists of more than ``list_rows`` rows, the pairs with the smallest id that nothing rules out."""
