@@ -29,23 +29,24 @@ def ngrams(points: np.ndarray, ends: np.ndarray, lengths: tuple[int, ...]) -> It
             yield ((mixed * SPREAD) >> np.uint64(64 - BITS)).astype(np.int32), owner[n - 1 :] == owner[: len(mixed)]
 
 
-def present(texts: list[str], lengths: tuple[int, ...], wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct (text, bucket) pairs of the wanted buckets, as two arrays ordered by text.
+def present(texts: list[str], lengths: tuple[int, ...], wanted: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The distinct (text, bucket) pairs of the wanted buckets, as pairs of arrays ordered by text.
 
-    Work is done in pieces of a few million characters, so memory does not follow the batch.
+    Texts are taken a million characters at a time, one pair of arrays each, so memory does not
+    follow the size of the batch.
     """
-    found: list[np.ndarray] = []
     start = 0
     while start < len(texts):
         stop, size = start, 0
-        while stop < len(texts) and (stop == start or size < 2_000_000):
+        while stop < len(texts) and (stop == start or size < 1_000_000):
             size += len(texts[stop])
             stop += 1
         points, ends = code_points(texts[start:stop])
         owner = np.repeat(np.arange(start, stop, dtype=np.int64), np.diff(ends, prepend=0))
+        found = [np.empty(0, np.int64)]
         for buckets, inside in ngrams(points, ends, lengths):
-            at = np.flatnonzero(wanted[buckets] & inside)
+            at = np.flatnonzero(inside if wanted is None else wanted[buckets] & inside)
             found.append(np.unique((owner[at] << BITS) | buckets[at]))
+        pairs = np.unique(np.concatenate(found))
+        yield pairs >> BITS, pairs & (2**BITS - 1)
         start = stop
-    pairs = np.unique(np.concatenate(found)) if found else np.empty(0, np.int64)
-    return pairs >> BITS, pairs & (2**BITS - 1)

@@ -28,8 +28,9 @@ class ToxicityModel:
     lengths: tuple[int, ...] = LENGTHS
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        rows, buckets = present(texts, self.lengths, self.weights != 0)
-        sums = np.bincount(rows, self.weights[buckets], minlength=len(texts))
+        sums = np.zeros(len(texts))
+        for rows, buckets in present(texts, self.lengths, self.weights != 0):
+            sums += np.bincount(rows, self.weights[buckets], minlength=len(texts))
         return 1 / (1 + np.exp(-np.clip(sums + self.bias, -30, 30)))
 
 
@@ -65,11 +66,11 @@ def fit_toxicity(
 
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         totals = np.zeros((2, 2**BITS), np.int64)
-        every = np.ones(2**BITS, bool)
         for part in parts:
             for label in (0, 1):
                 texts = part["text"][part["y"] == label].tolist()
-                totals[label] += np.bincount(present(texts, LENGTHS, every)[1], minlength=2**BITS)
+                for _, buckets in present(texts, LENGTHS):
+                    totals[label] += np.bincount(buckets, minlength=2**BITS)
         at = np.flatnonzero(totals.sum(0))
         yield pd.DataFrame({"bucket": at, "p": totals[1, at], "q": totals[0, at]})
 
@@ -89,7 +90,8 @@ def fit_toxicity(
 
     def hits(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            row, bucket = present(part["text"].tolist(), LENGTHS, ratios != 0)
+            found = list(present(part["text"].tolist(), LENGTHS, ratios != 0)) or [(np.empty(0, int),) * 2]
+            row, bucket = (np.concatenate(x) for x in zip(*found))
             cuts = np.searchsorted(row, np.arange(1, len(part)))
             yield pd.DataFrame({
                 "y": part["y"].astype(float),
