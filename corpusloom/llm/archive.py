@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from corpusloom.llm import warc
-from corpusloom.llm.common import named
+from corpusloom.llm.common import named, small_batches
 from corpusloom.session import materialise
 
 
@@ -36,6 +36,7 @@ def archive_pages(
     A null html is an empty payload, a null url leaves the header out. A null id is written as an empty
     record id and is never referred to unless its group has no other; of repeated rows with the smallest id each is a response.
     """
+    small_batches(pages.sparkSession)
     payload = F.coalesce(named(html_col).cast("string"), F.lit("")).cast("binary")
     rows = pages.select(named(id_col).alias("id"), named(url_col).cast("string").alias("target_uri"), payload.alias("payload"))
     rows = rows.withColumns({"sha": F.sha1("payload"), "mixed": F.xxhash64("payload"), "size": F.octet_length("payload").cast("long")})

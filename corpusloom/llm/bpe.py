@@ -28,7 +28,7 @@ def encoding(rank_path: str, pattern: str) -> tiktoken.Encoding:
 class WordCache(dict):
     """Blank plus word -> its ids as little-endian unsigned 32-bit integers, encoded when first met."""
 
-    def __init__(self, encode, limit: int = 600_000) -> None:
+    def __init__(self, encode, limit: int = 150_000) -> None:
         self.encode, self.limit = encode, limit
 
     def __missing__(self, word: str) -> bytes:

@@ -32,13 +32,13 @@ def ngrams(points: np.ndarray, ends: np.ndarray, lengths: tuple[int, ...]) -> It
 def present(texts: list[str], lengths: tuple[int, ...], wanted: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """The distinct (text, bucket) pairs of the wanted buckets, as pairs of arrays ordered by text.
 
-    Texts are taken a million characters at a time, one pair of arrays each, so memory does not
+    Texts are taken a quarter of a million characters at a time, one pair of arrays each, so memory does not
     follow the size of the batch.
     """
     start = 0
     while start < len(texts):
         stop, size = start, 0
-        while stop < len(texts) and (stop == start or size < 1_000_000):
+        while stop < len(texts) and (stop == start or size < 250_000):
             size += len(texts[stop])
             stop += 1
         points, ends = code_points(texts[start:stop])

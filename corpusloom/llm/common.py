@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
 from collections.abc import Iterator
-from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+M_MMAP_THRESHOLD = -3
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -20,6 +24,7 @@ def named(name: str) -> Column:
 
 def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``id`` and ``text`` (null: empty), and nothing else, so other columns cannot clash."""
+    small_batches(docs.sparkSession)
     return docs.select(named(id_col).alias("id"), F.coalesce(named(text_col).cast("string"), F.lit("")).alias("text"))
 
 
@@ -35,13 +40,23 @@ def sampled(rows: DataFrame, key: Column, limit: int) -> DataFrame:
     return rows.where(F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(2**32)) < share)
 
 
-@contextmanager
-def small_batches(spark: SparkSession, rows: int = 2000) -> Iterator[None]:
-    """Arrow batches of at most ``rows`` rows for what is run inside, so that a task holds few texts at once."""
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches of at most ``rows`` rows in this session: texts are long, and a task holds a batch several times."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
+def lean(parts: Iterator) -> Iterator:
+    """The batches of a task; large arrays go back to the system when freed, the rest when the batches are done.
+
+    A Python worker outlives its tasks and would otherwise keep the most memory it ever had.
+    """
+    library = ctypes.CDLL(ctypes.util.find_library("c"))
+    glibc = hasattr(library, "malloc_trim")
+    if glibc:
+        library.mallopt(M_MMAP_THRESHOLD, 1 << 18)
+    yield from parts
+    pa.default_memory_pool().release_unused()
+    if glibc:
+        library.malloc_trim(0)

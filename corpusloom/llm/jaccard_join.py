@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import id_and_text, small_batches
+from corpusloom.llm.common import id_and_text, lean
 from corpusloom.llm.components import components
 from corpusloom.llm.quality import windows
 from corpusloom.session import materialise
@@ -25,7 +25,7 @@ class WordHashes(dict):
     """Word -> its 64-bit hash, kept for the words that recur."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 100_000:
             self.clear()
         self[word] = value = xxhash.xxh64_intdigest(word)
         return value
@@ -139,9 +139,10 @@ class Sketches:
         """In how many bits the sketches of each pair differ."""
         result = np.empty(len(small), np.int64)
         for width in np.unique(self.widths[small]).tolist():
-            at = np.flatnonzero(self.widths[small] == width)
             rows, place = self.rows[width], self.place[width]
-            result[at] = np.bitwise_count(rows[place[small[at]]] ^ rows[place[large[at]]]).sum(1)
+            every = np.flatnonzero(self.widths[small] == width)
+            for at in np.array_split(every, 1 + len(every) * width // 8_000_000):
+                result[at] = np.bitwise_count(rows[place[small[at]]] ^ rows[place[large[at]]]).sum(1)
         return result
 
 
@@ -158,7 +159,7 @@ def possible_pairs(part: pd.DataFrame, lists: np.ndarray, threshold: Threshold)
     total = np.cumsum(counts)
     found, start = [(np.empty(0, np.int64), np.empty(0, np.int64))], 0
     while start < len(part):
-        stop = max(start + 1, int(np.searchsorted(total, (total[start - 1] if start else 0) + 1_000_000)))
+        stop = max(start + 1, int(np.searchsorted(total, (total[start - 1] if start else 0) + 250_000)))
         own = counts[start:stop]
         small = np.repeat(np.arange(start, min(stop, len(part))), own)
         large = small + 1 + np.arange(len(small)) - np.repeat(np.cumsum(own) - own, own)
@@ -215,17 +216,13 @@ class JaccardJoin:
         self.words, self.threshold, self.list_rows = words_each, Threshold(percent), list_rows
         self.kind = dict(self.rows.dtypes)["id"]
 
-    def written(self, rows: DataFrame, name: str) -> DataFrame:
-        with small_batches(rows.sparkSession):
-            return materialise(rows, name)
-
     def sets(self) -> DataFrame:
         """``id, n, print, prefix``: size, 128-bit fingerprint and hash-ordered prefix of each row's set."""
         words, threshold = self.words, self.threshold
 
         @F.pandas_udf("struct<n long, print binary, prefix array<long>>")
         def summary(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-            for part in parts:
+            for part in lean(parts):
                 rows = []
                 for text in part:
                     codes = shingles(text, words)
@@ -233,7 +230,7 @@ class JaccardJoin:
                     rows.append((len(codes), fingerprint(codes), first.view(np.int64)))
                 yield pd.DataFrame(rows, columns=["n", "print", "prefix"])
 
-        return self.written(self.rows.select("id", summary("text").alias("s")).select("id", "s.*"), "shingle-sets")
+        return materialise(self.rows.select("id", summary("text").alias("s")).select("id", "s.*"), "shingle-sets")
 
     def plan(self, firsts: DataFrame) -> tuple[np.ndarray, int]:
         """The common elements, at most 100,000 whatever the size of the corpus, and the boundary of small sets.
@@ -264,13 +261,13 @@ class JaccardJoin:
 
         @F.pandas_udf("struct<keys array<long>, sketch binary, print binary>")
         def sign(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-            for part in parts:
+            for part in lean(parts):
                 sets = [shingles(t, words) for t in part]
                 rows = [(*signatures(codes, threshold, held.value, small), fingerprint(codes)) for codes in sets]
                 yield pd.DataFrame([(k.view(np.int64), s, p) for k, s, p in rows], columns=["keys", "sketch", "print"])
 
         signed = self.rows.select("id", sign("text").alias("s")).select("id", "s.*")
-        return self.written(signed.join(firsts.select("id", "print", "n"), ["id", "print"]).dropDuplicates(["id", "print"]), "signatures")
+        return materialise(signed.join(firsts.select("id", "print", "n"), ["id", "print"]).dropDuplicates(["id", "print"]), "signatures")
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """``a, b, linked``: every pair decided on the whole sets of both texts."""
@@ -278,7 +275,7 @@ class JaccardJoin:
 
         @F.pandas_udf("boolean")
         def linked(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-            for left, right in parts:
+            for left, right in lean(parts):
                 known: dict[str, np.ndarray] = {}
                 result = []
                 for x, y in zip(left, right):
@@ -289,7 +286,7 @@ class JaccardJoin:
 
         right = pairs.join(self.rows, pairs["b"] == self.rows["id"]).select("a", "b", F.col("text").alias("right"))
         both = right.join(self.rows, right["a"] == self.rows["id"])
-        return self.written(both.select("a", "b", linked("text", "right").alias("linked")), "verified")
+        return materialise(both.select("a", "b", linked("text", "right").alias("linked")), "verified")
 
     def stars(self, lists: DataFrame, keyed: DataFrame) -> DataFrame:
         """In lists of more than ``list_rows`` rows, the pairs with the smallest id that nothing rules out."""

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.bpe import encoder
-from corpusloom.llm.common import id_and_text
+from corpusloom.llm.common import id_and_text, lean
 from corpusloom.session import materialise
 
 Bins = list[list[int]]
@@ -42,7 +42,7 @@ def document_pieces(
     @F.arrow_udf(f"array<struct<{spelled}>>")
     def cut(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = encoder(rank_path, pattern)
-        for part in parts:
+        for part in lean(parts):
             rows, counts = [], [0]
             for text in part.to_pylist():
                 data = own.encode(text) + end

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import id_and_text, named, sampled
+from corpusloom.llm.common import id_and_text, lean, named, sampled
 from corpusloom.session import materialise
 
 WHITE = b" \t\n\x0b\x0c\r"
@@ -61,7 +61,7 @@ def rule_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     @F.pandas_udf(f"struct<{columns}>")
     def measure(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for part in parts:
+        for part in lean(parts):
             rows = np.array([statistics(t) for t in part], np.int64).reshape(len(part), len(STATISTICS))
             yield pd.DataFrame(rows, columns=list(STATISTICS))
 

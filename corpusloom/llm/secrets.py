@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import id_and_text, named, sampled
+from corpusloom.llm.common import id_and_text, lean, named, sampled, small_batches
 
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII
@@ -81,7 +81,7 @@ def labelled_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
 
     def label(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
+        for part in lean(parts):
             tokens, marks = [], []
             for text in part["text"]:
                 spans = base_spans(text)
@@ -104,7 +104,7 @@ def fit_markov(labelled: DataFrame, smoothing: float = 1.0) -> MarkovModel:
 
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         totals = np.zeros((2, N * N), np.int64)
-        for part in parts:
+        for part in lean(parts):
             for label in (0, 1):
                 tokens = [t for t in part["token"][part["is_random"] == bool(label)] if t.isascii()]
                 _, first, second = transitions(tokens)
@@ -136,7 +136,7 @@ def find_secrets(
 
     @F.pandas_udf("array<struct<kind string, start int, end int>>")
     def scan(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for part in parts:
+        for part in lean(parts):
             found = held.value.spans(part.tolist(), min_ratio)
             yield pd.Series([[{"kind": KINDS[k], "start": s, "end": e} for s, k, e in own] for own in found])
 
@@ -151,11 +151,12 @@ def mask_secrets(
 
     A null text stays null. Nothing is matched by id, so repeated and null ids do no harm.
     """
+    small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("string")
     def replace(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for part in parts:
+        for part in lean(parts):
             texts = [t or "" for t in part]
             clean = [masked(t, own, mask) for t, own in zip(texts, held.value.spans(texts, min_ratio))]
             yield pd.Series([None if t is None else c for t, c in zip(part, clean)], dtype=object)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.bpe import encoder, encoding
-from corpusloom.llm.common import named
+from corpusloom.llm.common import id_and_text, lean, named
 
 
 def encoded(text: Column, rank_path: str, pattern: str) -> Column:
@@ -19,7 +19,7 @@ def encoded(text: Column, rank_path: str, pattern: str) -> Column:
     @F.arrow_udf("array<int>")
     def encode(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = encoder(rank_path, pattern)
-        for part in parts:
+        for part in lean(parts):
             packed = [own.encode(t or "") for t in part.to_pylist()]
             offsets = np.cumsum([0, *(len(p) // 4 for p in packed)], dtype=np.int32)
             ids = pa.array(np.frombuffer(b"".join(packed), "<i4"), pa.int32())
@@ -34,7 +34,7 @@ def decoded(ids: Column, rank_path: str, pattern: str) -> Column:
     @F.arrow_udf("binary")
     def decode(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = encoding(rank_path, pattern)
-        for part in parts:
+        for part in lean(parts):
             yield pa.array([None if x is None else own.decode_bytes(x) for x in part.to_pylist()], pa.binary())
 
     return decode(ids)
@@ -45,7 +45,7 @@ def packed(ids: Column) -> Column:
 
     @F.arrow_udf("binary")
     def pack(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for part in parts:
+        for part in lean(parts):
             flat = part.flatten().to_numpy(zero_copy_only=False).astype("<u4")
             ends = np.cumsum(part.value_lengths().to_numpy(zero_copy_only=False)) if len(part) else []
             starts = [0, *ends[:-1]] if len(part) else []
@@ -62,7 +62,8 @@ def encode_documents(
     Null and empty texts have an empty list. Texts of any length are encoded whole, cut only where
     no match of the pattern can span. Repeated rows are each returned; other columns are ignored.
     """
-    return docs.select(named(id_col).alias(id_col), encoded(F.coalesce(named(text_col), F.lit("")), rank_path, pattern).alias("ids"))
+    rows = id_and_text(docs, id_col, text_col)
+    return rows.select(F.col("id").alias(id_col), encoded(F.col("text"), rank_path, pattern).alias("ids"))
 
 
 def decode_documents(tokens: DataFrame, rank_path: str, pattern: str, ids_col: str = "ids") -> DataFrame:

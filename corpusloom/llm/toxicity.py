@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm.char_ngrams import BITS, present
-from corpusloom.llm.common import id_and_text, named, sampled
+from corpusloom.llm.common import id_and_text, lean, named, sampled
 from corpusloom.session import materialise
 
 LENGTHS = (3, 4, 5)
@@ -66,7 +66,7 @@ def fit_toxicity(
 
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         totals = np.zeros((2, 2**BITS), np.int64)
-        for part in parts:
+        for part in lean(parts):
             for label in (0, 1):
                 texts = part["text"][part["y"] == label].tolist()
                 for _, buckets in present(texts, LENGTHS):
@@ -89,7 +89,7 @@ def fit_toxicity(
     numbers[buckets] = np.arange(len(buckets))
 
     def hits(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
+        for part in lean(parts):
             found = list(present(part["text"].tolist(), LENGTHS, ratios != 0)) or [(np.empty(0, int),) * 2]
             row, bucket = (np.concatenate(x) for x in zip(*found))
             cuts = np.searchsorted(row, np.arange(1, len(part)))
@@ -101,7 +101,7 @@ def fit_toxicity(
 
     vector = F.udf(lambda at, x: Vectors.sparse(len(buckets), at, x), VectorUDT())
     train = data.select("y", "text").mapInPandas(hits, "y double, at array<int>, x array<double>")
-    train = train.select("y", vector("at", "x").alias("x")).persist()
+    train = materialise(train, "toxic-features").select("y", vector("at", "x").alias("x")).persist()
     fitted = LogisticRegression(featuresCol="x", labelCol="y", regParam=1e-4, maxIter=60, standardization=False).fit(train)
     train.unpersist()
     weights = np.zeros(2**BITS)
@@ -115,7 +115,7 @@ def toxic_score(spark: SparkSession, text: Column, model: ToxicityModel) -> Colu
 
     @F.pandas_udf("double")
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for part in parts:
+        for part in lean(parts):
             yield pd.Series(held.value.scores(part.tolist()), dtype="float64")
 
     return score(F.coalesce(text, F.lit("")))
