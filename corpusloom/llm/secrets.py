@@ -89,7 +89,7 @@ def labelled_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 own = [x for x in own if x]
                 tokens += own
                 marks += [bool(spans)] * len(own)
-            yield pd.DataFrame({"token": tokens, "is_random": marks})
+            yield pd.DataFrame({"token": pd.Series(tokens, dtype=object), "is_random": pd.Series(marks, dtype=bool)})
 
     rows = id_and_text(docs, id_col, text_col)
     return sampled(rows, F.col("id"), max_rows).mapInPandas(label, "token string, is_random boolean")
