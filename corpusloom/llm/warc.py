@@ -82,7 +82,8 @@ class Members:
             self.file.seek(self.at)
             self.head = self.file.read(min(2048, self.size - self.at))
             packed = self.head[:2] == b"\x1f\x8b"
-            self.next = self.at + self.stored_length() if packed else None
+            stored = self.stored_length() if packed else None
+            self.next = None if stored is None else self.at + stored
             self.inflate = zlib.decompressobj(31) if packed else None
             self.read_to = self.at + len(self.head)
             self.plain = self.inflate.decompress(self.head) if packed else self.head
@@ -100,7 +101,7 @@ class Members:
     def stored_length(self) -> int | None:
         if len(self.head) >= 12 + EXTRA.size and self.head[3] & 4:
             mark, _, size, _ = EXTRA.unpack_from(self.head, 12)
-            return size - 0 if mark == b"LX" else None
+            return size if mark == b"LX" else None
         return None
 
     def more(self) -> bool:
