@@ -52,7 +52,7 @@ def fit_toxicity(
     logistic regression weighs them.
 
     Rows without a label are ignored. Without any label the score is 0 for every text; with one
-    class only it is the share of that class, so 0 or 1.
+    class only it is the share of that class, so 0 or 1; without features the share of toxic rows.
     """
     data = rows.select(
         named(id_col).alias("id"), F.coalesce(named(text_col), F.lit("")).alias("text"), named(label_col).cast("int").alias("y")
@@ -82,6 +82,8 @@ def fit_toxicity(
     gain = F.abs(a - b) / F.sqrt(pooled * (1 - pooled) * (1 / toxic + 1 / other) + 1e-12)
     chosen = counts.select("bucket", F.log(a / b).alias("ratio"), gain.alias("gain"))
     features = chosen.orderBy(F.desc("gain"), "bucket").limit(max_features).collect()
+    if not features:
+        return ToxicityModel(np.zeros(2**BITS), float(np.log(toxic / other)))
     ratios = np.zeros(2**BITS)
     ratios[[f["bucket"] for f in features]] = [f["ratio"] for f in features]
     numbers = np.full(2**BITS, -1)
