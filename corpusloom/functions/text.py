@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column
@@ -166,7 +167,8 @@ def outcome_class(message: Column) -> Column:
 
 
 def fill(template: str, **values: Column) -> Column:
-    """Replace ``{name}`` in the template by the column given for it."""
-    return reduce(
-        lambda text, item: F.replace(text, F.lit("{" + item[0] + "}"), item[1]), values.items(), F.lit(template)
-    )
+    """Replace ``{name}`` in the template by the column given for it; braces inside the columns stay as they are."""
+    if not values:
+        return F.lit(template)
+    parts = re.split(r"\{(" + "|".join(values) + r")\}", template)
+    return F.concat(*[values[part] if i % 2 else F.lit(part) for i, part in enumerate(parts)])

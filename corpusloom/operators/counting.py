@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import window as w
 
 from corpusloom.functions.numeric import ratio
-from corpusloom.lookups import bounded_map
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -44,12 +43,12 @@ def null_counts(df: DataFrame) -> DataFrame:
 def summary_statistics(df: DataFrame, value: Column) -> DataFrame:
     """count, mean, sample deviation, minimum, quartiles and maximum of an integer value.
 
-    Equal values are counted first, so the exact quartiles work on distinct values.
+    Equal values are counted first, so the exact quartiles work on distinct values. The deviation of one value is null.
     """
     counts = df.select(value.alias("v")).where(F.col("v").isNotNull()).groupBy("v").agg(F.count("*").alias("c"))
     n, mean = F.sum("c"), F.sum(F.col("v") * F.col("c")) / F.sum("c")
     squares = F.sum(F.col("v").cast("double") * F.col("v") * F.col("c"))
-    deviation = F.sqrt((squares - n * mean * mean) / (n - 1))
+    deviation = F.sqrt(F.try_divide(squares - n * mean * mean, n - 1))
     quartile = [F.percentile("v", F.lit(q), F.col("c")) for q in (0.25, 0.5, 0.75)]
     return counts.agg(
         n.alias("n"), mean.alias("mean"), deviation.alias("std"), F.min("v").alias("min"),
@@ -58,11 +57,13 @@ def summary_statistics(df: DataFrame, value: Column) -> DataFrame:
 
 
 def histogram(df: DataFrame, group: str, value: Column, bins: int = 30) -> DataFrame:
-    """(group, bin, n): equal bins between least and greatest value of the group, the top edge closed."""
+    """(group, bin, n): equal bins between least and greatest value of the group, the top edge closed.
+
+    Null is a group like any other. The edges are joined, for nothing bounds the number of groups.
+    """
     valued = df.select(group, value.cast("double").alias("v")).where(F.col("v").isNotNull())
-    edges = valued.groupBy(group).agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    edge = bounded_map(edges, group, F.struct("lo", "hi"))[F.col(group)]
-    placed = valued.withColumn("e", edge)
+    edges = valued.groupBy(F.col(group).alias("_group")).agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi")).alias("e"))
+    placed = valued.join(edges, F.col(group).eqNullSafe(F.col("_group")))
     width = (F.col("e.hi") - F.col("e.lo")) / bins
     bin_no = F.when(F.col("e.hi") == F.col("e.lo"), F.lit(0)).otherwise(
         F.least(F.floor((F.col("v") - F.col("e.lo")) / F.nullif(width, F.lit(0.0))).cast("int"), F.lit(bins - 1))

@@ -78,7 +78,7 @@ def adjusted_rand_index(df: DataFrame, a: str, b: str) -> DataFrame:
     cols = cells.groupBy("b").agg(F.sum("n").alias("n")).agg(F.sum(_pairs_of(F.col("n"))).alias("x"))
     both = cells.agg(F.sum(_pairs_of(F.col("n"))).alias("both"), _pairs_of(F.sum("n")).alias("all"))
     sums = both.withColumn("rows", rows.scalar()).withColumn("cols", cols.scalar())
-    expected = F.col("rows") * F.col("cols") / F.col("all")
+    expected = F.try_divide(F.col("rows") * F.col("cols"), F.col("all"))
     best = (F.col("rows") + F.col("cols")) / 2
     index = F.try_divide(F.col("both") - expected, best - expected)
     return sums.select(F.coalesce(index, F.lit(1.0)).alias("ari"))

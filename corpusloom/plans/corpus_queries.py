@@ -40,7 +40,8 @@ PRIORITIES = list(vocab.PRIORITY_CODES)
 STOP_COMMANDS = ["the", "this", "an"]
 TEST_HEDGES = ["that", "with"]
 TEST_DISCOURSE = ["for", "as"]
-TOKEN_SHAPE = r"[A-Za-z0-9_.\-]{20,}"
+LEAST_KEY = min([n for _, n in vocab.KEY_SHAPES] + [len(x) for x in vocab.KEY_PLACEHOLDERS])
+TOKEN_SHAPE = rf"[A-Za-z0-9_.\-]{{{LEAST_KEY},}}"
 
 
 def quoted(values: list[str]) -> str:
@@ -198,11 +199,12 @@ def union_corpora(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"""
   WITH u AS (SELECT source_rank, message_id, {strip_sql('raw_text')} AS raw_text, source FROM ({_UNION_SQL})),
-  r AS (SELECT *, row_number() OVER (PARTITION BY raw_text ORDER BY source_rank, message_id) AS rn
+  r AS (SELECT *, row_number() OVER (PARTITION BY raw_text ORDER BY source_rank, length(message_id), message_id) AS rn
         FROM u WHERE length(raw_text) > 10)
   SELECT message_id, raw_text, source FROM r WHERE rn = 1""")
 def clean_corpus(spark: SparkSession, folder: str) -> DataFrame:
-    cleaned = corpus.clean_corpus(_union(spark, folder), order=["source_rank", "message_id"])
+    ranked = _union(spark, folder).withColumn("id_length", F.length("message_id"))
+    cleaned = corpus.clean_corpus(ranked, order=["source_rank", "id_length", "message_id"])
     return cleaned.select("message_id", "raw_text", "source")
 
 
@@ -293,10 +295,9 @@ def truncated_texts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""
-  SELECT doc_id, lang, row_number() OVER (ORDER BY doc_id) - 1 AS row_no FROM documents WHERE lang <> 'en'""")
+  SELECT doc_id, lang, row_number() OVER (ORDER BY doc_id) - 1 AS row_no FROM documents""")
 def renumbered_rows(spark: SparkSession, folder: str) -> DataFrame:
-    kept = table(spark, folder, "documents").where(F.col("lang") != "en").select("doc_id", "lang")
-    return corpus.renumber(kept, "doc_id")
+    return corpus.renumber(table(spark, folder, "documents").select("doc_id", "lang"), "doc_id")
 
 
 @query("""
@@ -425,10 +426,12 @@ def crosstab(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"""
   WITH t AS ({TICKETS_SQL})
-  SELECT 'body' AS column, count(*) FILTER (body IS NULL) AS nulls FROM t UNION ALL
-  SELECT 'priority', count(*) FILTER (priority IS NULL) FROM t UNION ALL SELECT 'subject', count(*) FILTER (subject IS NULL) FROM t""")
+  SELECT 'doc_id' AS column, count(*) FILTER (doc_id IS NULL) AS nulls FROM t UNION ALL
+  SELECT 'type', count(*) FILTER (type IS NULL) FROM t UNION ALL SELECT 'subject', count(*) FILTER (subject IS NULL) FROM t UNION ALL
+  SELECT 'body', count(*) FILTER (body IS NULL) FROM t UNION ALL SELECT 'language', count(*) FILTER (language IS NULL) FROM t UNION ALL
+  SELECT 'priority', count(*) FILTER (priority IS NULL) FROM t""")
 def null_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return counting.null_counts(tickets(spark, folder).select("body", "priority", "subject"))
+    return counting.null_counts(tickets(spark, folder))
 
 
 @query("""
@@ -451,12 +454,12 @@ def length_histogram(spark: SparkSession, folder: str) -> DataFrame:
 @query("""
   WITH s AS (SELECT source, lang, round(avg(n_chars), 5) AS score FROM documents GROUP BY ALL),
   w AS (SELECT source, coalesce(max(score) FILTER (lang = 'de'), 0) AS de, coalesce(max(score) FILTER (lang = 'en'), 0) AS en,
-               coalesce(max(score) FILTER (lang = 'fr'), 0) AS fr FROM s GROUP BY source)
-  SELECT source, de, en, fr, round((de + en + fr) / 3, 5) AS mean FROM w""")
+               coalesce(max(score) FILTER (lang = 'es'), 0) AS es, coalesce(max(score) FILTER (lang = 'fr'), 0) AS fr FROM s GROUP BY source)
+  SELECT source, de, en, es, fr, round((de + en + es + fr) / 4, 5) AS mean FROM w""")
 def wide_means(spark: SparkSession, folder: str) -> DataFrame:
     """Mean length by source in long form, spread over one column per language."""
     scores = table(spark, folder, "documents").groupBy("source", "lang").agg(F.round(F.avg("n_chars"), 5).alias("score"))
-    wide = counting.wide_means(scores, "source", "lang", "score", ["de", "en", "fr"])
+    wide = counting.wide_means(scores, "source", "lang", "score", ["de", "en", "es", "fr"])
     return wide.withColumn("mean", F.round("mean", 5))
 
 

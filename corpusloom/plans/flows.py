@@ -30,7 +30,8 @@ def merged_responses(spark: SparkSession, paths: list[str]) -> DataFrame:
 def message_corpus(raw: DataFrame, source: str, *others: DataFrame, more_than: int = 10) -> DataFrame:
     """Raw posts and further messages (message_id, raw_text, source) as one clean corpus."""
     every = corpus.union_sources(corpus.filter_messages(raw, source), *others)
-    cleaned = corpus.clean_corpus(every, more_than, order=["source_rank", "message_id"])
+    ranked = every.withColumn("id_length", F.length("message_id"))  # KG_99999 comes before KG_100000
+    cleaned = corpus.clean_corpus(ranked, more_than, order=["source_rank", "id_length", "message_id"])
     return cleaned.select("message_id", "raw_text", "source")
 
 

@@ -179,7 +179,7 @@ def token_neighbours(spark: SparkSession, folder: str) -> DataFrame:
   SELECT CAST(regexp_matches(token, '^\p{Lu}') AS INT) AS capitalised,
          CAST(regexp_matches(replace(replace(token, '.', ''), ',', ''), '^\p{Nd}+$') AS INT) AS numeric,
          CAST(regexp_matches(token, '^\p{L}+$') AS INT) AS alphabetic, CAST(regexp_matches(token, '^\p{P}+$') AS INT) AS punctuation,
-         CAST(regexp_matches(token, '^\s+$') AS INT) AS space, CAST(least(length(token), 20) AS INT) AS length, count(*) AS n
+         CAST(regexp_matches(token, '^\s+$') AS INT) AS space, CAST(length(token) AS INT) AS length, count(*) AS n
   FROM x GROUP BY ALL""")
 def token_shapes(spark: SparkSession, folder: str) -> DataFrame:
     found = F.regexp_extract_all(F.col("text"), F.lit(an.TOKEN_PATTERN + r"|\s+"), F.lit(0))
@@ -187,7 +187,7 @@ def token_shapes(spark: SparkSession, folder: str) -> DataFrame:
     shapes = explode_rows(texts(spark, folder), [], found, "token").select(
         t.is_capitalised(token).cast("int").alias("capitalised"), t.is_numeric(token).cast("int").alias("numeric"),
         t.is_alphabetic(token).cast("int").alias("alphabetic"), t.is_punctuation(token).cast("int").alias("punctuation"),
-        t.is_space(token).cast("int").alias("space"), F.least(F.length(token), F.lit(20)).alias("length"),
+        t.is_space(token).cast("int").alias("space"), F.length(token).alias("length"),
     )
     return shapes.groupBy(*shapes.columns).agg(F.count("*").alias("n"))
 

@@ -23,6 +23,7 @@ def test_adjusted_rand_index(spark):
     renamed = table.withColumn("b", 7 - F.col("b"))
     assert abs(ari(table) - ari(renamed)) < 1e-15
     assert ari(labelled(spark, {(0, 0): 5})) == 1.0
+    assert ari(labelled(spark, {(0, 0): 1})) == 1.0
 
 
 def test_crosstab(spark):

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.operators import chat, corpus, counting, ordering, split
+from corpusloom.plans import flows
 
 
 def test_positions_over_ranges(spark):
@@ -137,8 +138,22 @@ def test_histogram_and_statistics(spark):
     stats = counting.summary_statistics(df.where("g = 'a'"), F.col("v")).first()
     assert (stats["n"], stats["mean"], stats["q25"], stats["q50"], stats["max"]) == (61, 30.0, 15.0, 30.0, 60)
     assert abs(stats["std"] - 17.752934) < 1e-5
+    one = counting.summary_statistics(df.where("g = 'a' AND v = 7"), F.col("v")).first()
+    assert (one["n"], one["mean"], one["std"]) == (1, 7.0, None)
+
+
+def test_histogram_of_many_groups_and_a_null_group(spark):
+    df = spark.range(5000).selectExpr("cast(id as string) AS g", "1 AS v").unionByName(spark.sql("SELECT cast(null as string) AS g, 2 AS v"))
+    bins = counting.histogram(df, "g", F.col("v")).collect()
+    assert len(bins) == 5001 and {(r["bin"], r["n"]) for r in bins} == {(0, 1)}
+    assert sum(r["g"] is None for r in bins) == 1
 
 
 def test_best_of(spark):
     df = spark.createDataFrame([("a", 0.5, 2), ("b", 0.7, 1), ("c", 0.7, 0)], "name string, score double, place int")
     assert counting.best_of(df, "name", "score", "place").first()["name"] == "c"
+
+
+def test_first_copy_goes_by_the_number_of_the_id(spark):
+    raw = spark.createDataFrame([(100000, "a text that is long enough"), (99999, "a text that is long enough")], "id long, text string")
+    assert [r["message_id"] for r in flows.message_corpus(raw, "posts").collect()] == ["KG_99999"]

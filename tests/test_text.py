@@ -140,3 +140,8 @@ def test_check_predictions(spark):
     predicted = spark.createDataFrame([(1, "high"), (2, "high")], "id int, predicted string")
     status = {r["id"]: r["status"] for r in tk.check_predictions(predicted, expected, "id").collect()}
     assert status == {1: "CORRECT", 2: "MISMATCH"}
+
+
+def test_fill_leaves_braces_of_the_values(spark):
+    df = spark.createDataFrame([("say {b}", "x")], "a string, b string")
+    assert df.select(t.fill("{a}, {b} and {c}", a=F.col("a"), b=F.col("b"))).first()[0] == "say {b}, x and {c}"
