@@ -7,6 +7,8 @@ the same column; the built-in one is a lexicon with suffix rules.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,19 +18,41 @@ from corpusloom.functions.arrays import explode_rows, let, pieces, positions
 
 TOKEN_PATTERN = r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]"
 SENTENCE_BREAK = r"(?<=[.!?])\s+"
-MAX_SENTENCE = 512
+# Tokens that are looked through at once for the nearest verb or the end of an entity.
+STRETCH = 512
 
 # Fields of a token in ``sentences`` and in the long form.
 SENTENCE_FIELDS = ["sent_idx", "token", "pos", "tag", "dep", "lemma", "head_off", "ent_pos", "ent_type"]
 LONG_FIELDS = ["token_idx", "sent_idx", "token", "pos", "tag_", "dep", "lemma", "head_idx", "ent_pos", "is_ent"]
 
 
-def word_sentences(text: Column, max_sentence: int = MAX_SENTENCE) -> Column:
-    """Tokens by sentence. Text without end marks is broken every ``max_sentence`` tokens."""
+def word_sentences(text: Column) -> Column:
+    """Tokens by sentence, however long it is."""
     words = F.transform(
         F.split(text, SENTENCE_BREAK), lambda s: F.regexp_extract_all(s, F.lit(TOKEN_PATTERN), F.lit(0))
     )
-    return F.filter(F.flatten(F.transform(words, lambda ws: pieces(ws, max_sentence))), lambda ws: F.size(ws) > 0)
+    return F.filter(words, lambda ws: F.size(ws) > 0)
+
+
+def _stretches(pos: Column, test: Callable[[Column], Column]) -> Column:
+    """The positions that pass the test, one array for every stretch of the sentence."""
+    return let(positions(pos), lambda every: F.transform(
+        pieces(every, STRETCH), lambda own: F.filter(own, lambda i: test(F.get(pos, i)))
+    ))
+
+
+def _before(stretches: Column) -> Column:
+    """For each stretch the last position in those before it, else null."""
+    return let(F.transform(stretches, lambda own: F.array_max(own)), lambda last: F.transform(
+        last, lambda _, k: F.array_max(F.slice(last, F.lit(1), k))
+    ))
+
+
+def _after(stretches: Column) -> Column:
+    """For each stretch the first position in those after it, else null."""
+    return let(F.transform(stretches, lambda own: F.array_min(own)), lambda first: F.transform(
+        first, lambda _, k: F.array_min(F.slice(first, k + 2, F.size(first)))
+    ))
 
 
 def _ends(low: Column, ending: str, at_least: int = 0) -> Column:
@@ -134,20 +158,34 @@ def _tokens(words: Column, sent_idx: Column, fields: list[str]) -> Column:
     """Annotated tokens of one sentence.
 
     The head is the nearest earlier verb; the first verb, or else the first token, is the root. An
-    entity is a run of proper nouns, an organisation when it ends in an organisation word.
+    entity is a run of proper nouns, an organisation when it ends in an organisation word. Both are
+    looked for in the token's own stretch and then taken from one value per stretch, so the work
+    grows in proportion to the sentence.
     """
 
     def build(lows: Column, pos: Column) -> Column:
-        verbs = F.filter(positions(pos), lambda i: F.get(pos, i) == "VERB")
-        common = F.filter(positions(pos), lambda i: F.get(pos, i) != "PROPN")
+        found = F.struct(
+            _stretches(pos, lambda p: p == "VERB").alias("verbs"), _stretches(pos, lambda p: p != "PROPN").alias("common")
+        )
+
+        def sentence(verbs: Column, common: Column) -> Column:
+            known = F.struct(
+                F.coalesce(F.array_min(F.flatten(verbs)), F.lit(0)).alias("root"),
+                _before(verbs).alias("verb"),
+                _before(common).alias("left"),
+                _after(common).alias("right"),
+            )
+            return let(known, lambda k: tokens(verbs, common, k))
 
-        def token(root: Column, verbs: Column, common: Column) -> Column:
+        def tokens(verbs: Column, common: Column, known: Column) -> Column:
             def one(p: Column, i: Column) -> Column:
-                low = F.get(lows, i)
-                last_verb = F.array_max(F.filter(verbs, lambda j: j < i))
-                head = F.when(i == root, i).otherwise(F.coalesce(last_verb, root))
-                start = F.coalesce(F.array_max(F.filter(common, lambda j: j < i)), F.lit(-1)) + 1
-                stop = F.coalesce(F.array_min(F.filter(common, lambda j: j > i)), F.size(pos)) - 1
+                low, root, at = F.get(lows, i), known["root"], F.floor(i / STRETCH).cast("int")
+                own_verb = F.array_max(F.filter(F.get(verbs, at), lambda j: j < i))
+                head = F.when(i == root, i).otherwise(F.coalesce(own_verb, F.get(known["verb"], at), root))
+                left = F.array_max(F.filter(F.get(common, at), lambda j: j < i))
+                right = F.array_min(F.filter(F.get(common, at), lambda j: j > i))
+                start = F.coalesce(left, F.get(known["left"], at), F.lit(-1)) + 1
+                stop = F.coalesce(right, F.get(known["right"], at), F.size(pos)) - 1
                 kind = F.when(F.get(lows, stop).isin(vocab.ORG_WORDS), "ORG").otherwise("GPE")
                 before = F.when(i > 0, F.get(pos, i - 1)).otherwise("")
                 after = F.coalesce(F.get(pos, i + 1), F.lit(""))
@@ -167,9 +205,7 @@ def _tokens(words: Column, sent_idx: Column, fields: list[str]) -> Column:
 
             return F.transform(pos, one)
 
-        return let(F.struct(verbs.alias("v"), common.alias("c")), lambda s: token(
-            F.coalesce(F.get(s["v"], F.lit(0)), F.lit(0)), s["v"], s["c"]
-        ))
+        return let(found, lambda f: sentence(f["verbs"], f["common"]))
 
     return let(
         F.transform(words, lambda w: F.lower(w)),

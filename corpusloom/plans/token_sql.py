@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from corpusloom.functions import vocab
-from corpusloom.operators.annotate import MAX_SENTENCE
 from corpusloom.operators.tagging import SpanVocabulary
 
 
@@ -21,8 +20,8 @@ def annotated_sql(source: str) -> str:
   mk AS (SELECT *, regexp_full_match(tok, '\s+') AS ws, lag(tok) OVER (PARTITION BY message_id ORDER BY p) AS ptok FROM ex),
   br AS (SELECT *, sum(CASE WHEN ws AND ptok IN ('.', '!', '?') THEN 1 ELSE 0 END) OVER (PARTITION BY message_id ORDER BY p) AS s0 FROM mk),
   tk AS (SELECT message_id, tok AS token, lower(tok) AS low, row_number() OVER (PARTITION BY message_id ORDER BY p) - 1 AS token_idx,
-                s0, (row_number() OVER (PARTITION BY message_id, s0 ORDER BY p) - 1) // {MAX_SENTENCE} AS piece FROM br WHERE NOT ws),
-  sn AS (SELECT *, dense_rank() OVER (PARTITION BY message_id ORDER BY s0, piece) - 1 AS sent_idx FROM tk),
+                s0 FROM br WHERE NOT ws),
+  sn AS (SELECT *, dense_rank() OVER (PARTITION BY message_id ORDER BY s0) - 1 AS sent_idx FROM tk),
   si AS (SELECT *, row_number() OVER (PARTITION BY message_id, sent_idx ORDER BY token_idx) - 1 AS i FROM sn),
   ps AS (SELECT *, CASE
       WHEN regexp_matches(token, '^\p{{N}}+$') THEN 'NUM' WHEN regexp_matches(token, '^\p{{P}}$') THEN 'PUNCT'

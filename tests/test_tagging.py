@@ -116,6 +116,19 @@ def test_truncation_and_long_text(spark):
     text = "word " * 2000
     df = spark.createDataFrame([("a", text)], "message_id string, raw_text string")
     whole = an.annotate(df).select(F.size("sentences").alias("s"), F.size(F.flatten("sentences")).alias("n")).first()
-    assert (whole["s"], whole["n"]) == (4, 2000)
+    assert (whole["s"], whole["n"]) == (1, 2000)
     cut = an.annotate(df, max_chars=500).select(F.size(F.flatten("sentences")).alias("n")).first()
     assert cut["n"] == 100
+
+
+def test_long_sentences_stay_whole(spark):
+    """Heads and entities are found across any distance; only one sentence comes out."""
+    names = ["Delhi"] * 1300
+    words = ["we", "send"] + ["boats"] * 2000 + names + ["north"] * 1700
+    rows = an.annotate(spark.createDataFrame([(1, " ".join(words)), (2, "")], "message_id int, raw_text string")).collect()
+    got = {r.message_id: r.sentences for r in rows}
+    assert got[2] == []
+    assert len(got[1]) == 1 and len(got[1][0]) == len(words)
+    tokens = got[1][0]
+    assert [i + t.head_off for i, t in enumerate(tokens)] == [1] * len(words)
+    assert [t.ent_pos for t in tokens] == [None] * 2002 + list(range(1300)) + [None] * 1700
