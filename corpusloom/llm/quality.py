@@ -17,6 +17,7 @@ from corpusloom.session import materialise
 WHITE = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
+CELLS = 1 << 16
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -108,8 +109,21 @@ def average_path(n: int) -> float:
     return 1.0 if n == 2 else 2 * (np.log(n - 1) + 0.5772156649) - 2 * (n - 1) / n
 
 
-def fit_forest(x: np.ndarray, trees: int = 100, sample: int = 256, seed: int = 7) -> IsolationForest:
+def separation(x: np.ndarray, bad: np.ndarray) -> np.ndarray:
+    """Per column, 0 to 1: how far the ranks of the bad rows lie from those of the others (|2 AUC - 1|); ones without both classes."""
+    n, m = int(bad.sum()), int((~bad).sum())
+    if not n or not m:
+        return np.ones(x.shape[1])
+    ranks = pd.DataFrame(x).rank().to_numpy()[bad].sum(0)
+    return np.abs(2 * (ranks - n * (n + 1) / 2) / (n * m) - 1)
+
+
+def fit_forest(
+    x: np.ndarray, trees: int = 100, sample: int = 256, seed: int = 7, weights: np.ndarray | None = None
+) -> IsolationForest:
+    """Splits choose among the columns that vary in proportion to ``weights``, each at least 0.001."""
     rng = np.random.default_rng(seed)
+    weights = np.maximum(np.ones(x.shape[1]) if weights is None else weights, 1e-3)
     sample = min(sample, len(x))
     depth = max(1, int(np.ceil(np.log2(max(sample, 2)))))
     nodes = 2 ** (depth + 1) - 1
@@ -124,7 +138,7 @@ def fit_forest(x: np.ndarray, trees: int = 100, sample: int = 256, seed: int = 7
             if level == depth or not len(wide):
                 lengths[tree, node] = level + average_path(len(part))
                 continue
-            column = rng.choice(wide)
+            column = rng.choice(wide, p=weights[wide] / weights[wide].sum())
             value = rng.uniform(low[column], high[column])
             columns[tree, node], values[tree, node] = column, value
             left = part[:, column] < value
@@ -132,6 +146,18 @@ def fit_forest(x: np.ndarray, trees: int = 100, sample: int = 256, seed: int = 7
     return IsolationForest(columns, values, lengths, depth, sample)
 
 
+def best_cell(cells: pd.DataFrame, false_drops: float) -> int:
+    """The lowest cell to drop, from ``cell, good, bad``: best F1 of the bad rows, the highest cell among equals.
+
+    Without bad rows, the lowest one that drops at most the share ``false_drops`` of the good ones.
+    """
+    cells = cells.sort_values("cell", ascending=False)
+    hits, wrong = cells["bad"].cumsum().to_numpy(), cells["good"].cumsum().to_numpy()
+    if not hits[-1]:
+        return int(min([CELLS + 1, *cells["cell"][wrong <= false_drops * wrong[-1]]]))
+    return int(cells["cell"].iloc[np.argmax(2 * hits / (hits + wrong + hits[-1]))])
+
+
 def quality_rules(
     docs: DataFrame,
     labels: DataFrame,
@@ -147,9 +173,11 @@ def quality_rules(
 
     ``base_failed``: under 20 words, or over 30 % of the words in repeated windows of eight. The
     forest is fitted on about ``max_rows`` labelled rows that pass the fixed rules, chosen by the
-    hash of their id; each of its ``trees`` sees ``sample`` of them. The threshold is calibrated on the
-    same rows: of all thresholds that drop at most the share ``false_drops`` of rows labelled good,
-    the lowest. ``kept`` is false if the fixed rules fail or the anomaly is above the threshold.
+    hash of their id; each of its ``trees`` sees ``sample`` of them, and splits prefer the statistics
+    that tell good and bad rows apart. The threshold is chosen on all labelled rows that pass the fixed
+    rules, by the best F1 of the bad ones; scores count in cells of 1/65,536. If no row is labelled bad,
+    at most the share ``false_drops`` of the good ones is dropped. ``kept`` is false if the fixed rules
+    fail or the anomaly reaches the threshold.
 
     Null and empty texts have no words and fail. Without labelled good rows nothing is dropped but
     by the fixed rules. Several labels of one id: good if one of them is. Repeated rows are each
@@ -158,20 +186,24 @@ def quality_rules(
     stats = materialise(rule_statistics(docs, id_col, text_col), "rule-statistics")
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     known = labels.select(named(id_col).alias("id"), named(label_col).cast("int").alias("y")).dropna()
-    known = materialise(sampled(known.groupBy("id").agg(F.max("y").alias("y")), F.col("id"), max_rows).limit(2 * max_rows), "rule-labels")
-    rows = stats.where(~failed).withColumnRenamed(id_col, "id").join(F.broadcast(known), "id").select("id", "y", *STATISTICS)
+    known = materialise(known.groupBy("id").agg(F.max("y").alias("y")), "rule-labels")
+    few = sampled(known, F.col("id"), max_rows).limit(2 * max_rows)
+    rows = stats.where(~failed).withColumnRenamed(id_col, "id").join(F.broadcast(few), "id").select("id", "y", *STATISTICS)
     train = rows.orderBy("id", *STATISTICS).limit(4 * max_rows).toPandas()
     good = train[train["y"] == 1]
     scored = stats.withColumn("base_failed", failed)
     if len(good) < 2:
         return scored.select("*", F.lit(0.0).alias("anomaly"), (~F.col("base_failed")).alias("kept"))
-    forest = fit_forest(features(train), trees, sample)
-    threshold = float(np.quantile(forest.scores(features(good)), 1 - false_drops, method="higher"))
+    x = features(train)
+    forest = fit_forest(x, trees, sample, weights=separation(x, (train["y"] != 1).to_numpy()))
     held = docs.sparkSession.sparkContext.broadcast(forest)
 
     @F.pandas_udf("double")
     def anomaly(part: pd.DataFrame) -> pd.Series:
         return pd.Series(held.value.scores(features(part)))
 
-    scored = scored.withColumn("anomaly", anomaly(F.struct(*STATISTICS)))
-    return scored.withColumn("kept", ~F.col("base_failed") & (F.col("anomaly") <= threshold))
+    scored = materialise(scored.withColumn("anomaly", anomaly(F.struct(*STATISTICS))), "rule-scores")
+    cell = F.floor(F.col("anomaly") * CELLS)
+    judged = scored.where(~F.col("base_failed")).select(named(id_col).alias("id"), cell.alias("cell")).join(known, "id")
+    cells = judged.groupBy("cell").agg(F.count_if(F.col("y") == 1).alias("good"), F.count_if(F.col("y") != 1).alias("bad"))
+    return scored.withColumn("kept", ~F.col("base_failed") & (cell < best_cell(cells.toPandas(), false_drops)))

@@ -11,6 +11,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from corpusloom.llm.quality import quality_rules
 from corpusloom.llm.queries import PATTERN, RANKS, SQL, URL_RULES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -123,6 +124,16 @@ def test_quality(spark, docs):
     assert dropped <= 1 + len(good) // 50
 
 
+def test_quality_on_held_out_rows(spark):
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    got = {r.doc_id: r for r in quality_rules(docs, labels.where("doc_id % 2 = 0")).collect()}
+    held = duckdb.sql(f"select doc_id, quality from '{folder}/labels.parquet' where doc_id % 2 = 1 and quality is not null").fetchall()
+    kept = {q: [got[i].kept for i, y in held if y == q and not got[i].base_failed] for q in (0, 1)}
+    assert len(kept[0]) >= 5 and sum(kept[0]) <= len(kept[0]) / 5
+    assert sum(kept[1]) >= 0.98 * len(kept[1])
+
+
 def test_warc(spark):
     pages = {i: (h or "").encode() for i, h in read("pages", "page_id, html")}
     first = {}
