@@ -55,14 +55,14 @@ def token_training_rows(
     """Messages (message_id, raw_text) to token rows and encoders.
 
     Rows have token_id, features, label, weight (balanced twice), split (75/25) and, if asked for,
-    a fold.
+    a fold; with folds the weight is balanced once.
     """
     tagged = tagging.tag_corpus(messages, words, fields=ft.TOKEN_FIELDS)
     held = materialise(ft.token_columns(tagged, feature_words), "token-columns")
     encoders = materialise(ft.fit_encoders(held), "encoders")
     rows = ft.encode_tokens(held, ft.encoder_maps(encoders)).withColumn("label", F.col("bio_enc").cast("double"))
     keyed = rows.withColumn("token_id", F.concat_ws("#", "message_id", "token_idx"))
-    weighted = split.with_weights(_parted(keyed, "token_id", folds), "label", power=2)
+    weighted = split.with_weights(_parted(keyed, "token_id", folds), "label", power=1 if folds else 2)
     kept = cl.assemble(weighted, ft.TOKEN_FEATURES)
     extra = ["fold"] if folds else []
     return materialise(kept.select("token_id", "features", "label", "weight", "split", *extra), "token-rows"), encoders

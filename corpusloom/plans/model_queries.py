@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,10 +17,6 @@ from corpusloom.plans.registry import query, responses, spread, table, tickets
 from corpusloom.plans.token_queries import TEST_FEATURES, TEST_SPANS, styled
 from corpusloom.session import materialise
 
-# Sizes of the fits in the registered queries; the defaults of the functions are 300 and 200.
-TREES = 40
-ROUNDS = 10
-
 
 # ---- evaluation --------------------------------------------------------------------------------
 
@@ -95,7 +93,7 @@ def kmeans_clusters(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def elbow_table(spark: SparkSession, folder: str) -> DataFrame:
     data = flows.scaled_style_rows(styled(spark, folder))
-    return cl.elbow(data, range(2, 8), starts=2).withColumn("inertia", F.round("inertia", 4))
+    return cl.elbow(data).withColumn("inertia", F.round("inertia", 4))
 
 
 @query()
@@ -113,15 +111,15 @@ def pca_projection(spark: SparkSession, folder: str) -> DataFrame:
 def cluster_labels(spark: SparkSession, folder: str) -> DataFrame:
     """Both clusterings of the replies against the true source, as a cross-tabulation."""
     data = flows.scaled_style_rows(styled(spark, folder))
-    labelled = cl.cluster_labels(data, ["response_id", "source_type"], starts=3)
+    labelled = cl.cluster_labels(data, ["response_id", "source_type"])
     return counting.crosstab(labelled, "kmeans_cluster", "source_type", ["AI", "human"])
 
 
 @query()
 def clustering_summary(spark: SparkSession, folder: str) -> DataFrame:
     data = flows.scaled_style_rows(styled(spark, folder))
-    labelled = materialise(cl.cluster_labels(data, ["response_id", "source_type"], starts=3), "clusters")
-    return cl.clustering_summary(labelled, "source_type", cl.elbow(data, range(2, 5), starts=2))
+    labelled = materialise(cl.cluster_labels(data, ["response_id", "source_type"]), "clusters")
+    return cl.clustering_summary(labelled, "source_type", cl.elbow(data))
 
 
 # ---- style classifiers -------------------------------------------------------------------------
@@ -130,11 +128,11 @@ def style_matrix(spark: SparkSession, folder: str, folds: int | None = None) ->
     return flows.style_training_rows(styled(spark, folder), folds)
 
 
-def _style_estimators(rounds: int) -> dict[str, object]:
+def _style_estimators() -> dict[str, object]:
     return {
         "DecisionTree": models.decision_tree(depth=5, leaf=4, weight=None),
-        "AdaBoost": models.AdaBoost(rounds=rounds, depth=2, rate=0.6, balanced=False),
-        "GradientBoosting": models.gradient_boosting(rounds=rounds),
+        "AdaBoost": models.AdaBoost(rounds=100, depth=2, rate=0.6, balanced=False),
+        "GradientBoosting": models.gradient_boosting(),
     }
 
 
@@ -142,12 +140,17 @@ def _train_test(data: DataFrame) -> tuple[DataFrame, DataFrame]:
     return data.where(F.col("split") == "train"), data.where(F.col("split") == "test")
 
 
+def _fold_statistics(estimators: dict[str, object], data: DataFrame, positive: float | None = None) -> DataFrame:
+    scores = [models.cross_validate(name, est, data, positive=positive) for name, est in estimators.items()]
+    return counting.fold_statistics(reduce(DataFrame.unionByName, scores), "model", "score")
+
+
 @query()
 def style_classification(spark: SparkSession, folder: str) -> DataFrame:
     """Accuracy, precision, recall and F1 of three classifiers on the held-out quarter."""
     train, test = _train_test(style_matrix(spark, folder))
     scored = [
-        models.fit_and_score(name, est, train, test, ["response_id"])[1] for name, est in _style_estimators(ROUNDS).items()
+        models.fit_and_score(name, est, train, test, ["response_id"])[1] for name, est in _style_estimators().items()
     ]
     both = scored[0].unionByName(scored[1]).unionByName(scored[2])
     return metrics.binary_metrics(both, "label", "prediction", 1.0, by=["model"])
@@ -155,17 +158,16 @@ def style_classification(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def style_cross_validation(spark: SparkSession, folder: str) -> DataFrame:
-    """Mean and deviation of F1 over five folds."""
+    """Mean and deviation of F1 over five folds, by classifier."""
     data = style_matrix(spark, folder, folds=5)
-    est = models.decision_tree(depth=5, leaf=4, weight=None)
-    return counting.fold_statistics(models.cross_validate("DecisionTree", est, data, positive=1.0), "model", "score")
+    return _fold_statistics(_style_estimators(), data, positive=1.0)
 
 
 @query()
 def style_importances(spark: SparkSession, folder: str) -> DataFrame:
     """Feature importances of the boosted trees, greatest first, top eight."""
     train, _ = _train_test(style_matrix(spark, folder))
-    model = models.gradient_boosting(rounds=ROUNDS).fit(train)
+    model = models.gradient_boosting().fit(train)
     rows = models.importance_rows(spark, {"GradientBoosting": model}, ft.STYLE_FEATURES)
     return rows.orderBy(F.desc("importance"), "feature").limit(8)
 
@@ -183,6 +185,10 @@ def token_matrix(spark: SparkSession, folder: str, folds: int | None = None) ->
     return flows.token_training_rows(reply_messages(spark, folder), TEST_SPANS, TEST_FEATURES, folds)[0]
 
 
+def _token_estimators() -> dict[str, object]:
+    return {"AdaBoost": models.AdaBoost(), "Decision Tree": models.decision_tree(), "Random Forest": models.random_forest()}
+
+
 def _token_report(scored: DataFrame) -> DataFrame:
     report = metrics.class_report(scored, "label", "prediction", by=["model"])
     average = metrics.f1_averages(scored, "label", "prediction", by=["model"])
@@ -199,14 +205,14 @@ def decision_tree_report(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def random_forest_report(spark: SparkSession, folder: str) -> DataFrame:
     train, test = _train_test(token_matrix(spark, folder))
-    _, scored = models.fit_and_score("Random Forest", models.random_forest(trees=TREES), train, test, ["token_id"])
+    _, scored = models.fit_and_score("Random Forest", models.random_forest(), train, test, ["token_id"])
     return _token_report(scored)
 
 
 @query()
 def adaboost_report(spark: SparkSession, folder: str) -> DataFrame:
     train, test = _train_test(token_matrix(spark, folder))
-    _, scored = models.fit_and_score("AdaBoost", models.AdaBoost(rounds=ROUNDS), train, test, ["token_id"])
+    _, scored = models.fit_and_score("AdaBoost", models.AdaBoost(), train, test, ["token_id"])
     return _token_report(scored)
 
 
@@ -214,21 +220,15 @@ def adaboost_report(spark: SparkSession, folder: str) -> DataFrame:
 def importance_table(spark: SparkSession, folder: str) -> DataFrame:
     """Importances of the token features by model, missing ones 0, with their mean, greatest first."""
     train, _ = _train_test(token_matrix(spark, folder))
-    fitted = {
-        "AdaBoost": models.AdaBoost(rounds=3).fit(train),
-        "Decision Tree": models.decision_tree().fit(train),
-        "Random Forest": models.random_forest(trees=10).fit(train),
-    }
+    fitted = {name: est.fit(train) for name, est in _token_estimators().items()}
     rows = models.importance_rows(spark, fitted, ft.TOKEN_FEATURES)
     return counting.wide_means(rows, "feature", "model", "importance", list(fitted))
 
 
 @query()
 def token_cross_validation(spark: SparkSession, folder: str) -> DataFrame:
-    """Mean and deviation of macro F1 over five folds."""
-    data = token_matrix(spark, folder, folds=5)
-    est = models.decision_tree(weight=None)
-    return counting.fold_statistics(models.cross_validate("Decision Tree", est, data), "model", "score")
+    """Mean and deviation of macro F1 over five folds, by classifier."""
+    return _fold_statistics(_token_estimators(), token_matrix(spark, folder, folds=5))
 
 
 @query()
@@ -257,7 +257,7 @@ def ticket_split(spark: SparkSession, folder: str) -> DataFrame:
 def priority_report(spark: SparkSession, folder: str) -> DataFrame:
     """Per-class results of the chosen classifier on the test rows."""
     data = ticket_split(spark, folder)
-    model, _ = models.fit_priority_model(data, budgets=(5, 10, 20))
+    model, _ = models.fit_priority_model(data)
     scored = model.transform(data.where(F.col("split") == "test")).withColumn("prediction", F.col("prediction").cast("int"))
     report = metrics.class_report(scored, "label", "prediction")
     names = F.array(*[F.lit(p) for p in vocab.PRIORITY_CODES])
@@ -267,7 +267,7 @@ def priority_report(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def ticket_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Priority, confidence and probabilities of every ticket in every language."""
-    model, _ = models.fit_priority_model(ticket_split(spark, folder), budgets=(5,))
+    model, _ = models.fit_priority_model(ticket_split(spark, folder))
     raw = tickets(spark, folder).withColumn("text", F.lit(None).cast("string"))
     scored = models.score_tickets(tk.scoring_text(spread(raw)), model, ["doc_id"])
     return scored.select("doc_id", "predicted_priority", "confidence", "probabilities.*")

@@ -35,7 +35,7 @@ def stream_token_lists(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def stream_ticket_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Tickets scored as they arrive with a model fitted on the labelled ones."""
-    model, _ = models.fit_priority_model(ticket_split(spark, folder), budgets=(5,))
+    model, _ = models.fit_priority_model(ticket_split(spark, folder))
     arriving = _documents(spark, folder).select(
         "doc_id", F.col("source").alias("type"), F.substring_index("text", "\n", 1).alias("subject"),
         F.when(F.contains("text", F.lit("\n")), F.expr("substring(text, instr(text, '\n') + 1)")).alias("body"),
