@@ -37,6 +37,19 @@ def base_spans(text: str) -> list[Span]:
     return sorted(found)
 
 
+def outside(start: int, end: int, spans: list[Span]) -> list[tuple[int, int]]:
+    """The parts of a stretch that lie in none of the spans, which are ordered by start."""
+    parts = []
+    for s, _, e in spans:
+        if s >= end:
+            break
+        if e > start:
+            if s > start:
+                parts.append((start, s))
+            start = e
+    return parts + [(start, end)] if start < end else parts
+
+
 def transitions(tokens: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Character pairs of all tokens: the token each belongs to, and both codes."""
     points = np.frombuffer("\x00".join(tokens).encode("ascii"), np.uint8)
@@ -62,10 +75,9 @@ class MarkovModel:
         where, tokens = [], []
         for row, text in enumerate(texts):
             for m in CANDIDATE.finditer(text):
-                if any(c.isdigit() for c in m.group()) and any(c.isalpha() for c in m.group()):
-                    if not any(s < m.end() and m.start() < e for s, _, e in found[row]):
-                        where.append((row, m.start(), m.end()))
-                        tokens.append(m.group())
+                for start, end in outside(m.start(), m.end(), found[row]):
+                    where.append((row, start, end))
+                    tokens.append(text[start:end])
         if tokens:
             for (row, start, end), score in zip(where, self.scores(tokens)):
                 if score >= min_ratio:
@@ -127,9 +139,9 @@ def find_secrets(
 ) -> DataFrame:
     """``id_col, spans`` for every row; a span is ``kind, start, end`` in code points, end exclusive.
 
-    The fixed patterns give the kinds assign, access and hex. Strings of 16 or more characters
-    outside of them with a letter, a digit and a log-likelihood ratio of at least ``min_ratio`` are added as
-    random. Spans are ordered by start, then kind. Null and empty texts have none; repeated rows are
+    The fixed patterns give the kinds assign, access and hex. Of every string of 16 or more characters of
+    the alphabet, the parts outside of them (the whole string, if none meets it) that have a log-likelihood
+    ratio of at least ``min_ratio`` are added as random. Spans are ordered by start, then kind. Null and empty texts have none; repeated rows are
     each returned; other columns are ignored.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)

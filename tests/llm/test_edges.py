@@ -17,7 +17,7 @@ from corpusloom.llm.packing import pack_documents
 from corpusloom.llm.quality import quality_rules
 from corpusloom.llm.queries import PATTERN, RANKS, URL_RULES
 from corpusloom.llm.run_index import RunIndex
-from corpusloom.llm.secrets import find_secrets, fit_markov, labelled_strings, mask_secrets
+from corpusloom.llm.secrets import find_secrets, fit_markov, labelled_strings, mask_secrets, masked, outside
 from corpusloom.llm.substring_dedup import remove_repeated
 from corpusloom.llm.tokens import decode_documents, encode_documents
 from corpusloom.llm.toxicity import toxicity
@@ -206,6 +206,21 @@ def test_masked_secrets(spark):
     assert got == ['x [SECRET]" y', None, "plain words"]
 
 
+def test_every_candidate_is_scored(spark):
+    rng = random.Random(2)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    rows = [("".join(rng.choices(letters + "0123456789", k=30)), True) for _ in range(2000)]
+    rows += [("_".join(rng.choices(["user", "name", "count", "index", "value", "read"], k=4)), False) for _ in range(2000)]
+    model = fit_markov(spark.createDataFrame(rows, "token string, is_random boolean"))
+    key, access = "".join(rng.choices(letters, k=30)), "AKIA" + "Q7" * 8
+    texts = [f"x {key} y", "user_name_count_index_value", f"{key}/{access}-{key}"]
+    got = model.spans(texts, 12.0)
+    assert got[0] == [(2, 3, 32)] and got[1] == []
+    assert got[2] == [(0, 3, 31), (31, 1, 51), (51, 3, 82)]
+    assert masked(texts[2], got[2], "*") == "***"
+    assert outside(0, 10, [(0, 0, 2), (1, 1, 4), (6, 2, 7), (9, 0, 12)]) == [(4, 6), (7, 9)]
+
+
 def test_random_strings_score_above_identifiers(spark):
     rng = random.Random(1)
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
