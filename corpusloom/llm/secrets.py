@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import id_and_text, lean, named, sampled, small_batches
+from corpusloom.llm.common import id_and_text, lean, named, small_batches
 
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII
@@ -85,8 +85,8 @@ class MarkovModel:
         return [sorted(own) for own in found]
 
 
-def labelled_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_rows: int = 50_000) -> DataFrame:
-    """``token, is_random`` of about ``max_rows`` documents, chosen by the hash of their id.
+def labelled_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``token, is_random`` of all documents.
 
     Values in spans of the fixed patterns are labelled random, the identifiers of texts without
     such a span ordinary.
@@ -103,8 +103,7 @@ def labelled_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 marks += [bool(spans)] * len(own)
             yield pd.DataFrame({"token": pd.Series(tokens, dtype=object), "is_random": pd.Series(marks, dtype=bool)})
 
-    rows = id_and_text(docs, id_col, text_col)
-    return sampled(rows, F.col("id"), max_rows).mapInPandas(label, "token string, is_random boolean")
+    return id_and_text(docs, id_col, text_col).mapInPandas(label, "token string, is_random boolean")
 
 
 def fit_markov(labelled: DataFrame, smoothing: float = 1.0) -> MarkovModel:

@@ -221,6 +221,11 @@ def test_every_candidate_is_scored(spark):
     assert outside(0, 10, [(0, 0, 2), (1, 1, 4), (6, 2, 7), (9, 0, 12)]) == [(4, 6), (7, 9)]
 
 
+def test_every_document_gives_labelled_strings(spark):
+    docs = spark.range(60_000).selectExpr("id AS doc_id", "concat('name_of_', id) AS text")
+    assert labelled_strings(docs).count() == 60_000
+
+
 def test_random_strings_score_above_identifiers(spark):
     rng = random.Random(1)
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
