@@ -13,7 +13,7 @@ from corpusloom.operators import analysis, counting, metrics, models
 from corpusloom.operators import features as ft
 from corpusloom.operators import tickets as tk
 from corpusloom.plans import flows
-from corpusloom.plans.registry import query, responses, spread, table, tickets
+from corpusloom.plans.registry import messages, query, spread, table, tickets
 from corpusloom.plans.token_queries import TEST_FEATURES, TEST_SPANS, styled
 from corpusloom.session import materialise
 
@@ -140,8 +140,11 @@ def _train_test(data: DataFrame) -> tuple[DataFrame, DataFrame]:
     return data.where(F.col("split") == "train"), data.where(F.col("split") == "test")
 
 
-def _fold_statistics(estimators: dict[str, object], data: DataFrame, positive: float | None = None) -> DataFrame:
-    scores = [models.cross_validate(name, est, data, positive=positive) for name, est in estimators.items()]
+def _fold_statistics(
+    estimators: dict[str, object], data: DataFrame, positive: float | None = None, rows: int | None = None
+) -> DataFrame:
+    bound = {"key": "token_id", "max_rows": rows} if rows else {}
+    scores = [models.cross_validate(name, est, data, positive=positive, **bound) for name, est in estimators.items()]
     return counting.fold_statistics(reduce(DataFrame.unionByName, scores), "model", "score")
 
 
@@ -174,15 +177,24 @@ def style_importances(spark: SparkSession, folder: str) -> DataFrame:
 
 # ---- token classifiers -------------------------------------------------------------------------
 
-def reply_messages(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(
-        responses(spark, folder).select(F.col("response_id").alias("message_id"), F.col("response_text").alias("raw_text"))
-    )
+# About so many training tokens are fitted on, chosen by the hash of their id; all tokens are scored.
+FIT_TOKENS = 200_000
+
+
+def corpus_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """The emergency corpus: all documents, whole texts."""
+    return spread(messages(spark, folder).select("message_id", "raw_text"))
 
 
 def token_matrix(spark: SparkSession, folder: str, folds: int | None = None) -> DataFrame:
-    """The tokens of all replies."""
-    return flows.token_training_rows(reply_messages(spark, folder), TEST_SPANS, TEST_FEATURES, folds)[0]
+    """The tokens of all documents."""
+    return flows.token_training_rows(corpus_messages(spark, folder), TEST_SPANS, TEST_FEATURES, folds)[0]
+
+
+def token_train_test(data: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """About ``FIT_TOKENS`` tokens of the training rows, and all test rows."""
+    train, test = _train_test(data)
+    return materialise(models.some_rows(train, "token_id", FIT_TOKENS), "fit-tokens"), test
 
 
 def _token_estimators() -> dict[str, object]:
@@ -197,21 +209,21 @@ def _token_report(scored: DataFrame) -> DataFrame:
 
 @query()
 def decision_tree_report(spark: SparkSession, folder: str) -> DataFrame:
-    train, test = _train_test(token_matrix(spark, folder))
+    train, test = token_train_test(token_matrix(spark, folder))
     _, scored = models.fit_and_score("Decision Tree", models.decision_tree(), train, test, ["token_id"])
     return _token_report(scored)
 
 
 @query()
 def random_forest_report(spark: SparkSession, folder: str) -> DataFrame:
-    train, test = _train_test(token_matrix(spark, folder))
+    train, test = token_train_test(token_matrix(spark, folder))
     _, scored = models.fit_and_score("Random Forest", models.random_forest(), train, test, ["token_id"])
     return _token_report(scored)
 
 
 @query()
 def adaboost_report(spark: SparkSession, folder: str) -> DataFrame:
-    train, test = _train_test(token_matrix(spark, folder))
+    train, test = token_train_test(token_matrix(spark, folder))
     _, scored = models.fit_and_score("AdaBoost", models.AdaBoost(), train, test, ["token_id"])
     return _token_report(scored)
 
@@ -219,7 +231,7 @@ def adaboost_report(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def importance_table(spark: SparkSession, folder: str) -> DataFrame:
     """Importances of the token features by model, missing ones 0, with their mean, greatest first."""
-    train, _ = _train_test(token_matrix(spark, folder))
+    train, _ = token_train_test(token_matrix(spark, folder))
     fitted = {name: est.fit(train) for name, est in _token_estimators().items()}
     rows = models.importance_rows(spark, fitted, ft.TOKEN_FEATURES)
     return counting.wide_means(rows, "feature", "model", "importance", list(fitted))
@@ -228,21 +240,21 @@ def importance_table(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def token_cross_validation(spark: SparkSession, folder: str) -> DataFrame:
     """Mean and deviation of macro F1 over five folds, by classifier."""
-    return _fold_statistics(_token_estimators(), token_matrix(spark, folder, folds=5))
+    return _fold_statistics(_token_estimators(), token_matrix(spark, folder, folds=5), rows=FIT_TOKENS)
 
 
 @query()
 def token_scores(spark: SparkSession, folder: str) -> DataFrame:
-    """Tokens of all replies labelled by a fitted model; an unknown name falls back to the first one."""
-    replies = reply_messages(spark, folder)
-    data, encoders = flows.token_training_rows(replies, TEST_SPANS, TEST_FEATURES)
-    fitted = {"decision_tree": models.decision_tree().fit(_train_test(data)[0])}
-    return analysis.analyse(replies, models.choose_model(fitted, "random_forest"), encoders, TEST_FEATURES)
+    """Tokens of all documents labelled by a fitted model; an unknown name falls back to the first one."""
+    corpus = corpus_messages(spark, folder)
+    data, encoders = flows.token_training_rows(corpus, TEST_SPANS, TEST_FEATURES)
+    fitted = {"decision_tree": models.decision_tree().fit(token_train_test(data)[0])}
+    return analysis.analyse(corpus, models.choose_model(fitted, "random_forest"), encoders, TEST_FEATURES)
 
 
 @query()
 def scored_token_lists(spark: SparkSession, folder: str) -> DataFrame:
-    """Location and action tokens of every reply, by the fitted model."""
+    """Location and action tokens of every document with tokens, by the fitted model."""
     lists = analysis.analysed_lists(token_scores(spark, folder))
     return lists.select("message_id", F.array_join("loc_tokens", " ").alias("loc_tokens"), F.array_join("act_tokens", " ").alias("act_tokens"))
 

@@ -72,3 +72,17 @@ def test_all_classifiers_are_cross_validated(spark, monkeypatch, name, expected)
 
     monkeypatch.setattr(models, "cross_validate", score)
     assert {r["model"] for r in entry.queries()[name](spark, FOLDER).collect()} == expected
+
+
+def test_all_tokens_of_all_documents_are_scored(spark):
+    tokens = entry.queries()["tokens"](spark, FOLDER).groupBy("message_id").count()
+    scored = entry.queries()["token_scores"](spark, FOLDER).groupBy("message_id").count()
+    assert sorted(map(tuple, scored.collect())) == sorted(map(tuple, tokens.collect()))
+
+
+def test_bounded_rows_for_a_fit(spark):
+    rows = spark.range(20_000)
+    assert models.some_rows(rows, "id", 20_000).count() == 20_000
+    some = models.some_rows(rows, "id", 5_000)
+    assert 4_500 < some.count() < 5_500
+    assert sorted(map(tuple, some.collect())) == sorted(map(tuple, models.some_rows(rows.repartition(7), "id", 5_000).collect()))
