@@ -10,16 +10,19 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm import warc
 from corpusloom.llm.archive import archive_pages, archived_pages
+from corpusloom.llm.collocations import collocations
 from corpusloom.llm.common import table
 from corpusloom.llm.exact_dedup import exact_duplicates
 from corpusloom.llm.jaccard_join import jaccard_components
 from corpusloom.llm.packing import pack_documents
 from corpusloom.llm.quality import quality_rules
 from corpusloom.llm.secrets import find_secrets, fit_markov, labelled_strings
+from corpusloom.llm.simhash import simhash_components
 from corpusloom.llm.substring_dedup import remove_repeated
 from corpusloom.llm.tokens import decode_documents, encode_documents, packed
 from corpusloom.llm.toxicity import toxicity
 from corpusloom.llm.urls import alias_edges, url_verdicts
+from corpusloom.llm.whitening import whitened_embeddings
 from corpusloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -137,3 +140,44 @@ def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query(r"""
+WITH words AS (
+  SELECT lang, len(w) AS m, w FROM (
+    SELECT lang, regexp_extract_all(unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                              '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w
+    FROM (SELECT coalesce(lang, 'und') AS lang, text FROM documents)) WHERE len(w) > 0),
+counted AS (
+  SELECT lang, phrase, size, count(*) AS f FROM (
+    SELECT lang, 1 AS size, unnest(w) AS phrase FROM words
+    UNION ALL SELECT lang, 2, unnest([w[i] || ' ' || w[i + 1] FOR i IN range(1, m)]) FROM words
+    UNION ALL SELECT lang, 3, unnest([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, m - 1)]) FROM words) GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counted WHERE size = 1 GROUP BY lang),
+nodes AS (SELECT *, string_split(phrase, ' ') AS w FROM counted WHERE f >= 10),
+cuts AS (
+  SELECT lang, phrase, size, w, f AS a, k, array_to_string(w[1:k], ' ') AS first, array_to_string(w[k + 1:], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM nodes WHERE size > 1)),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, l.f AS l, r.f AS r, (1000000::HUGEINT * a * a // (l.f::HUGEINT * r.f))::BIGINT AS score, k
+  FROM cuts c JOIN nodes l ON l.lang = c.lang AND l.phrase = first JOIN nodes r ON r.lang = c.lang AND r.phrase = rest),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+longer AS (
+  SELECT lang, phrase, max(f) AS f FROM (
+    SELECT lang, f, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS phrase FROM nodes WHERE size = 3) GROUP BY ALL),
+kept AS (SELECT b.* FROM best b LEFT JOIN longer g USING (lang, phrase) WHERE g.f IS NULL OR 100 * g.f < 50 * a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+JOIN totals USING (lang) WHERE rank <= 2000""")
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations(table(spark, folder, "documents"), max_words=3, min_count=10, top=2000)
+
+
+@query()
+def op12_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash_components(table(spark, folder, "documents"), words_each=3, distance=3)
+
+
+@query()
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitened_embeddings(table(spark, folder, "embeddings"), components=8)
