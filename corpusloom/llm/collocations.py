@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as w
@@ -20,6 +21,9 @@ FOLD = bytes.maketrans(UPPER + STOPS + b"\t", UPPER.lower() + b"." * len(STOPS)
 CHUNK = 16 << 20
 SLICE = 100_000
 SALTS = 256
+#: Words and pairs are first counted in so many slots by hash.
+SLOT_BITS = 27
+MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def word_names(depth: int) -> list[str]:
@@ -37,42 +41,51 @@ def coded_words(folded: bytes) -> tuple[np.ndarray, pa.Array]:
     return codes, coded.dictionary
 
 
-def truncated_suffixes(codes: np.ndarray, depth: int, base: int) -> tuple[list[np.ndarray], np.ndarray]:
+def word_hashes(words: pa.Array, lang: str) -> np.ndarray:
+    """A hash for each word of a language; the first place is for the end of a piece."""
+    seed = xxhash.xxh64_intdigest(lang.encode()) & 0x7FFFFFFF
+    return np.array([0, *(xxhash.xxh64_intdigest(x, seed) for x in words.to_pylist())], np.uint64)
+
+
+def slots(first: np.ndarray, second: np.ndarray | int = 0) -> np.ndarray:
+    """The slot of a word, or of a pair, from their hashes."""
+    x = (first ^ (first >> np.uint64(29))) * MIX + np.asarray(second, np.uint64)
+    x = (x ^ (x >> np.uint64(32))) * MIX
+    return (x >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
+def distinct_rows(columns: list[np.ndarray], base: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct rows of columns of codes below ``base``, with their counts."""
+    kinds, key = 1, np.zeros(len(columns[0]), np.int64)
+    for column in columns:
+        if kinds > (1 << 62) // base:
+            held, key = np.unique(key, return_inverse=True)
+            kinds = len(held)
+        kinds, key = kinds * base, key * base + column
+    _, first, counts = np.unique(key, return_index=True, return_counts=True)
+    return [column[first] for column in columns], counts
+
+
+def truncated_suffixes(codes: np.ndarray, hashes: np.ndarray, frequent, depth: int) -> tuple[list[np.ndarray], np.ndarray]:
     """The distinct suffixes of the pieces, cut after ``depth`` words, as columns of codes with their counts.
 
-    A suffix that its piece ends before has 0 from there on.
+    A suffix has 0 from where its piece ends, or from the second word of a pair in a slot that is not
+    ``frequent``; no phrase with enough occurrences holds such a pair, or begins with such a word.
     """
     padded = np.concatenate([codes, np.zeros(depth, np.int64)])
     starts = np.flatnonzero(codes)
+    starts = starts[frequent(slots(hashes))[codes[starts]]]
     columns, alive = [codes[starts]], np.ones(len(starts), bool)
     for k in range(1, depth):
         following = padded[starts + k]
         alive &= following > 0
+        alive[alive] = frequent(slots(hashes[columns[-1][alive]], hashes[following[alive]]))
         columns.append(np.where(alive, following, 0))
-    kinds, key = 1, np.zeros(len(starts), np.int64)
-    for column in columns:
-        if kinds > (1 << 62) // base:
-            held, key = np.unique(key, return_inverse=True)
-            kinds = len(held)
-        kinds, key = kinds * base, key * base + column
-    _, first, counts = np.unique(key, return_index=True, return_counts=True)
-    return [column[first] for column in columns], counts
-
+    return distinct_rows(columns, len(hashes) + 1)
 
-def suffix_rows(depth: int):
-    """Documents (lang, text) to their truncated suffixes (lang, w0, w1, ..., c), combined over about 16 MB of text."""
-    schema = pa.schema([("lang", pa.string()), *[(name, pa.string()) for name in word_names(depth)], ("c", pa.int64())])
 
-    def combined(texts: dict[str, list[bytes]]) -> Iterator[pa.RecordBatch]:
-        for lang, parts in texts.items():
-            codes, words = coded_words(b".".join([*parts, b""]))
-            columns, counts = truncated_suffixes(codes, depth, len(words) + 2)
-            words = words.cast(pa.binary()).view(pa.string())
-            for at in range(0, len(counts), SLICE):
-                taken = [c[at : at + SLICE] for c in columns]
-                part = [words.take(pa.array(c - 1, mask=c == 0)) for c in taken]
-                own = pa.array([lang], pa.string()).take(pa.array(np.zeros(len(taken[0]), np.int64)))
-                yield pa.RecordBatch.from_arrays([own, *part, pa.array(counts[at : at + SLICE])], schema=schema)
+def by_chunk(combined):
+    """Documents (lang, text) to what ``combined`` makes of the folded texts of a language, about 16 MB at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, held = {}, 0
@@ -82,13 +95,61 @@ def suffix_rows(depth: int):
                 texts.setdefault(lang, []).append(folded)
                 held += len(folded)
                 if held > CHUNK:
-                    yield from combined(texts)
+                    for lang, parts in texts.items():
+                        yield from combined(lang, *coded_words(b".".join([*parts, b""])))
                     texts, held = {}, 0
-        yield from combined(texts)
+        for lang, parts in texts.items():
+            yield from combined(lang, *coded_words(b".".join([*parts, b""])))
 
     return lambda batches: lean(run(batches))
 
 
+def slot_counts(lang: str, codes: np.ndarray, words: pa.Array) -> Iterator[pa.RecordBatch]:
+    """Slots of the words and pairs of a chunk (slot, n)."""
+    hashes = word_hashes(words, lang)
+    counts = np.bincount(codes, minlength=len(hashes))[1:]
+    inside = (codes[:-1] > 0) & (codes[1:] > 0)
+    (first, second), n = distinct_rows([codes[:-1][inside], codes[1:][inside]], len(hashes) + 1)
+    found = np.concatenate([slots(hashes[1:])[counts > 0], slots(hashes[first], hashes[second])])
+    n = np.concatenate([counts[counts > 0], n])
+    for at in range(0, len(n), SLICE):
+        yield pa.RecordBatch.from_arrays([pa.array(found[at : at + SLICE]), pa.array(n[at : at + SLICE])], ["slot", "n"])
+
+
+def suffix_rows(depth: int, frequent_bits):
+    """The truncated suffixes of a chunk (lang, w0, w1, ..., c), and a row without words for the number of words."""
+    schema = pa.schema([("lang", pa.string()), *[(name, pa.string()) for name in word_names(depth)], ("c", pa.int64())])
+
+    def combined(lang: str, codes: np.ndarray, words: pa.Array) -> Iterator[pa.RecordBatch]:
+        bits = frequent_bits.value
+        frequent = lambda slot: (bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
+        columns, counts = truncated_suffixes(codes, word_hashes(words, lang), frequent, depth)
+        columns = [np.append(c, 0) for c in columns]
+        counts = np.append(counts, np.count_nonzero(codes))
+        words = words.cast(pa.binary()).view(pa.string())
+        for at in range(0, len(counts), SLICE):
+            taken = [c[at : at + SLICE] for c in columns]
+            part = [words.take(pa.array(c - 1, mask=c == 0)) for c in taken]
+            own = pa.array([lang], pa.string()).take(pa.array(np.zeros(len(taken[0]), np.int64)))
+            yield pa.RecordBatch.from_arrays([own, *part, pa.array(counts[at : at + SLICE])], schema=schema)
+
+    return combined
+
+
+def frequent_slots(texts: DataFrame, min_count: int) -> np.ndarray:
+    """A bit for each slot: whether its words and pairs have ``min_count`` occurrences together. 16 MB at any size of the corpus."""
+    counted = texts.mapInArrow(by_chunk(slot_counts), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    place = F.col("slot") + 1  # the functions count from 1
+    bitmaps = counted.where(F.col("n") >= min_count).groupBy(F.bitmap_bucket_number(place).alias("at")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
+    )
+    bits = np.zeros(1 << (SLOT_BITS - 3), np.uint8)
+    for row in bitmaps.toLocalIterator():
+        own = np.frombuffer(row["bits"], np.uint8)
+        bits[(row["at"] - 1) * len(own) : row["at"] * len(own)] = own
+    return bits
+
+
 def subtrees(depth: int, min_count: int):
     """A group of suffixes to the nodes of its subtrees (lang, phrase, size, f) with ``min_count`` occurrences or more.
 
@@ -156,10 +217,12 @@ def prefix_counts(docs: DataFrame, max_words: int, min_count: int, lang_col: str
     small_batches(docs.sparkSession)
     lang = F.coalesce(named(lang_col).cast("string"), F.lit("und")).alias("lang")
     texts = docs.select(lang, F.coalesce(named(text_col).cast("string"), F.lit("")).alias("text"))
+    bits = docs.sparkSession.sparkContext.broadcast(frequent_slots(texts, min_count))
     columns = ", ".join(f"{name} string" for name in word_names(max_words))
-    suffixes = materialise(texts.mapInArrow(suffix_rows(max_words), f"lang string, {columns}, c long"), "suffixes")
-    totals = suffixes.groupBy("lang").agg(F.sum("c").alias("n"))
-    grouped, extended = dealt(suffixes, max_words, budget)
+    suffixes = texts.mapInArrow(by_chunk(suffix_rows(max_words, bits)), f"lang string, {columns}, c long")
+    suffixes = materialise(suffixes, "suffixes")
+    totals = suffixes.where("w0 IS NULL").groupBy("lang").agg(F.sum("c").alias("n"))
+    grouped, extended = dealt(suffixes.where("w0 IS NOT NULL"), max_words, budget)
     nodes = grouped.groupBy("group").applyInArrow(subtrees(max_words, min_count), "lang string, phrase string, size int, f long")
     for heavy in extended:
         nodes = nodes.unionByName(heavy.where(F.col("f") >= min_count))
@@ -186,8 +249,9 @@ def collocations(
     """``lang, rank, phrase, a, l, r, n, score`` of the ``top`` phrases of every language.
 
     A-Z is lower-cased; ``.,;:!?`` and line ends cut a text into pieces, blanks and tabs a piece into
-    words. All suffixes of the pieces, cut after ``max_words`` words, are combined in each task and
-    dealt to groups by their first words, where a prefix with more than ``budget`` rows is extended
+    words. Words and pairs are first counted in 2^27 slots by hash: a slot with fewer than ``min_count``
+    holds no part of a candidate, so suffixes end before it. All suffixes of the pieces, cut after
+    ``max_words`` words, are combined in each task and dealt to groups by their first words, where a prefix with more than ``budget`` rows is extended
     by the next word; each group builds its subtrees alone and reads the counts from leaf totals.
     So no group holds a frequent word whole, and a phrase of any frequency comes once from about
     16 MB of text. A group holds a few times ``budget`` rows at most, and for a frequent phrase of ``max_words`` one
