@@ -9,7 +9,6 @@ from corpusloom.functions import vocab
 from corpusloom.lookups import literal_map
 from corpusloom.operators import annotate as an
 from corpusloom.operators import features as ft
-from corpusloom.operators.clustering import assemble
 
 SCORING_WORDS = ft.FeatureVocabulary(actions=vocab.SCORING_ACTIONS)
 
@@ -25,12 +24,12 @@ def analyse(
 ) -> DataFrame:
     """(key, token_idx, token, pos, dep, label, css) for every token; blank messages have none.
 
-    The features are those of training. Every token is scored alone, so this runs on streams too.
+    The features are those of training, and ``model`` adds a prediction to them. Every token is scored alone, so this runs on streams too.
     """
     annotated = an.annotate(messages, text, fields=["token", "pos", "dep", "lemma", "ent_pos", "ent_type"])
     flat = annotated.select(key, an.flat_tokens(F.col("sentences"), entity_types, ft.TOKEN_FIELDS).alias("tokens"))
     rows = ft.token_features(flat, ft.encoder_maps(encoders), words, key, keep=["token", "pos", "dep"])
-    scored = model.transform(assemble(rows, ft.TOKEN_FEATURES))
+    scored = model.transform(rows)
     label = F.element_at(ft.decoder_map(encoders), F.col("prediction").cast("int"))
     css = F.coalesce(F.element_at(literal_map(vocab.DISPLAY_CLASSES), F.col("label")), F.lit("other"))
     return scored.withColumn("label", label).select(key, "token_idx", "token", "pos", "dep", "label", css.alias("css"))

@@ -25,14 +25,18 @@ def gate_turns(
     text: str = "text",
     stop_words: list[str] = vocab.STOP_TURNS,
     command: Column | None = None,
+    role: str | None = "role",
+    speaker: str = "user",
 ) -> DataFrame:
     """Drop blank turns and everything from the first stop word of a conversation on.
 
-    ``command`` is the text compared with the stop words, by default the whole turn.
+    Only turns of the ``speaker`` end a conversation, all turns if ``role`` is None. ``command`` is the text compared
+    with the stop words, by default the whole turn.
     """
     said = F.lower(t.strip(F.col(text) if command is None else command))
     spoken = turns.where(~t.blank(F.col(text)))
-    stops = spoken.where(said.isin(stop_words)).groupBy(conversation).agg(F.min(turn).alias("_stop"))
+    own = F.lit(True) if role is None else F.col(role) == speaker
+    stops = spoken.where(own & said.isin(stop_words)).groupBy(conversation).agg(F.min(turn).alias("_stop"))
     kept = salted_join(spoken, stops, [conversation], how="left")
     return kept.where(F.col("_stop").isNull() | (F.col(turn) < F.col("_stop"))).select(*turns.columns)
 

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as t
-from corpusloom.lookups import bounded_map
 from corpusloom.operators.ordering import positions
 
 
@@ -61,7 +60,7 @@ def label_audit(df: DataFrame, label: str, allowed: list[str]) -> DataFrame:
 
 
 def renumber(df: DataFrame, key: str, name: str = "row_no") -> DataFrame:
-    """Number the rows 0, 1, 2, ... by an integer key."""
+    """Number the rows 0, 1, 2, ... by a key; rows without one come last."""
     return positions(df, key, name=name).withColumn(name, F.col(name) - 1)
 
 
@@ -70,18 +69,24 @@ def expand_templates(
 ) -> DataFrame:
     """``per_prompt`` texts for every prompt, from the templates and fillers of its category.
 
-    ``prompts`` has an integer ``prompt_no`` that fixes the order of the running ids. ``templates``
+    ``prompts`` has a ``prompt_no`` that fixes the order of the running ids. ``templates``
     is (category, templates ARRAY<STRING>), ``fillers`` is (category, fillers ARRAY<STRUCT<a, b>>);
-    both are cycled.
+    both are cycled. Null is a category like any other; a prompt whose category has no templates gets null
+    texts. A pattern is filled in one pass: what a filler holds is not filled again.
     """
-    patterns = bounded_map(templates, "category", F.col("templates"))[F.col("category")]
-    pairs = bounded_map(fillers, "category", F.col("fillers"))[F.col("category")]
-    numbered = positions(prompts, "prompt_no").select(
-        "*", patterns.alias("_t"), pairs.alias("_f"), F.explode(F.sequence(F.lit(0), F.lit(per_prompt - 1))).alias("_i")
+    patterns = templates.select(F.col("category").alias("_c"), F.col("templates").alias("_t"))
+    pairs = fillers.select(F.col("category").alias("_d"), F.col("fillers").alias("_f"))
+    numbered = (
+        positions(prompts, "prompt_no")
+        .join(patterns, F.col("category").eqNullSafe(F.col("_c")), "left")
+        .join(pairs, F.col("category").eqNullSafe(F.col("_d")), "left")
+        .withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(per_prompt - 1))))
     )
     pattern = F.get("_t", F.pmod("_i", F.size("_t")))
     pair = F.get("_f", F.pmod("_i", F.size("_f")))
-    text = F.replace(F.replace(pattern, F.lit("{a}"), pair["a"]), F.lit("{b}"), pair["b"])
+    between = F.split(pattern, r"\{a\}")
+    filled = F.transform(between, lambda part: F.replace(part, F.lit("{b}"), pair["b"]))
+    text = F.call_function("array_join", filled, pair["a"])
     number = (F.col("position") - 1) * per_prompt + F.col("_i") + 1
     return numbered.select(
         t.running_id(number, prefix).alias("response_id"),

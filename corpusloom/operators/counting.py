@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as w
@@ -40,20 +42,65 @@ def null_counts(df: DataFrame) -> DataFrame:
     return counts.unpivot([], df.columns, "column", "nulls")
 
 
-def summary_statistics(df: DataFrame, value: Column) -> DataFrame:
-    """count, mean, sample deviation, minimum, quartiles and maximum of an integer value.
+def exact_quantiles(df: DataFrame, columns: list[str], shares: list[float], parts: int = 1024) -> dict[str, list[float | None]]:
+    """The quantiles of numeric columns, between two ranks in proportion, from all values but nulls and not-a-numbers.
 
-    Equal values are counted first, so the exact quartiles work on distinct values. The deviation of one value is null.
+    Each rank is looked for in a range of values that begins as the whole column. A pass cuts every range into
+    ``parts`` equal ones, counts their values together with the least and greatest of each, and goes on with the one that
+    holds the rank, until that is a single value. What comes back from a pass is one row for each column and rank; no
+    task ever holds the distinct values of a column. Two or three passes are usual, for all columns together.
+    """
+    values = F.array(*[F.struct(F.lit(i).alias("c"), F.col(f"`{c}`").cast("double").alias("v")) for i, c in enumerate(columns)])
+    long = df.select(F.inline(values)).where(F.col("v").isNotNull() & ~F.isnan("v"))
+    ends = {r["c"]: r for r in long.groupBy("c").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()}
+    wanted = {(c, k) for c, r in ends.items() for s in shares for k in (math.floor((r["n"] - 1) * s), math.ceil((r["n"] - 1) * s))}
+    open_ = {(c, k): (ends[c]["lo"], ends[c]["hi"], 0) for c, k in wanted}
+    found = {}
+    while open_:
+        found |= {at: lo for at, (lo, hi, _) in open_.items() if lo == hi}
+        open_ = {at: r for at, r in open_.items() if at not in found}
+        if not open_:
+            break
+        names = ("c", "k", "lo", "hi", "before")
+        ranges = F.array(*[
+            F.struct(*[F.lit(x).cast(kind).alias(name) for x, kind, name in zip((*at, *r), ("int", "long", "double", "double", "long"), names)])
+            for at, r in open_.items()
+        ])
+        held = F.filter(ranges, lambda r: (r["c"] == F.col("c")) & F.col("v").between(r["lo"], r["hi"]))
+        inside = long.select("v", F.explode(held).alias("r")).select("v", "r.*")
+        half = F.col("hi") / 2 - F.col("lo") / 2
+        part = F.least(F.floor((F.col("v") / 2 - F.col("lo") / 2) / half * parts), F.lit(parts - 1))
+        counts = inside.groupBy("c", "k", "before", part.alias("part")).agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        upto = F.sum("n").over(w.Window.partitionBy("c", "k").orderBy("part").rowsBetween(w.Window.unboundedPreceding, 0))
+        placed = counts.withColumn("upto", F.col("before") + upto).where((F.col("k") < F.col("upto")) & (F.col("k") >= F.col("upto") - F.col("n")))
+        open_ = {(r["c"], r["k"]): (r["lo"], r["hi"], r["upto"] - r["n"]) for r in placed.collect()}
+
+    def between(c: int, share: float) -> float | None:
+        if c not in ends:
+            return None
+        rank = (ends[c]["n"] - 1) * share
+        low, high = found[c, math.floor(rank)], found[c, math.ceil(rank)]
+        return low + (high - low) * (rank - math.floor(rank))
+
+    return {name: [between(i, s) for s in shares] for i, name in enumerate(columns)}
+
+
+def summary_statistics(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, n, mean, std, min, q25, q50, q75, max) of numeric columns: sample deviation and exact quartiles.
+
+    Mean and deviation come from distances to the median and do not cancel. Nulls and not-a-numbers are left out; the deviation of one value is null.
     """
-    counts = df.select(value.alias("v")).where(F.col("v").isNotNull()).groupBy("v").agg(F.count("*").alias("c"))
-    n, mean = F.sum("c"), F.sum(F.col("v") * F.col("c")) / F.sum("c")
-    squares = F.sum(F.col("v").cast("double") * F.col("v") * F.col("c"))
-    deviation = F.sqrt(F.try_divide(squares - n * mean * mean, n - 1))
-    quartile = [F.percentile("v", F.lit(q), F.col("c")) for q in (0.25, 0.5, 0.75)]
-    return counts.agg(
-        n.alias("n"), mean.alias("mean"), deviation.alias("std"), F.min("v").alias("min"),
-        quartile[0].alias("q25"), quartile[1].alias("q50"), quartile[2].alias("q75"), F.max("v").alias("max"),
+    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
+    middle = {c: F.lit(q[1]).cast("double") for c, q in quartiles.items()}
+    values = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double").alias("v"), middle[c].alias("m")) for c in columns])
+    long = df.select(F.inline(values)).withColumn("v", F.when(~F.isnan("v"), F.col("v")))
+    off = F.col("v") - F.col("m")
+    moments = long.groupBy("column").agg(
+        F.count("v").alias("n"), (F.first("m") + F.avg(off)).alias("mean"), F.when(F.count("v") > 1, F.stddev_samp(off)).alias("std"),
+        F.min("v").alias("min"), F.max("v").alias("max"),
     )
+    rows = df.sparkSession.createDataFrame([(c, *q) for c, q in quartiles.items()], "column string, q25 double, q50 double, q75 double")
+    return rows.join(moments, "column", "left").select("column", "n", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def histogram(df: DataFrame, group: str, value: Column, bins: int = 30) -> DataFrame:

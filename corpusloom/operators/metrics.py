@@ -8,30 +8,45 @@ from pyspark.sql import functions as F
 from corpusloom.functions.numeric import ratio
 
 
-def pair_counts(df: DataFrame, label: str, prediction: str, by: list[str] | None = None) -> DataFrame:
-    """(by..., label, prediction, n): all metrics below need no more than this small table."""
+def _rows(count: str | None, test: Column | None = None) -> Column:
+    """How many rows there are, or pass ``test``; with ``count``, a row stands for that many."""
+    if count is None:
+        return F.count("*") if test is None else F.count_if(test)
+    n = F.col(count) if test is None else F.when(test, F.col(count)).otherwise(0)
+    return F.coalesce(F.sum(n), F.lit(0))
+
+
+def pair_counts(df: DataFrame, label: str, prediction: str, by: list[str] | None = None, count: str | None = None) -> DataFrame:
+    """(by..., label, prediction, n): all metrics below need no more than this small table.
+
+    With ``count``, a row stands for as many as that column says.
+    """
     return df.groupBy(*(by or []), F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(
-        F.count("*").alias("n")
+        _rows(count).alias("n")
     )
 
 
-def binary_metrics(df: DataFrame, label: str, prediction: str, positive=1, by: list[str] | None = None) -> DataFrame:
+def binary_metrics(
+    df: DataFrame, label: str, prediction: str, positive=1, by: list[str] | None = None, count: str | None = None
+) -> DataFrame:
     """Accuracy, precision, recall and F1 of the positive class; 0 where a denominator is 0."""
     y, p = F.col(label) == positive, F.col(prediction) == positive
-    tp, fp, fn = F.count_if(y & p), F.count_if(~y & p), F.count_if(y & ~p)
-    right = F.count_if(F.col(label) == F.col(prediction))
+    tp, fp, fn = _rows(count, y & p), _rows(count, ~y & p), _rows(count, y & ~p)
+    right = _rows(count, F.col(label) == F.col(prediction))
     return df.groupBy(*(by or [])).agg(
-        ratio(right, F.count("*")).alias("accuracy"),
+        ratio(right, _rows(count)).alias("accuracy"),
         ratio(tp, tp + fp).alias("precision"),
         ratio(tp, tp + fn).alias("recall"),
         ratio(2 * tp, 2 * tp + fp + fn).alias("f1"),
     )
 
 
-def class_report(df: DataFrame, label: str, prediction: str, by: list[str] | None = None) -> DataFrame:
+def class_report(
+    df: DataFrame, label: str, prediction: str, by: list[str] | None = None, count: str | None = None
+) -> DataFrame:
     """Precision, recall, F1 and support of every class that occurs as label or prediction."""
     by = by or []
-    pairs = pair_counts(df, label, prediction, by)
+    pairs = pair_counts(df, label, prediction, by, count)
     sides = F.array(
         F.struct(F.col("label").alias("class"), F.col("n").alias("support"), F.lit(0).cast("long").alias("predicted"),
                  F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0).alias("hits")),
@@ -51,10 +66,12 @@ def class_report(df: DataFrame, label: str, prediction: str, by: list[str] | Non
     )
 
 
-def f1_averages(df: DataFrame, label: str, prediction: str, by: list[str] | None = None) -> DataFrame:
+def f1_averages(
+    df: DataFrame, label: str, prediction: str, by: list[str] | None = None, count: str | None = None
+) -> DataFrame:
     """Accuracy, macro F1 and support-weighted F1."""
     by = by or []
-    report = class_report(df, label, prediction, by)
+    report = class_report(df, label, prediction, by, count)
     weighted = ratio(F.sum(F.col("f1") * F.col("support")), F.sum("support"))
     right = ratio(F.sum(F.col("recall") * F.col("support")), F.sum("support"))
     return report.groupBy(*by).agg(

@@ -7,33 +7,35 @@ window over one row per range supplies what came before it.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as w
 
-from corpusloom.lookups import bounded_map
+from corpusloom.session import materialise
 
 RANGE_WIDTH = 65536
 
 
-def positions(
-    df: DataFrame, order: str, group: list[str] | None = None, name: str = "position", width: int = RANGE_WIDTH
-) -> DataFrame:
-    """Add the one-based position by the integer column ``order``, which is unique in its group."""
+def positions(df: DataFrame, order: str, group: list[str] | None = None, name: str = "position") -> DataFrame:
+    """Add the one-based position of every row by ``order``, in its group if there are any.
+
+    Rows are put in ranges of group and order key once; a window numbers them in their range, and one count per
+    group and range says where it starts. So no task sees more than a range, however the keys lie. Rows
+    without a key come last; equal keys are told apart by a hash of the whole row.
+    """
     group = group or []
-    ranged = df.withColumn("_range", F.col(order) - F.pmod(F.col(order), F.lit(width)))
-    keys = group + ["_range"]
-    sizes = ranged.groupBy(*keys).agg(F.count("*").alias("_n"))
-    earlier = (
-        w.Window.partitionBy(*group).orderBy("_range").rowsBetween(w.Window.unboundedPreceding, -1)
-    )
-    offsets = sizes.select(*keys, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    local = ranged.withColumn("_local", F.row_number().over(w.Window.partitionBy(*keys).orderBy(order)))
-    return (
-        local.join(offsets, keys)
-        .withColumn(name, F.col("_before") + F.col("_local"))
-        .select(*df.columns, name)
-    )
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind])
+    keys = [F.col(order).isNull(), F.col(order), tie]
+    ranged = materialise(df.repartitionByRange(*group, *keys).withColumn("_range", F.spark_partition_id()), "ranges")
+    sizes = ranged.groupBy(*group, "_range").agg(F.count("*").alias("_n"))
+    earlier = w.Window.partitionBy(*group).orderBy("_range").rowsBetween(w.Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
+    offsets = sizes.select(*[F.col(g).alias(f"_{g}") for g in group], F.col("_range").alias("_at"), before)
+    local = ranged.withColumn("_local", F.row_number().over(w.Window.partitionBy(*group, "_range").orderBy(*keys)))
+    same = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group], F.col("_range") == F.col("_at"))
+    return local.join(offsets, same).withColumn(name, F.col("_before") + F.col("_local")).select(*df.columns, name)
 
 
 def neighbours(
@@ -93,7 +95,7 @@ def rank_cuts(
 
     ``cut_ranks`` are expressions over ``n``, the number of rows of the stratum. A histogram of the
     first hexadecimal digits finds the buckets that hold a cut; only rows in those buckets are
-    ordered. Rank 0 yields an empty text, which every key exceeds.
+    joined with them and ordered. Rank 0 yields an empty text, which every key exceeds.
     """
     hashed = df.select(F.col(stratum).alias("stratum"), hashed_key(F.col(key), seed).alias("h"))
     hashed = hashed.withColumn("bucket", F.substring("h", 1, digits))
@@ -111,13 +113,10 @@ def rank_cuts(
     inside = wanted.where((F.col("rank") <= F.col("upto")) & (F.col("rank") > F.col("upto") - F.col("c")))
     inside = inside.select("stratum", "bucket", "cut", (F.col("rank") - F.col("upto") + F.col("c")).alias("need"))
     # one entry per stratum and bucket with a cut
-    buckets = inside.groupBy("stratum", "bucket").agg(F.collect_list(F.struct("need", "cut")).alias("needs"))
-    lookup = bounded_map(
-        buckets.select(F.concat_ws("|", "bucket", "stratum").alias("at"), "needs"), "at", F.col("needs"), 10_000
+    buckets = inside.groupBy(F.col("stratum").alias("s"), F.col("bucket").alias("b")).agg(
+        F.collect_list(F.struct("need", "cut")).alias("needs")
     )
-    near = hashed.withColumn("needs", F.col("bucket")).select(
-        "stratum", "h", "bucket", lookup[F.concat_ws("|", "bucket", "stratum")].alias("needs")
-    ).where(F.col("needs").isNotNull())
+    near = hashed.join(buckets, F.col("stratum").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
     ordered = near.withColumn("r", F.row_number().over(w.Window.partitionBy("stratum", "bucket").orderBy("h")))
     hits = ordered.select("stratum", "h", "r", F.explode("needs").alias("need")).where(
         F.col("r") == F.col("need.need")
@@ -129,12 +128,15 @@ def rank_cuts(
 def with_passed_cuts(
     df: DataFrame, stratum: str, key: str, cut_ranks: list[Column], seed: int, name: str
 ) -> DataFrame:
-    """Add how many of the cuts of its stratum the hashed key of a row lies beyond."""
+    """Add how many of the cuts of its stratum the hashed key of a row lies beyond.
+
+    A null stratum is one like any other. The cuts are joined; adaptive execution sees how small they
+    are, and splits a large stratum where they are not.
+    """
     cuts = rank_cuts(df, stratum, key, cut_ranks, seed)
-    per_stratum = cuts.groupBy("stratum").agg(F.collect_list("h").alias("hs"))
-    lookup = bounded_map(per_stratum, "stratum", F.col("hs"))
-    held = df.select("*", lookup[F.col(stratum)].alias("_cuts"), hashed_key(F.col(key), seed).alias("_h"))
-    passed = F.size(F.filter("_cuts", lambda h: h < F.col("_h")))
+    per_stratum = cuts.groupBy(F.col("stratum").alias("_stratum")).agg(F.collect_list("h").alias("_cuts"))
+    held = df.join(per_stratum, F.col(stratum).eqNullSafe(F.col("_stratum")), "left")
+    passed = F.size(F.filter("_cuts", lambda h: h < hashed_key(F.col(key), seed)))
     return held.withColumn(name, passed).select(*df.columns, name)
 
 

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as w
 
-from corpusloom.lookups import bounded_map
 from corpusloom.operators.ordering import with_passed_cuts
 
 
@@ -41,9 +40,13 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def with_weights(df: DataFrame, label: str, power: int = 1, name: str = "weight") -> DataFrame:
-    """Add the balanced weight of the row's class; ``power=2`` applies the balance twice."""
-    lookup = bounded_map(class_weights(df, label), label, F.pow(F.col("weight"), F.lit(power)))
-    return df.withColumn(name, lookup[F.col(label)])
+    """Add the balanced weight of the row's class; ``power=2`` applies the balance twice.
+
+    Null is a class like any other.
+    """
+    weights = class_weights(df, label).select(F.col(label).alias("_class"), F.pow("weight", F.lit(power)).alias(name))
+    held = df.drop(name)
+    return held.join(weights, F.col(label).eqNullSafe(F.col("_class")), "left").drop("_class")
 
 
 def label_codes(label: Column, codes: dict[str, int]) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as t
@@ -123,7 +123,7 @@ def _templates_sql(templates: dict[str, list[str]], fillers: dict[str, list[tupl
     pairs = [f"('{c}', {i}, {quoted([a])}, {quoted([b])})" for c, xs in fillers.items() for i, (a, b) in enumerate(xs)]
     return f"""
   SELECT '{prefix}_' || printf('%04d', (p.k * 4 + r.i + 1)::BIGINT) AS response_id, p.item_id AS prompt_id, p.text AS prompt,
-         replace(replace(t.x, '{{a}}', f.a), '{{b}}', f.b) AS response_text, '{source}' AS source_type
+         list_reduce([replace(part, '{{b}}', f.b) FOR part IN string_split(t.x, '{{a}}')], lambda x, y: x || f.a || y) AS response_text, '{source}' AS source_type
   FROM (SELECT *, row_number() OVER (ORDER BY item_id) - 1 AS k, (['advice','factual','creative','opinion'])[item_id % 4 + 1] AS cat FROM benchmark) p
   CROSS JOIN (SELECT unnest(range(0, 4)) AS i) r
   JOIN (VALUES {", ".join(rows)}) t(cat, i, x) ON t.cat = p.cat AND t.i = r.i
@@ -315,7 +315,7 @@ def rounded_values(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"""
   WITH s AS (SELECT *, lower(split_part({strip_sql('text')}, ' ', 1)) AS command FROM conversations
              WHERE {strip_sql('text')} <> ''),
-  c AS (SELECT conv_id, min(turn) AS stop FROM s WHERE command IN ({quoted(STOP_COMMANDS)}) GROUP BY conv_id)
+  c AS (SELECT conv_id, min(turn) AS stop FROM s WHERE role = 'user' AND command IN ({quoted(STOP_COMMANDS)}) GROUP BY conv_id)
   SELECT s.conv_id, turn, role, text FROM s LEFT JOIN c USING (conv_id) WHERE stop IS NULL OR turn < stop""")
 def gated_turns(spark: SparkSession, folder: str) -> DataFrame:
     """The first word of a turn is its command."""
@@ -439,8 +439,26 @@ def null_counts(spark: SparkSession, folder: str) -> DataFrame:
          quantile_cont(length(text), 0.25) AS q25, quantile_cont(length(text), 0.5) AS q50,
          quantile_cont(length(text), 0.75) AS q75, max(length(text)) AS max FROM documents""")
 def length_statistics(spark: SparkSession, folder: str) -> DataFrame:
-    stats = counting.summary_statistics(table(spark, folder, "documents"), F.length("text").cast("long"))
-    return stats.withColumns({"mean": F.round("mean", 6), "std": F.round("std", 6)})
+    stats = counting.summary_statistics(table(spark, folder, "documents").select(F.length("text").alias("length")), ["length"])
+    return stats.drop("column").withColumns({"mean": F.round("mean", 6), "std": F.round("std", 6), **_whole("min", "max")})
+
+
+def _whole(*columns: str) -> dict[str, Column]:
+    return {c: F.col(c).cast("long") for c in columns}
+
+
+_PRICES = {"lineitem": ["l_quantity", "l_extendedprice", "l_discount"], "orders": ["o_totalprice", "o_custkey"]}
+
+
+@query(" UNION ALL ".join(f"""
+  SELECT '{c}' AS column, count(v) AS n, round(avg(v), 6) AS mean, round(stddev_samp(v), 4) AS std, min(v) AS min, round(quantile_cont(v, 0.25), 6) AS q25,
+         round(quantile_cont(v, 0.5), 6) AS q50, round(quantile_cont(v, 0.75), 6) AS q75, max(v) AS max
+  FROM (SELECT {c}::DOUBLE AS v FROM {t})""" for t, columns in _PRICES.items() for c in columns))
+def column_statistics(spark: SparkSession, folder: str) -> DataFrame:
+    """Statistics of numeric columns of any kind, all columns of a table together."""
+    found = [counting.summary_statistics(table(spark, folder, t), columns) for t, columns in _PRICES.items()]
+    digits = {"mean": 6, "std": 4, "q25": 6, "q50": 6, "q75": 6}
+    return found[0].unionByName(found[1]).withColumns({c: F.round(c, d) for c, d in digits.items()})
 
 
 @query("""

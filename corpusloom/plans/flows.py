@@ -54,18 +54,17 @@ def token_training_rows(
 ) -> tuple[DataFrame, DataFrame]:
     """Messages (message_id, raw_text) to token rows and encoders.
 
-    Rows have token_id, features, label, weight (balanced twice), split (75/25) and, if asked for,
-    a fold; with folds the weight is balanced once.
+    Rows have token_id, the 13 features, label, split (75/25) and, if asked for, a fold.
     """
     tagged = tagging.tag_corpus(messages, words, fields=ft.TOKEN_FIELDS)
     held = materialise(ft.token_columns(tagged, feature_words), "token-columns")
     encoders = materialise(ft.fit_encoders(held), "encoders")
     rows = ft.encode_tokens(held, ft.encoder_maps(encoders)).withColumn("label", F.col("bio_enc").cast("double"))
     keyed = rows.withColumn("token_id", F.concat_ws("#", "message_id", "token_idx"))
-    weighted = split.with_weights(_parted(keyed, "token_id", folds), "label", power=1 if folds else 2)
-    kept = cl.assemble(weighted, ft.TOKEN_FEATURES)
+    parted = _parted(keyed, "token_id", folds)
     extra = ["fold"] if folds else []
-    return materialise(kept.select("token_id", "features", "label", "weight", "split", *extra), "token-rows"), encoders
+    kept = parted.select("token_id", *ft.TOKEN_FEATURES, "label", "split", *extra)
+    return materialise(kept, "token-rows"), encoders
 
 
 def style_rows(
@@ -77,11 +76,10 @@ def style_rows(
 
 
 def style_training_rows(styles: DataFrame, folds: int | None = None) -> DataFrame:
-    """Style features to rows with features, label (1 is AI), split (75/25) and, if asked for, a fold."""
+    """Style features to rows with the features, label (1 is AI), split (75/25) and, if asked for, a fold."""
     rows = styles.withColumn("label", (F.col("source_type") == "AI").cast("double"))
     held = materialise(rows.select("response_id", "label", *ft.STYLE_FEATURES), "style-features")
-    kept = cl.assemble(_parted(held, "response_id", folds), ft.STYLE_FEATURES).drop(*ft.STYLE_FEATURES)
-    return materialise(kept, "style-rows")
+    return materialise(_parted(held, "response_id", folds), "style-rows")
 
 
 def scaled_style_rows(styles: DataFrame) -> DataFrame:

@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom import schemas
 from corpusloom.functions import vocab
 from corpusloom.operators import clustering as cl
 from corpusloom.operators import analysis, counting, metrics, models
 from corpusloom.operators import features as ft
 from corpusloom.operators import tickets as tk
+from corpusloom.operators import trees as tr
 from corpusloom.plans import flows
 from corpusloom.plans.registry import messages, query, spread, table, tickets
-from corpusloom.plans.token_queries import TEST_FEATURES, TEST_SPANS, styled
-from corpusloom.session import materialise
+from corpusloom.plans.token_queries import FEATURES_SQL, TEST_FEATURES, TEST_SPANS, styled
+from corpusloom.plans.tree_sql import tree_sql
+from corpusloom.session import materialise, scratch_path
+from corpusloom.sources import tables
 
 
 # ---- evaluation --------------------------------------------------------------------------------
@@ -124,61 +126,91 @@ def clustering_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 # ---- style classifiers -------------------------------------------------------------------------
 
-def style_matrix(spark: SparkSession, folder: str, folds: int | None = None) -> DataFrame:
-    return flows.style_training_rows(styled(spark, folder), folds)
+STYLE_BINS = 128  # the replies are few and their features fine
+STYLE_MODELS = {
+    "DecisionTree": tr.decision_tree(depth=5, leaf=4, balance=0),
+    "AdaBoost": tr.ada_boost(rounds=100, depth=2, rate=0.6, balance=0),
+    "GradientBoosting": tr.gradient_boosting(rounds=120, depth=3, rate=0.08),
+}
 
 
-def _style_estimators() -> dict[str, object]:
-    return {
-        "DecisionTree": models.decision_tree(depth=5, leaf=4, weight=None),
-        "AdaBoost": models.AdaBoost(rounds=100, depth=2, rate=0.6, balanced=False),
-        "GradientBoosting": models.gradient_boosting(),
-    }
+def style_matrix(spark: SparkSession, folder: str, folds: int | None = None) -> DataFrame:
+    return flows.style_training_rows(styled(spark, folder), folds)
 
 
 def _train_test(data: DataFrame) -> tuple[DataFrame, DataFrame]:
     return data.where(F.col("split") == "train"), data.where(F.col("split") == "test")
 
 
-def _fold_statistics(
-    estimators: dict[str, object], data: DataFrame, positive: float | None = None, rows: int | None = None
-) -> DataFrame:
-    bound = {"key": "token_id", "max_rows": rows} if rows else {}
-    scores = [models.cross_validate(name, est, data, positive=positive, **bound) for name, est in estimators.items()]
-    return counting.fold_statistics(reduce(DataFrame.unionByName, scores), "model", "score")
+def _held_out_style_scores(data: DataFrame) -> tuple[DataFrame, dict[str, tr.EnsembleModel]]:
+    train, test = _train_test(data)
+    fitted = tr.fit_jointly(train, STYLE_MODELS, ft.STYLE_FEATURES, max_bins=STYLE_BINS)
+    found = {name: fitted.model(name) for name in STYLE_MODELS}
+    scored = tr.scored_cells(test, found)
+    return metrics.binary_metrics(scored, "label", "prediction", 1.0, by=["model"], count="n"), found
+
+
+def _style_fold_scores(data: DataFrame) -> DataFrame:
+    scores = tr.cross_validated(data, STYLE_MODELS, ft.STYLE_FEATURES, positive=1.0, max_bins=STYLE_BINS)
+    return counting.fold_statistics(scores, "model", "score")
 
 
 @query()
 def style_classification(spark: SparkSession, folder: str) -> DataFrame:
     """Accuracy, precision, recall and F1 of three classifiers on the held-out quarter."""
-    train, test = _train_test(style_matrix(spark, folder))
-    scored = [
-        models.fit_and_score(name, est, train, test, ["response_id"])[1] for name, est in _style_estimators().items()
-    ]
-    both = scored[0].unionByName(scored[1]).unionByName(scored[2])
-    return metrics.binary_metrics(both, "label", "prediction", 1.0, by=["model"])
+    return _held_out_style_scores(style_matrix(spark, folder))[0]
 
 
 @query()
 def style_cross_validation(spark: SparkSession, folder: str) -> DataFrame:
     """Mean and deviation of F1 over five folds, by classifier."""
+    return _style_fold_scores(style_matrix(spark, folder, folds=5))
+
+
+@query()
+def classification_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Held-out scores of every classifier beside the mean and deviation of its F1 over five folds."""
     data = style_matrix(spark, folder, folds=5)
-    return _fold_statistics(_style_estimators(), data, positive=1.0)
+    folds = _style_fold_scores(data).select("model", F.col("mean").alias("cv_f1_mean"), F.col("std").alias("cv_f1_std"))
+    return _held_out_style_scores(data)[0].join(folds, "model")
 
 
 @query()
 def style_importances(spark: SparkSession, folder: str) -> DataFrame:
     """Feature importances of the boosted trees, greatest first, top eight."""
     train, _ = _train_test(style_matrix(spark, folder))
-    model = models.gradient_boosting().fit(train)
-    rows = models.importance_rows(spark, {"GradientBoosting": model}, ft.STYLE_FEATURES)
+    name = "GradientBoosting"
+    model = tr.fit_jointly(train, {name: STYLE_MODELS[name]}, ft.STYLE_FEATURES, max_bins=STYLE_BINS).model(name)
+    rows = models.importance_rows(spark, {name: model}, ft.STYLE_FEATURES)
     return rows.orderBy(F.desc("importance"), "feature").limit(8)
 
 
+@query()
+def style_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """The nested summary of the corpus, written as JSON and read back, a row for each entry.
+
+    Scores of the fitted classifiers, their eight greatest importances, and both clusterings against the true source.
+    """
+    styles = materialise(styled(spark, folder), "styles")
+    scores, found = _held_out_style_scores(flows.style_training_rows(styles))
+    name = "GradientBoosting"
+    importances = models.importance_rows(spark, {name: found[name]}, ft.STYLE_FEATURES).drop("model")
+    data = flows.scaled_style_rows(styles)
+    labelled = materialise(cl.cluster_labels(data, ["response_id", "source_type"]), "clusters")
+    alignment = metrics.adjusted_rand_index(labelled, "source_type", "kmeans_cluster").withColumnRenamed("ari", "kmeans_ari")
+    hierarchical = metrics.adjusted_rand_index(labelled, "source_type", "hierarchical_cluster").scalar()
+    path = scratch_path(spark, "summary-json")
+    tables.write_json(tables.summary_row(scores, importances, alignment.withColumn("hierarchical_ari", hierarchical)), path)
+    return tables.summary_entries(tables.read_json(spark, path, schemas.SUMMARY))
+
+
 # ---- token classifiers -------------------------------------------------------------------------
 
-# About so many training tokens are fitted on, chosen by the hash of their id; all tokens are scored.
+# About so many training tokens are fitted on, chosen by the md5 of their id; all tokens are scored.
 FIT_TOKENS = 200_000
+TOKEN_MODELS = {"AdaBoost": tr.ada_boost(), "Decision Tree": tr.decision_tree(), "Random Forest": tr.random_forest()}
+# Cross-validation balances the classes once.
+FOLD_MODELS = {"AdaBoost": tr.ada_boost(), "Decision Tree": tr.decision_tree(balance=1), "Random Forest": tr.random_forest(balance=1)}
 
 
 def corpus_messages(spark: SparkSession, folder: str) -> DataFrame:
@@ -186,73 +218,116 @@ def corpus_messages(spark: SparkSession, folder: str) -> DataFrame:
     return spread(messages(spark, folder).select("message_id", "raw_text"))
 
 
-def token_matrix(spark: SparkSession, folder: str, folds: int | None = None) -> DataFrame:
-    """The tokens of all documents."""
-    return flows.token_training_rows(corpus_messages(spark, folder), TEST_SPANS, TEST_FEATURES, folds)[0]
+def token_matrix(spark: SparkSession, folder: str, folds: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """The tokens of all documents, and the encoders of their features."""
+    return flows.token_training_rows(corpus_messages(spark, folder), TEST_SPANS, TEST_FEATURES, folds)
 
 
 def token_train_test(data: DataFrame) -> tuple[DataFrame, DataFrame]:
     """About ``FIT_TOKENS`` tokens of the training rows, and all test rows."""
     train, test = _train_test(data)
-    return materialise(models.some_rows(train, "token_id", FIT_TOKENS), "fit-tokens"), test
+    return models.some_rows(train, "token_id", FIT_TOKENS), test
+
 
+def _token_models(train: DataFrame, names: list[str]) -> dict[str, tr.EnsembleModel]:
+    fitted = tr.fit_jointly(train, {name: TOKEN_MODELS[name] for name in names}, ft.TOKEN_FEATURES)
+    return {name: fitted.model(name) for name in names}
 
-def _token_estimators() -> dict[str, object]:
-    return {"AdaBoost": models.AdaBoost(), "Decision Tree": models.decision_tree(), "Random Forest": models.random_forest()}
 
+def _scored_tests(spark: SparkSession, folder: str, names: list[str]) -> DataFrame:
+    """(model, label, prediction, n): how often each model gives each label to test tokens of each label, by name."""
+    data, encoders = token_matrix(spark, folder)
+    train, test = token_train_test(data)
+    names_of = ft.decoder_map(encoders)
+    scored = tr.scored_cells(test, _token_models(train, names))
+    named = {c: F.element_at(names_of, F.col(c).cast("int")) for c in ("label", "prediction")}
+    return scored.withColumns(named).groupBy("model", "label", "prediction").agg(F.sum("n").alias("n"))
 
-def _token_report(scored: DataFrame) -> DataFrame:
-    report = metrics.class_report(scored, "label", "prediction", by=["model"])
-    average = metrics.f1_averages(scored, "label", "prediction", by=["model"])
+
+def _token_report(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    scored = materialise(_scored_tests(spark, folder, [name]), "scored")
+    report = metrics.class_report(scored, "label", "prediction", by=["model"], count="n")
+    average = metrics.f1_averages(scored, "label", "prediction", by=["model"], count="n")
     return report.join(average.select("model", "f1_macro"), "model")
 
 
-@query()
+_TREE = FEATURES_SQL + "," + tree_sql(TOKEN_MODELS["Decision Tree"].depth, TOKEN_MODELS["Decision Tree"].leaf,
+                                      TOKEN_MODELS["Decision Tree"].balance, FIT_TOKENS) + """,
+  names AS (SELECT code, value FROM enc WHERE kind = 'bio'),
+  pairs AS MATERIALIZED (SELECT l.value AS y, g.value AS p, count(*) AS n FROM parted JOIN predicted USING (b)
+      JOIN names l ON l.code = bio_enc JOIN names g ON g.code = p WHERE NOT train GROUP BY ALL)"""
+
+
+@query(_TREE + """,
+  sides AS (SELECT class, coalesce(sum(n) FILTER (y = class), 0) AS support, coalesce(sum(n) FILTER (p = class), 0) AS predicted,
+              coalesce(sum(n) FILTER (y = class AND p = class), 0) AS hits
+    FROM pairs, (SELECT y AS class FROM pairs UNION SELECT p FROM pairs) GROUP BY class),
+  scores AS (SELECT class, coalesce(hits / nullif(predicted, 0), 0) AS precision, coalesce(hits / nullif(support, 0), 0) AS recall,
+              coalesce(2 * hits / nullif(predicted + support, 0), 0) AS f1, support FROM sides)
+  SELECT 'Decision Tree' AS model, class, round(precision, 9) AS precision, round(recall, 9) AS recall, round(f1, 9) AS f1,
+         CAST(support AS BIGINT) AS support, round(avg(f1) OVER (), 9) AS f1_macro FROM scores""")
 def decision_tree_report(spark: SparkSession, folder: str) -> DataFrame:
-    train, test = token_train_test(token_matrix(spark, folder))
-    _, scored = models.fit_and_score("Decision Tree", models.decision_tree(), train, test, ["token_id"])
-    return _token_report(scored)
+    report = _token_report(spark, folder, "Decision Tree")
+    return report.withColumns({c: F.round(c, 9) for c in ("precision", "recall", "f1", "f1_macro")})
+
+
+@query(_TREE + " SELECT y AS label, p AS prediction, n FROM pairs")
+def token_confusion(spark: SparkSession, folder: str) -> DataFrame:
+    """How often the fitted decision tree gives each label to test tokens of each label."""
+    return _scored_tests(spark, folder, ["Decision Tree"]).drop("model")
 
 
 @query()
 def random_forest_report(spark: SparkSession, folder: str) -> DataFrame:
-    train, test = token_train_test(token_matrix(spark, folder))
-    _, scored = models.fit_and_score("Random Forest", models.random_forest(), train, test, ["token_id"])
-    return _token_report(scored)
+    return _token_report(spark, folder, "Random Forest")
 
 
 @query()
 def adaboost_report(spark: SparkSession, folder: str) -> DataFrame:
-    train, test = token_train_test(token_matrix(spark, folder))
-    _, scored = models.fit_and_score("AdaBoost", models.AdaBoost(), train, test, ["token_id"])
-    return _token_report(scored)
+    return _token_report(spark, folder, "AdaBoost")
 
 
 @query()
 def importance_table(spark: SparkSession, folder: str) -> DataFrame:
     """Importances of the token features by model, missing ones 0, with their mean, greatest first."""
-    train, _ = token_train_test(token_matrix(spark, folder))
-    fitted = {name: est.fit(train) for name, est in _token_estimators().items()}
-    rows = models.importance_rows(spark, fitted, ft.TOKEN_FEATURES)
-    return counting.wide_means(rows, "feature", "model", "importance", list(fitted))
+    train, _ = token_train_test(token_matrix(spark, folder)[0])
+    rows = models.importance_rows(spark, _token_models(train, list(TOKEN_MODELS)), ft.TOKEN_FEATURES)
+    return counting.wide_means(rows, "feature", "model", "importance", list(TOKEN_MODELS))
 
 
 @query()
-def token_cross_validation(spark: SparkSession, folder: str) -> DataFrame:
-    """Mean and deviation of macro F1 over five folds, by classifier."""
-    return _fold_statistics(_token_estimators(), token_matrix(spark, folder, folds=5), rows=FIT_TOKENS)
+def best_token_model(spark: SparkSession, folder: str) -> DataFrame:
+    """The classifier with the greatest held-out macro F1; the first listed among equals."""
+    scored = _scored_tests(spark, folder, list(TOKEN_MODELS))
+    scores = metrics.f1_averages(scored, "label", "prediction", by=["model"], count="n")
+    place = F.array_position(F.array(*[F.lit(name) for name in TOKEN_MODELS]), F.col("model"))
+    return counting.best_of(scores.withColumn("place", place), "model", "f1_macro", "place")
 
 
 @query()
+def token_cross_validation(spark: SparkSession, folder: str) -> DataFrame:
+    """Mean and deviation of macro F1 over five folds, by classifier; each fit reads about ``FIT_TOKENS`` tokens."""
+    data, _ = token_matrix(spark, folder, folds=5)
+    some = models.some_rows(data, "token_id", FIT_TOKENS * 5 // 4)
+    return counting.fold_statistics(tr.cross_validated(data, FOLD_MODELS, ft.TOKEN_FEATURES, fit_rows=some), "model", "score")
+
+
+@query(_TREE + """
+  SELECT message_id, token_idx, token, pos, dep, value AS label,
+         CASE WHEN ends_with(value, 'LOC') THEN 'loc' WHEN ends_with(value, 'ACT') THEN 'act' ELSE 'other' END AS css
+  FROM parted JOIN predicted g ON g.b = scored_b JOIN names ON code = p""")
 def token_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of all documents labelled by a fitted model; an unknown name falls back to the first one."""
     corpus = corpus_messages(spark, folder)
     data, encoders = flows.token_training_rows(corpus, TEST_SPANS, TEST_FEATURES)
-    fitted = {"decision_tree": models.decision_tree().fit(token_train_test(data)[0])}
+    fitted = _token_models(token_train_test(data)[0], ["Decision Tree"])
     return analysis.analyse(corpus, models.choose_model(fitted, "random_forest"), encoders, TEST_FEATURES)
 
 
-@query()
+@query(_TREE + """
+  SELECT message_id, coalesce(string_agg(token, ' ' ORDER BY token_idx) FILTER (ends_with(value, 'LOC')), '') AS loc_tokens,
+         coalesce(string_agg(token, ' ' ORDER BY token_idx) FILTER (ends_with(value, 'ACT')), '') AS act_tokens
+  FROM parted JOIN predicted g ON g.b = scored_b JOIN names ON code = p GROUP BY message_id""")
 def scored_token_lists(spark: SparkSession, folder: str) -> DataFrame:
     """Location and action tokens of every document with tokens, by the fitted model."""
     lists = analysis.analysed_lists(token_scores(spark, folder))

@@ -135,11 +135,12 @@ def encoder_tables(spark: SparkSession, folder: str) -> DataFrame:
     return ft.fit_encoders(tagging.bio_tokens(tagged(spark, folder, ["pos", "dep"])))
 
 
-@query(_ENCODERS + rf""",
-  f AS (SELECT message_id, token_idx, token, pos, dep, lemma, is_ent, bio_tag, coalesce(lag(pos) OVER m, 'X') AS prev_pos,
+FEATURES_SQL = _ENCODERS + rf""",
+  f AS (SELECT message_id, token_idx, token, pos, dep, lemma, is_ent, ent_type, bio_tag, coalesce(lag(pos) OVER m, 'X') AS prev_pos,
       coalesce(lead(pos) OVER m, 'X') AS next_pos, coalesce(lag(lemma) OVER m, '') AS prev_lemma, count(*) OVER (PARTITION BY message_id) AS n
-      FROM bio WINDOW m AS (PARTITION BY message_id ORDER BY token_idx))
-  SELECT message_id, token_idx, p.code AS pos_enc, d.code AS dep_enc, coalesce(pp.code, 0) AS prev_pos_enc, coalesce(np.code, 0) AS next_pos_enc,
+      FROM bio WINDOW m AS (PARTITION BY message_id ORDER BY token_idx)),
+  feats AS (SELECT message_id, token_idx, token, pos, dep, ent_type, p.code AS pos_enc, d.code AS dep_enc,
+    coalesce(pp.code, 0) AS prev_pos_enc, coalesce(np.code, 0) AS next_pos_enc,
     CAST(prev_lemma IN ({listed(TEST_FEATURES.prepositions)}) AS INT) AS prev_is_prep, CAST(next_pos IN ('NOUN', 'PROPN') AS INT) AS next_is_noun,
     CAST(lemma IN ({listed(TEST_FEATURES.actions)}) AS INT) AS is_act_verb, CAST(lemma IN ({listed(TEST_FEATURES.places)}) AS INT) AS is_loc_word,
     CAST(regexp_matches(token, '^\p{{Lu}}') AS INT) AS is_capitalized, is_ent,
@@ -147,7 +148,10 @@ def encoder_tables(spark: SparkSession, folder: str) -> DataFrame:
     CAST(regexp_matches(replace(replace(token, '.', ''), ',', ''), '^\p{{Nd}}+$') AS INT) AS is_number, b.code AS bio_enc
   FROM f JOIN enc p ON p.kind = 'pos' AND p.value = f.pos JOIN enc d ON d.kind = 'dep' AND d.value = f.dep
     LEFT JOIN enc pp ON pp.kind = 'pos' AND pp.value = f.prev_pos LEFT JOIN enc np ON np.kind = 'pos' AND np.value = f.next_pos
-    JOIN enc b ON b.kind = 'bio' AND b.value = f.bio_tag""")
+    JOIN enc b ON b.kind = 'bio' AND b.value = f.bio_tag)"""
+
+
+@query(FEATURES_SQL + f" SELECT message_id, token_idx, {', '.join(ft.TOKEN_FEATURES)}, bio_enc FROM feats")
 def token_features(spark: SparkSession, folder: str) -> DataFrame:
     """Token rows are written once; the encoders and the features both read them."""
     rows = materialise(ft.token_columns(tagged(spark, folder, ft.TOKEN_FIELDS), TEST_FEATURES), "token-columns")

@@ -93,7 +93,7 @@ def tagged_sql(words: SpanVocabulary) -> str:
     FROM rec r JOIN ch c ON c.message_id = r.message_id AND c.run = r.run AND c.k = r.k + 1),
   fin AS (SELECT ch.*, coalesce(lag(state) OVER (PARTITION BY ch.message_id ORDER BY token_idx), 0) AS pstate
           FROM ch JOIN rec ON ch.message_id = rec.message_id AND ch.run = rec.run AND ch.k = rec.k),
-  bio AS MATERIALIZED (SELECT message_id, token_idx, sent_idx, token, pos, tag_, dep, lemma, head_idx, ent_pos, is_ent,
+  bio AS MATERIALIZED (SELECT message_id, token_idx, sent_idx, token, pos, tag_, dep, lemma, head_idx, ent_pos, is_ent, ent_type,
       (['O', 'B-LOC', 'I-LOC', 'B-ACT', 'I-ACT'])[CASE pstate WHEN 0 THEN fo WHEN 1 THEN fl ELSE fa END] AS bio_tag FROM fin)"""
 
 

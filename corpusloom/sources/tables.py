@@ -91,3 +91,16 @@ def summary_row(metrics: DataFrame, importances: DataFrame, alignment: DataFrame
     features = best.agg(F.map_from_entries(F.collect_list(F.struct("feature", "importance"))).alias("m")).scalar()
     aligned = alignment.select(F.struct("kmeans_ari", "hierarchical_ari").alias("a")).scalar()
     return models.withColumn("top_features", features).withColumn("cluster_alignment", aligned)
+
+
+def summary_entries(summary: DataFrame) -> DataFrame:
+    """(part, name, field, value) for every number of a nested summary."""
+    scores = summary.select(F.inline("classification"))
+    fields = [c for c in scores.columns if c != "model"]
+    scores = scores.unpivot("model", fields, "field", "value").select(F.lit("classification").alias("part"), F.col("model").alias("name"), "field", "value")
+    features = summary.select(F.explode("top_features").alias("name", "value"))
+    features = features.select(F.lit("top_features").alias("part"), "name", F.lit("importance").alias("field"), "value")
+    aligned = summary.select("cluster_alignment.*")
+    aligned = aligned.unpivot([], aligned.columns, "name", "value").select(
+        F.lit("cluster_alignment").alias("part"), "name", F.lit("ari").alias("field"), "value")
+    return scores.unionByName(features).unionByName(aligned)

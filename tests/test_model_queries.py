@@ -3,42 +3,71 @@
 import os
 
 import pytest
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 
 import __spark_entry__ as entry
 from corpusloom.operators import clustering as cl
 from corpusloom.operators import models
+from corpusloom.operators.features import TOKEN_FEATURES
+from corpusloom.plans import model_queries as mq
 
 FOLDER = "/root/testdata/sf0.001"
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 
 
-class Stop(Exception):
-    pass
+def test_sizes_of_ensembles():
+    sizes = {name: (s.trees, s.depth, s.leaf, s.rate) for name, s in mq.TOKEN_MODELS.items()}
+    assert sizes == {"AdaBoost": (200, 4, 1, 0.5), "Decision Tree": (1, 12, 3, 1.0), "Random Forest": (300, 15, 2, 1.0)}
+    sizes = {name: (s.trees, s.depth, s.leaf, s.rate) for name, s in mq.STYLE_MODELS.items()}
+    assert sizes == {"DecisionTree": (1, 5, 4, 1.0), "AdaBoost": (100, 2, 1, 0.6), "GradientBoosting": (120, 3, 1, 0.08)}
+    assert [s.balance for s in mq.TOKEN_MODELS.values()] == [1, 2, 2] and [s.balance for s in mq.FOLD_MODELS.values()] == [1, 1, 1]
 
 
-def stopping(seen, size):
-    def fit(self, *args):
-        seen.append(size(self))
-        raise Stop
+def rows(spark, name):
+    return [r.asDict() for r in entry.queries()[name](spark, FOLDER).collect()]
 
-    return fit
 
+def test_every_token_model_is_reported(spark):
+    reports = {name: rows(spark, f"{name}_report") for name in ("decision_tree", "adaboost", "random_forest")}
+    support = {r["class"]: r["support"] for r in reports["decision_tree"]}
+    assert set(support) == {"O", "B-LOC", "I-LOC", "B-ACT", "I-ACT"}
+    for report in reports.values():
+        assert {r["class"]: r["support"] for r in report} == support and len({r["f1_macro"] for r in report}) == 1
+        assert all(r["f1"] > 0.8 for r in report if r["class"] in ("O", "B-LOC", "B-ACT"))
+    best = rows(spark, "best_token_model")
+    by_model = {r[0]["model"]: r[0]["f1_macro"] for r in reports.values()}
+    assert len(best) == 1 and best[0]["model"] == max(by_model, key=by_model.get)
+    assert abs(best[0]["f1_macro"] - by_model[best[0]["model"]]) < 1e-6
 
-@pytest.mark.parametrize("name, kind, size, expected", [
-    ("random_forest_report", RandomForestClassifier, lambda e: e.getNumTrees(), 300),
-    ("adaboost_report", models.AdaBoost, lambda e: e.rounds, 200),
-    ("importance_table", models.AdaBoost, lambda e: e.rounds, 200),
-    ("style_classification", models.AdaBoost, lambda e: e.rounds, 100),
-    ("style_importances", GBTClassifier, lambda e: e.getMaxIter(), 120),
-])
-def test_sizes_of_ensembles(spark, monkeypatch, name, kind, size, expected):
-    seen = []
-    monkeypatch.setattr(kind, "fit", stopping(seen, size))
-    with pytest.raises(Stop):
-        entry.queries()[name](spark, FOLDER)
-    assert seen == [expected]
+
+def test_importances_of_token_models(spark):
+    table = rows(spark, "importance_table")
+    assert {r["feature"] for r in table} == set(TOKEN_FEATURES)
+    for model in mq.TOKEN_MODELS:
+        assert abs(sum(r[model] for r in table) - 1) < 1e-3
+    assert [r["mean"] for r in table] == sorted((r["mean"] for r in table), reverse=True)
+
+
+def test_cross_validation_of_token_models(spark):
+    table = {r["model"]: r for r in rows(spark, "token_cross_validation")}
+    assert set(table) == set(mq.FOLD_MODELS) and all(0.4 < r["mean"] <= 1 and 0 <= r["std"] < 0.2 for r in table.values())
+
+
+def test_style_models(spark):
+    table = {r["model"]: r for r in rows(spark, "classification_table")}
+    held_out = {r["model"]: r for r in rows(spark, "style_classification")}
+    folds = {r["model"]: r for r in rows(spark, "style_cross_validation")}
+    assert set(table) == set(held_out) == set(folds) == set(mq.STYLE_MODELS)
+    for model, r in table.items():
+        assert abs(r["cv_f1_mean"] - folds[model]["mean"]) < 1e-9 and abs(r["f1"] - held_out[model]["f1"]) < 1e-9
+    summary = rows(spark, "style_summary")
+    parts = {p: [r for r in summary if r["part"] == p] for p in ("classification", "top_features", "cluster_alignment")}
+    assert {p: len(r) for p, r in parts.items()} == {"classification": 12, "top_features": 8, "cluster_alignment": 2}
+    scores = {(r["name"], r["field"]): r["value"] for r in parts["classification"]}
+    assert all(abs(scores[m, c] - held_out[m][c]) < 1e-9 for m in held_out for c in ("accuracy", "precision", "recall", "f1"))
+    top = {r["feature"]: r["importance"] for r in rows(spark, "style_importances")}
+    assert {r["name"]: r["value"] for r in parts["top_features"]} == top
 
 
 def test_clusterings_try_every_k_from_ten_starts(spark, monkeypatch):
@@ -62,18 +91,6 @@ def test_ticket_models_are_selected(spark, monkeypatch, name):
     assert len(seen) >= 3 and seen == [5, 10, 20, 40][: len(seen)]
 
 
-@pytest.mark.parametrize("name, expected", [
-    ("style_cross_validation", {"DecisionTree", "AdaBoost", "GradientBoosting"}),
-    ("token_cross_validation", {"Decision Tree", "Random Forest", "AdaBoost"}),
-])
-def test_all_classifiers_are_cross_validated(spark, monkeypatch, name, expected):
-    def score(model, *args, **kwargs):
-        return spark.createDataFrame([(model, 0, 0.5), (model, 1, 0.7)], "model string, fold int, score double")
-
-    monkeypatch.setattr(models, "cross_validate", score)
-    assert {r["model"] for r in entry.queries()[name](spark, FOLDER).collect()} == expected
-
-
 def test_all_tokens_of_all_documents_are_scored(spark):
     tokens = entry.queries()["tokens"](spark, FOLDER).groupBy("message_id").count()
     scored = entry.queries()["token_scores"](spark, FOLDER).groupBy("message_id").count()

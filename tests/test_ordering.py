@@ -9,15 +9,40 @@ from corpusloom.operators import chat, corpus, counting, ordering, split
 from corpusloom.plans import flows
 
 
-def test_positions_over_ranges(spark):
+def numbered(rows, *group):
+    """Rows with their expected positions: by group, rows without a key last."""
+    out = {}
+    for g in {tuple(r[c] for c in group) for r in rows}:
+        own = [r for r in rows if tuple(r[c] for c in group) == g]
+        out |= {r["id"]: i for i, r in enumerate(sorted(own, key=lambda r: (r["k"] is None, r["k"] or 0)), 1)}
+    return out
+
+
+@pytest.mark.parametrize("group", [[], ["g"]])
+def test_positions_of_sparse_keys(spark, group):
     rng = random.Random(1)
-    keys = rng.sample(range(10_000), 500)
-    df = spark.createDataFrame([(k, k % 2) for k in keys], "k long, g int")
-    got = {r["k"]: r["position"] for r in ordering.positions(df, "k", width=64).collect()}
-    assert got == {k: i + 1 for i, k in enumerate(sorted(keys))}
-    grouped = {r["k"]: r["position"] for r in ordering.positions(df, "k", ["g"], width=64).collect()}
-    for g in (0, 1):
-        assert [grouped[k] for k in sorted(k for k in keys if k % 2 == g)] == list(range(1, sum(k % 2 == g for k in keys) + 1))
+    keys = [rng.choice([-1, 1]) * rng.randrange(2**62) for _ in range(500)]
+    rows = [{"id": i, "k": k, "g": rng.choice(["hot", "hot", "cold", None])} for i, k in enumerate(keys)]
+    df = spark.createDataFrame([(r["id"], r["k"], r["g"]) for r in rows], "id int, k long, g string")
+    for frame in (df, df.repartition(7)):
+        assert {r["id"]: r["position"] for r in ordering.positions(frame, "k", group).collect()} == numbered(rows, *group)
+    assert ordering.positions(df.limit(0), "k", group).collect() == []
+
+
+def test_positions_of_equal_and_missing_keys(spark):
+    rows = [(i, None if i % 3 == 0 else i % 5) for i in range(90)] + [(90, 1), (90, 1)]
+    got = ordering.positions(spark.createDataFrame(rows, "id int, k int").repartition(3), "k").collect()
+    assert sorted(r["position"] for r in got) == list(range(1, 93))
+    by_place = [r["k"] for r in sorted(got, key=lambda r: r["position"])]
+    assert by_place == sorted((k for k in by_place if k is not None)) + [None] * 30
+    words = spark.createDataFrame([("b",), ("a",), (None,)], "k string")
+    assert {r["k"]: r["position"] for r in ordering.positions(words, "k").collect()} == {"a": 1, "b": 2, None: 3}
+
+
+def test_numbering_passes_no_range_of_rows_through_one_task(spark):
+    plan = corpus.renumber(spark.range(10**6).selectExpr("id * 1000003 AS k"), "k")._jdf.queryExecution().executedPlan().toString()
+    single = [line for line in plan.splitlines() if "SinglePartition" in line]
+    assert len(single) <= 1  # one count per partition
 
 
 def test_neighbours_over_ranges(spark):
@@ -62,10 +87,15 @@ def test_class_weights(spark):
     assert abs(total - len(rows)) < 1e-9
 
 
-def test_too_many_classes(spark):
-    df = spark.range(3000).select(F.col("id").alias("label"), "id")
-    with pytest.raises(Exception, match="more than 1000 rows"):
-        split.with_weights(df, "label").collect()
+def test_many_classes_and_a_null_class(spark):
+    df = spark.range(15_000).selectExpr("id", "CASE WHEN id >= 14990 THEN NULL ELSE CAST(id % 5000 AS STRING) END AS label")
+    weighted = split.with_weights(df, "label").groupBy("label").agg(F.min("weight").alias("w"), F.count("*").alias("n")).collect()
+    assert len(weighted) == 5001 and all(abs(r["w"] - 15_000 / (5001 * r["n"])) < 1e-9 for r in weighted)
+    parts = split.stratified_split(df, "label", "id", {"train": 80, "test": 20}).groupBy("label", "split").count().collect()
+    assert {r["split"]: r["count"] for r in parts if r["label"] is None} == {"train": 8, "test": 2}
+    assert sum(r["count"] for r in parts) == 15_000 and len({r["label"] for r in parts}) == 5001
+    folds = split.stratified_folds(df, "label", "id").groupBy("label", "fold").count().collect()
+    assert [r["count"] for r in folds if r["label"] is None] == [2] * 5 and sum(r["count"] for r in folds) == 15_000
 
 
 def test_keep_first_and_renumber(spark):
@@ -97,7 +127,10 @@ def test_history_over_ranges(spark):
 def test_gate(spark):
     rows = [(1, 0, "hi"), (1, 1, "  "), (1, 2, " QUIT "), (1, 3, "more"), (2, 0, "quit it"), (2, 1, "bye now"), (3, 0, "bye")]
     df = spark.createDataFrame(rows, "conv_id int, turn int, text string")
-    assert sorted((r["conv_id"], r["turn"]) for r in chat.gate_turns(df).collect()) == [(1, 0), (2, 0), (2, 1)]
+    assert sorted((r["conv_id"], r["turn"]) for r in chat.gate_turns(df, role=None).collect()) == [(1, 0), (2, 0), (2, 1)]
+    rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "exit"), (1, 2, "system", "quit"), (1, 3, None, "bye"), (1, 4, "user", "Exit"), (1, 5, "user", "x")]
+    df = spark.createDataFrame(rows, "conv_id int, turn int, role string, text string")
+    assert sorted(r["turn"] for r in chat.gate_turns(df).collect()) == [0, 1, 2, 3]
 
 
 def test_prompt(spark):
@@ -122,6 +155,15 @@ def test_templates(spark):
     assert (made[7]["response_id"], made[7]["prompt_id"]) == ("H_0008", "P13")
 
 
+def test_templates_are_filled_in_one_pass(spark):
+    prompts = spark.createDataFrame([(None, "P0", None, "q"), (4, "P4", "c", "q"), (9, "P9", "none", "q")], "prompt_no int, prompt_id string, category string, prompt string")
+    templates = spark.createDataFrame([("c", ["{a} and {b}, {b}{a}"]), (None, ["no {b}"])], "category string, templates array<string>")
+    fillers = spark.createDataFrame([("c", [("{b}", "{a}")]), (None, [("x", "$1 \\y")])], "category string, fillers array<struct<a:string,b:string>>")
+    made = {r["prompt_id"]: r for r in corpus.expand_templates(prompts, templates, fillers, "human", "H", per_prompt=1).collect()}
+    assert made["P4"]["response_text"] == "{b} and {a}, {a}{b}" and made["P4"]["response_id"] == "H_0001"
+    assert made["P0"]["response_text"] == "no $1 \\y" and made["P0"]["response_id"] == "H_0003" and made["P9"]["response_text"] is None
+
+
 def test_pivot_mean(spark):
     rows = [("pos_enc", "AdaBoost", 0.34339), ("pos_enc", "Decision Tree", 0.43766), ("pos_enc", "Random Forest", 0.20008),
             ("is_number", "Decision Tree", 0.00095), ("is_number", "Random Forest", 0.00469)]
@@ -135,13 +177,42 @@ def test_histogram_and_statistics(spark):
     df = spark.createDataFrame([("a", v) for v in range(61)] + [("b", 5), ("b", 5)], "g string, v int")
     bins = {(r["g"], r["bin"]): r["n"] for r in counting.histogram(df, "g", F.col("v")).collect()}
     assert bins[("a", 29)] == 3 and bins[("a", 0)] == 2 and bins[("b", 0)] == 2 and len(bins) == 31
-    stats = counting.summary_statistics(df.where("g = 'a'"), F.col("v")).first()
+    stats = counting.summary_statistics(df.where("g = 'a'"), ["v"]).first()
     assert (stats["n"], stats["mean"], stats["q25"], stats["q50"], stats["max"]) == (61, 30.0, 15.0, 30.0, 60)
     assert abs(stats["std"] - 17.752934) < 1e-5
-    one = counting.summary_statistics(df.where("g = 'a' AND v = 7"), F.col("v")).first()
+    one = counting.summary_statistics(df.where("g = 'a' AND v = 7"), ["v"]).first()
     assert (one["n"], one["mean"], one["std"]) == (1, 7.0, None)
 
 
+@pytest.mark.parametrize("parts", [3, 1024])
+def test_exact_quantiles(spark, parts):
+    import numpy as np
+
+    rng = random.Random(parts)
+    kinds = {
+        "wide": lambda: rng.choice([-1, 1]) * 10.0 ** rng.uniform(-9, 12), "few": lambda: rng.choice([1.0, 1.0, 2.0, None]),
+        "one": lambda: 5.0, "none": lambda: None, "odd": lambda: rng.choice([float("nan"), 1e308, -1e308, 0.0, -0.0]), "close": lambda: 1e15 + rng.randrange(3),
+    }
+    rows = [tuple(make() for make in kinds.values()) for _ in range(400)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in kinds))
+    shares = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
+    got = counting.exact_quantiles(df.repartition(3), list(kinds), shares, parts)
+    for i, c in enumerate(kinds):
+        values = [r[i] for r in rows if r[i] is not None and r[i] == r[i]]
+        if not values:
+            assert got[c] == [None] * len(shares)
+            continue
+        ranked = sorted(values)
+        for share, q in zip(shares, got[c]):
+            low, high = ranked[int((len(ranked) - 1) * share)], ranked[int(np.ceil((len(ranked) - 1) * share))]
+            assert min(low, high) <= q <= max(low, high) and (low != high or q == low)
+            if abs(low) < 1e300:
+                assert np.isclose(q, np.quantile(values, share), rtol=1e-12)
+    stats = {r["column"]: r for r in counting.summary_statistics(df.select("close", "none", "few"), ["close", "none", "few"]).collect()}
+    close = [r[5] for r in rows]
+    assert abs(stats["close"]["std"] - np.std(close, ddof=1)) < 1e-6 and stats["none"]["n"] in (0, None)
+
+
 def test_histogram_of_many_groups_and_a_null_group(spark):
     df = spark.range(5000).selectExpr("cast(id as string) AS g", "1 AS v").unionByName(spark.sql("SELECT cast(null as string) AS g, 2 AS v"))
     bins = counting.histogram(df, "g", F.col("v")).collect()

@@ -3,7 +3,9 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from corpusloom import schemas
+from corpusloom.operators import features as ft
 from corpusloom.operators import models
+from corpusloom.operators import trees as tr
 from corpusloom.session import materialise, scratch_path
 from corpusloom.sources import tables
 
@@ -43,7 +45,11 @@ def test_summary_round_trip(spark, tmp_path):
     alignment = spark.createDataFrame([(1.0, 0.88)], "kmeans_ari double, hierarchical_ari double")
     path = str(tmp_path / "json")
     tables.write_json(tables.summary_row(metrics, importances, alignment), path)
-    row = tables.read_json(spark, path, schemas.SUMMARY).first()
+    back = tables.read_json(spark, path, schemas.SUMMARY)
+    row = back.first()
+    entries = {(r["part"], r["name"], r["field"]): r["value"] for r in tables.summary_entries(back).collect()}
+    assert len(entries) == 2 * 4 + 8 + 2 and entries["classification", "a", "precision"] == 0.4
+    assert entries["top_features", "f4", "importance"] == 4.0 and entries["cluster_alignment", "kmeans_ari", "ari"] == 1.0
     assert [m["model"] for m in row["classification"]] == ["a", "b"]
     assert len(row["top_features"]) == 8 and row["top_features"]["f11"] == 11.0
     assert row["cluster_alignment"]["hierarchical_ari"] == 0.88
@@ -54,44 +60,6 @@ def test_materialise(spark):
     assert sorted(r["id"] for r in materialise(df, "t").collect()) == list(range(5))
 
 
-def training(spark):
-    rows = [(float(i % 3), [float(i % 3) + 0.1 * (i % 5), float(i % 7)]) for i in range(240)]
-    from corpusloom.operators.clustering import vectors
-
-    return vectors(spark.createDataFrame(rows, "label double, v array<double>"), "v").select("label", "features")
-
-
-def test_adaboost(spark):
-    data = training(spark)
-    model = models.AdaBoost(rounds=6, depth=1, rate=1.0, cut_every=2).fit(data)
-    right = model.transform(data).agg(F.avg((F.col("label") == F.col("prediction")).cast("int"))).first()[0]
-    assert right > 0.95 and len(model.trees) > 1
-    assert abs(sum(model.featureImportances) - 1) < 1e-9
-    path = scratch_path(spark, "boost")
-    model.save(spark, path)
-    loaded = models.AdaBoostModel.load(spark, path)
-    again = loaded.transform(data).select("prediction").collect()
-    assert again == model.transform(data).select("prediction").collect()
-
-
-def test_adaboost_separable(spark):
-    rows = [(float(i % 2), [float(i % 2)]) for i in range(40)]
-    from corpusloom.operators.clustering import vectors
-
-    data = vectors(spark.createDataFrame(rows, "label double, v array<double>"), "v")
-    model = models.AdaBoost(rounds=5, depth=1).fit(data)
-    assert len(model.trees) == 1
-
-
-def test_cross_validation(spark):
-    from corpusloom.operators.split import stratified_folds
-
-    data = stratified_folds(training(spark).withColumn("id", F.monotonically_increasing_id()), "label", "id", 3)
-    data = materialise(data, "cv")
-    scores = models.cross_validate("tree", models.decision_tree(3, 1, weight=None), data, k=3).collect()
-    assert len(scores) == 3 and all(0.9 <= r["score"] <= 1.0 for r in scores)
-
-
 def test_priority_model(spark):
     rows = []
     for i in range(300):
@@ -130,7 +98,8 @@ def test_flow_and_analysis(spark):
     messages = spark.createDataFrame(rows, "message_id int, raw_text string")
     data, encoders = token_training_rows(messages)
     assert {r["split"]: r["n"] for r in data.groupBy("split").agg(F.count("*").alias("n")).collect()}["train"] == 60 * 10 * 3 // 4
-    model = models.decision_tree().fit(data.where("split = 'train'"))
+    train = data.where("split = 'train'")
+    model = tr.fit_jointly(train, {"tree": tr.decision_tree()}, ft.TOKEN_FEATURES).model("tree")
     scored = analyse(messages, model, encoders)
     labels = {r["token"]: (r["label"], r["css"]) for r in scored.where("message_id = 7").collect()}
     assert labels["Delhi"] == ("B-LOC", "loc") and labels["boats"] == ("I-ACT", "act") and labels["here"] == ("O", "other")
