@@ -87,17 +87,26 @@ def bin_edges(df: DataFrame, features: list[str], max_bins: int = MAX_BINS) -> l
     return [[r["edge"] for r in edges if r["f"] == i][:-1] for i in range(len(features))]
 
 
-def bins(features: list[str], edges: list[list[float]]) -> list[Column]:
-    """The bin of every feature, from 0: how many edges its value exceeds."""
-    return [
-        reduce(lambda a, b: a + b, [(F.col(c) > F.lit(e)).cast("int") for e in own], F.lit(0)).alias(f"b{i}")
-        for i, (c, own) in enumerate(zip(features, edges))
-    ]
+def placed(columns: list[pd.Series], edges: list[list[float]]) -> np.ndarray:
+    """The bin of every value, from 0: how many edges it exceeds. Null and not-a-number exceed all."""
+    return np.stack([np.searchsorted(own, c.to_numpy(float)) for c, own in zip(columns, edges)], axis=1)
 
 
-def cells(df: DataFrame, features: list[str], edges: list[list[float]], by: list[str]) -> DataFrame:
+def bins(features: list[str], edges: list[list[float]]) -> Column:
+    """The bins of a row as a struct ``b0, b1, ...``."""
+    names = [f"b{i}" for i in range(len(features))]
+
+    @F.pandas_udf(", ".join(f"{name} int" for name in names))
+    def place(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        for columns in parts:
+            yield pd.DataFrame(placed(columns, edges), columns=names)
+
+    return place(*[F.col(c).cast("double") for c in features])
+
+
+def cells(df: DataFrame, features: list[str], edges: list[list[float]], by: list[Column]) -> DataFrame:
     """Distinct combinations of ``by`` and bins with their number of rows ``n``."""
-    binned = df.select(*by, *bins(features, edges))
+    binned = df.select(*by, bins(features, edges).alias("_bins")).select("*", "_bins.*").drop("_bins")
     return binned.groupBy(*binned.columns).agg(F.count("*").alias("n"))
 
 
@@ -293,8 +302,14 @@ class EnsembleModel:
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Add ``prediction`` to rows with the feature columns; every row is scored alone, so this runs on streams."""
-        binned = df.select("*", *bins(self.features, self.edges))
-        return self.predict(binned).select(*df.columns, "prediction")
+        score, labels, edges = self.scorer(), np.array(self.labels), self.edges
+
+        @F.pandas_udf("double")
+        def predicted(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+            for columns in parts:
+                yield pd.Series(labels[score(placed(columns, edges))])
+
+        return df.withColumn("prediction", predicted(*[F.col(c).cast("double") for c in self.features]))
 
     @property
     def featureImportances(self) -> list[float]:

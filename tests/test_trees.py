@@ -81,7 +81,7 @@ def test_boosting_on_counted_rows_equals_boosting_on_single_rows():
 def test_bins(spark, frame):
     edges = tr.bin_edges(frame, FEATURES, max_bins=8)
     assert edges[:2] == [[0, 1, 2, 3], [0, 1]] and len(edges[2]) == 7
-    got = frame.select("*", *tr.bins(FEATURES, edges)).collect()
+    got = frame.select("*", tr.bins(FEATURES, edges).alias("x")).select("*", "x.*").collect()
     assert all((r.b0, r.b1, r.b2) == (r.a, r.b, sum(r.c > e for e in edges[2])) for r in got)
     sizes = np.bincount([r.b2 for r in got])
     assert len(sizes) == 8 and sizes.max() <= 2 * sizes.min()
