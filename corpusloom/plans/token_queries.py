@@ -11,8 +11,9 @@ from corpusloom.functions.arrays import explode_rows
 from corpusloom.functions.numeric import half_even
 from corpusloom.lookups import literal_map
 from corpusloom.operators import annotate as an
-from corpusloom.operators import clustering, counting, ordering, tagging, words
+from corpusloom.operators import clustering, counting, depth, gazetteer, ordering, sequence, tagging, words
 from corpusloom.operators import features as ft
+from corpusloom.operators import sentences as sentence_breaks
 from corpusloom.plans import flows
 from corpusloom.plans.corpus_queries import TEST_DISCOURSE, TEST_HEDGES, _phrases_sql, texts
 from corpusloom.plans.registry import RESPONSES_SQL, messages, query, responses, spread, table
@@ -253,3 +254,128 @@ _SCALED = ", ".join(
 def standardised_features(spark: SparkSession, folder: str) -> DataFrame:
     scaled = clustering.standardise(styled(spark, folder), ft.STYLE_FEATURES)
     return scaled.select("response_id", *[F.round(c, 6).alias(c) for c in ft.STYLE_FEATURES])
+
+
+# ---- listed entities and long trees ------------------------------------------------------------
+
+@query(r"""
+  WITH RECURSIVE bw AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+|[^\s\p{L}\p{N}]') AS w FROM benchmark),
+  en AS MATERIALIZED (SELECT phrase, min(kind) AS kind, len(string_split(phrase, ' ')) AS n FROM (
+      SELECT array_to_string(w[1:2], ' ') AS phrase, 'opening' AS kind FROM bw UNION ALL SELECT array_to_string(w[1:4], ' '), 'opening' FROM bw
+      UNION ALL SELECT array_to_string(w[3:5], ' '), 'middle' FROM bw) WHERE phrase <> '' GROUP BY phrase),
+  tk AS MATERIALIZED (SELECT doc_id, regexp_extract_all(text, '[\p{L}\p{N}]+|[^\s\p{L}\p{N}]') AS w FROM documents WHERE text IS NOT NULL),
+  ng AS (SELECT doc_id, i, n, lower(array_to_string(w[i:i + n - 1], ' ')) AS phrase FROM (
+      SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM tk, (SELECT DISTINCT n FROM en))),
+  hit AS MATERIALIZED (SELECT doc_id, i, max(n) AS n FROM ng SEMI JOIN en USING (phrase, n) GROUP BY doc_id, i),
+  nx AS MATERIALIZED (SELECT a.doc_id, a.i, a.n, b.i AS following FROM hit a ASOF LEFT JOIN hit b ON a.doc_id = b.doc_id AND a.i + a.n <= b.i),
+  walk AS (SELECT doc_id, min(i) AS i FROM nx GROUP BY doc_id
+    UNION ALL SELECT nx.doc_id, nx.following FROM walk JOIN nx ON nx.doc_id = walk.doc_id AND nx.i = walk.i WHERE nx.following IS NOT NULL)
+  SELECT doc_id AS message_id, CAST(i - 1 AS INT) AS start_idx, CAST(n AS INT) AS n_tokens, array_to_string(w[i:i + n - 1], ' ') AS entity, kind
+  FROM walk JOIN nx USING (doc_id, i) JOIN tk USING (doc_id) JOIN en ON en.phrase = lower(array_to_string(w[i:i + nx.n - 1], ' '))""".replace(
+    "w[i:i + n - 1], ' ') AS entity", "w[i:i + nx.n - 1], ' ') AS entity").replace("CAST(n AS INT) AS n_tokens", "CAST(nx.n AS INT) AS n_tokens"))
+def listed_entities(spark: SparkSession, folder: str) -> DataFrame:
+    """Openings and middles of benchmark passages found in the documents."""
+    words = F.regexp_extract_all(F.lower("text"), F.lit(an.TOKEN_PATTERN), F.lit(0))
+    passages = table(spark, folder, "benchmark").select(words.alias("w"))
+    cuts = F.array(*[F.struct(F.array_join(F.slice("w", a, n), " ").alias("phrase"), F.lit(kind).alias("kind")) for a, n, kind in (
+        (1, 2, "opening"), (1, 4, "opening"), (3, 3, "middle"))])
+    entries = materialise(gazetteer.gazetteer_entries(passages.select(F.inline(cuts))), "entries")
+    tokens = F.regexp_extract_all(F.col("raw_text"), F.lit(an.TOKEN_PATTERN), F.lit(0))
+    return gazetteer.entity_spans(messages(spark, folder).select("message_id", tokens.alias("tokens")), entries)
+
+
+@query(_ANN + """,
+  first AS (SELECT message_id, sent_idx, min(token_idx) AS root FROM ann WHERE head_idx = token_idx GROUP BY ALL),
+  down AS (SELECT message_id, sent_idx, root AS node, 1 AS depth FROM first
+    UNION ALL SELECT a.message_id, a.sent_idx, a.token_idx, depth + 1 FROM down d JOIN ann a
+      ON a.message_id = d.message_id AND a.sent_idx = d.sent_idx AND a.head_idx = d.node AND a.token_idx <> d.node)
+  SELECT message_id, sent_idx, CAST(max(depth) AS BIGINT) AS depth FROM down GROUP BY message_id, sent_idx""")
+def token_tree_depths(spark: SparkSession, folder: str) -> DataFrame:
+    """Depth of the tree of every sentence, from the long token table alone."""
+    annotated = an.annotate(spread(messages(spark, folder)), fields=["sent_idx", "head_off"])
+    flat = annotated.select("message_id", an.flat_tokens(F.col("sentences"), fields=["token_idx", "sent_idx", "head_idx"]).alias("tokens"))
+    return depth.tree_depths(an.explode_tokens(flat), ["message_id", "sent_idx"])
+
+
+# ---- learnt sentence breaks --------------------------------------------------------------------
+
+_SCORES = r"""
+  wd AS (SELECT rtrim(w, '.') AS word, ends_with(w, '.') AS stop FROM (
+      SELECT unnest(regexp_extract_all(lower(text), '\p{L}+(?:\.\p{L}+)*\.?')) AS w FROM documents)),
+  ct AS MATERIALIZED (SELECT word, count(*) AS n, count_if(stop) AS n_stop FROM wd GROUP BY word),
+  pr AS (SELECT least(sum(n_stop) / sum(n), 1 - 1e-9) AS p FROM ct),
+  sc AS MATERIALIZED (SELECT word, n, n_stop, 2 * (n_stop * ln(0.99) + (n - n_stop) * ln(1 - 0.99) - (n_stop * ln(p) + (n - n_stop) * ln(1 - p)))
+      * exp(-length(replace(word, '.', ''))) * (1 + length(word) - length(replace(word, '.', ''))) * pow(length(replace(word, '.', ''))::DOUBLE, n_stop - n) AS score
+    FROM ct, pr WHERE n_stop > 0)"""
+
+
+@query("WITH " + _SCORES + " SELECT word, n, n_stop, round(score, 6) AS score FROM sc WHERE score >= 0.3")
+def abbreviations(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of the documents that the stops behind them show to be abbreviations."""
+    scores = sentence_breaks.abbreviation_scores(messages(spark, folder))
+    known = sentence_breaks.abbreviations(scores)
+    return scores.join(known, "word").withColumn("score", F.round("score", 6))
+
+
+@query("WITH " + _SCORES + r""",
+  pa AS (SELECT doc_id, p, unnest(x) AS part, generate_subscripts(x, 1) AS i FROM (
+      SELECT doc_id, string_split(regexp_replace(text, '([.!?])(\s)', '\1' || chr(1) || '\2', 'g'), chr(1)) AS x, 0 AS p FROM documents WHERE text IS NOT NULL)),
+  mk AS (SELECT doc_id, i, part, coalesce(score >= 0.3, false) AND last_ <> '' AS joins FROM (
+      SELECT *, lower(regexp_extract(part, '(?:^|[^\p{L}.])(\p{L}+(?:\.\p{L}+)*)\.$', 1)) AS last_ FROM pa) LEFT JOIN sc ON sc.word = last_),
+  gp AS (SELECT *, coalesce(sum(CASE WHEN joins THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS g FROM mk),
+  st AS (SELECT doc_id, g, regexp_replace(string_agg(part, '' ORDER BY i), '^\s+', '') AS sentence FROM gp GROUP BY doc_id, g)
+  SELECT doc_id AS message_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY g) - 1 AS INT) AS sent_idx, sentence
+  FROM st WHERE regexp_replace(sentence, '\s+', '', 'g') <> ''""")
+def learnt_sentences(spark: SparkSession, folder: str) -> DataFrame:
+    """Sentences of the documents, with the abbreviations learnt from all of them."""
+    known = sentence_breaks.abbreviations(sentence_breaks.abbreviation_scores(messages(spark, folder)))
+    return sentence_breaks.learnt_sentences(messages(spark, folder), known)
+
+
+# ---- a learnt tagger ---------------------------------------------------------------------------
+
+_CLASS = r"CASE WHEN regexp_matches(word, '\p{Nd}') THEN '#' WHEN NOT regexp_matches(word, '\p{L}') THEN '.' ELSE '-' || right(word, 2) END"
+_LN = "CAST(round(ln(({n} + 1) / ({total} + {kinds})) * 1000000) AS BIGINT)"
+
+
+@query(_ANN + f""",
+  lab AS MATERIALIZED (SELECT message_id, sent_idx, token_idx, lower(token) AS word, pos AS tag, md5('tagger|' || message_id) < '8' AS train,
+      coalesce(lag(pos) OVER s, '') AS before, row_number() OVER s AS i FROM ann WINDOW s AS (PARTITION BY message_id, sent_idx ORDER BY token_idx)),
+  tg AS MATERIALIZED (SELECT tag, n::DOUBLE AS n, row_number() OVER (ORDER BY tag) AS t, count(*) OVER () AS k
+      FROM (SELECT tag, count(*) AS n FROM lab WHERE train GROUP BY tag)),
+  tm AS MATERIALIZED (SELECT list(l ORDER BY t) AS m FROM (SELECT t, list(s ORDER BY b) AS l FROM (
+      SELECT t.t, b.b, {_LN.format(n="coalesce(c.n, 0)", total="sum(coalesce(c.n, 0)) OVER (PARTITION BY b.b)", kinds="t.k")} AS s
+      FROM tg t CROSS JOIN (SELECT tag, t AS b FROM tg UNION ALL SELECT '', (SELECT count(*) + 1 FROM tg)) b
+        LEFT JOIN (SELECT before, tag, count(*)::DOUBLE AS n FROM lab WHERE train GROUP BY ALL) c ON c.before = b.tag AND c.tag = t.tag) GROUP BY t)),
+  wt AS (SELECT word, tag, count(*)::DOUBLE AS n FROM lab WHERE train GROUP BY ALL),
+  kw AS (SELECT word FROM wt GROUP BY word HAVING sum(n) >= 2),
+  ct AS (SELECT {_CLASS} AS class, tag, sum(n) AS n FROM wt GROUP BY ALL),
+  we AS (SELECT word, list(s ORDER BY t) AS e FROM (SELECT kw.word, t.t, {_LN.format(n="coalesce(wt.n, 0)", total="t.n", kinds="(SELECT count(*) FROM kw)")} AS s
+      FROM kw CROSS JOIN tg t LEFT JOIN wt ON wt.word = kw.word AND wt.tag = t.tag) GROUP BY word),
+  ce AS (SELECT class, list(s ORDER BY t) AS e FROM (SELECT c.class, t.t, {_LN.format(n="coalesce(ct.n, 0)", total="t.n", kinds="(SELECT count(DISTINCT class) FROM ct)")} AS s
+      FROM (SELECT DISTINCT class FROM ct) c CROSS JOIN tg t LEFT JOIN ct ON ct.class = c.class AND ct.tag = t.tag) GROUP BY class),
+  ue AS (SELECT list(s ORDER BY t) AS e FROM (SELECT t, {_LN.format(n="0", total="n", kinds="(SELECT count(DISTINCT class) FROM ct)")} AS s FROM tg)),
+  held AS MATERIALIZED (SELECT message_id, sent_idx, i, tag, coalesce(we.e, ce.e, (SELECT e FROM ue)) AS e FROM (SELECT *, {_CLASS} AS class FROM lab WHERE NOT train) l
+      LEFT JOIN we USING (word) LEFT JOIN ce USING (class)),
+  sz AS (SELECT m, len(m) AS k FROM tm),
+  fwd AS (SELECT message_id, sent_idx, i, [m[t][k + 1] + e[t] FOR t IN range(1, k + 1)] AS s, NULL::BIGINT[] AS bp FROM held, sz WHERE i = 1
+    UNION ALL
+    SELECT message_id, sent_idx, i, [list_max(through[t]) + e[t] FOR t IN range(1, len(e) + 1)], [list_position(x, list_max(x))::BIGINT FOR x IN through]
+    FROM (SELECT h.*, [[r.s[b] + m[t][b] FOR b IN range(1, k + 1)] FOR t IN range(1, k + 1)] AS through
+          FROM fwd r JOIN held h ON h.message_id = r.message_id AND h.sent_idx = r.sent_idx AND h.i = r.i + 1, sz)),
+  bwd AS (SELECT message_id, sent_idx, i, list_position(s, list_max(s))::BIGINT AS t, bp FROM fwd
+      QUALIFY i = max(i) OVER (PARTITION BY message_id, sent_idx)
+    UNION ALL
+    SELECT f.message_id, f.sent_idx, f.i, b.bp[b.t], f.bp FROM bwd b JOIN fwd f ON f.message_id = b.message_id AND f.sent_idx = b.sent_idx AND f.i = b.i - 1)
+  SELECT h.tag AS expected, tg.tag AS predicted, count(*) AS n FROM bwd b JOIN held h USING (message_id, sent_idx, i) JOIN tg ON tg.t = b.t GROUP BY ALL""")
+def tagger_confusion(spark: SparkSession, folder: str) -> DataFrame:
+    """Parts of speech of half of the documents by a tagger learnt from the other half, against the lexicon's."""
+    annotated = an.annotate(spread(messages(spark, folder)), fields=["token", "pos"]).select("message_id", "sentences")
+    annotated = materialise(annotated.withColumn("train", F.md5(F.concat(F.lit("tagger|"), "message_id")) < "8"), "annotated")
+    tagger = sequence.fit_tagger(sequence.labelled_words(annotated.where("train")))
+    tagged = sequence.tag_sentences(annotated.where("NOT train"), tagger)
+    expected = F.transform("sentences", lambda s: F.transform(s, lambda tok: tok["pos"]))
+    pairs = F.transform(F.arrays_zip(F.flatten(expected).alias("x"), F.flatten("tags").alias("y")), lambda p: F.struct(
+        p["x"].alias("expected"), p["y"].alias("predicted")))
+    rows = explode_rows(tagged, [], pairs, "p").select("p.*")
+    return rows.groupBy("expected", "predicted").agg(F.count("*").alias("n"))
