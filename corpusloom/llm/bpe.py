@@ -9,6 +9,7 @@ from array import array
 
 import regex
 import tiktoken
+from tokenizers import Tokenizer
 
 UNSAFE = re.compile(r"\s ")
 LONG_RUN = 10_000
@@ -74,3 +75,10 @@ def pieces(text: str, size: int = LONG_RUN) -> list[str]:
 def encoder(rank_path: str, pattern: str) -> Encoder:
     """One encoder per process and file, so that tasks of one worker share the words they have met."""
     return Encoder(rank_path, pattern)
+
+
+@functools.lru_cache(maxsize=4)
+def added_tokens(tokenizer_path: str) -> tuple[Tokenizer, list[str]]:
+    """A tokenizer file with the tokens that it finds in a text before any other."""
+    own = Tokenizer.from_file(tokenizer_path)
+    return own, [token.content for token in own.get_added_tokens_decoder().values()]

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.bpe import encoder
+from corpusloom.llm.bpe import added_tokens, encoder
 from corpusloom.llm.common import id_and_text, lean
 from corpusloom.session import materialise
 
@@ -27,12 +27,14 @@ def document_pieces(
     id_col: str = "doc_id",
     text_col: str = "text",
     keep_ids: bool = False,
+    tokenizer_path: str | None = None,
 ) -> DataFrame:
     """``id_col, piece, start, length, ids_crc32`` of every document's tokens with ``end_id`` behind them.
 
     A document of more than ``capacity`` tokens is cut into pieces of ``capacity``; the first takes
     the rest and may be shorter. A null or empty text is the end token alone. ``keep_ids`` adds the
-    ids of each piece (array of int).
+    ids of each piece (array of int). A text that holds an added token of the file ``tokenizer_path``, such as
+    an end mark, is encoded by that tokenizer; all others have the same ids either way.
     """
     fields = [("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
     fields += [("ids", pa.list_(pa.int32()))] if keep_ids else []
@@ -42,10 +44,14 @@ def document_pieces(
     @F.arrow_udf(f"array<struct<{spelled}>>")
     def cut(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = encoder(rank_path, pattern)
+        whole, marks = added_tokens(tokenizer_path) if tokenizer_path else (None, [])
         for part in lean(parts):
             rows, counts = [], [0]
             for text in part.to_pylist():
-                data = own.encode(text) + end
+                if any(mark in text for mark in marks):
+                    data = np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes() + end
+                else:
+                    data = own.encode(text) + end
                 total = len(data) // 4
                 first = total % capacity or capacity
                 edges = [0, *range(first, total + 1, capacity)] if total > capacity else [0, total]
@@ -63,93 +69,106 @@ def document_pieces(
     return rows.select(F.col("id").alias(id_col), "p.*")
 
 
-class Spaces:
-    """Open bins by free space; the tightest fit for a length is found by one bit operation."""
+class Packing:
+    """Bins and how full each is; the tightest open one for a length is found by one bit operation."""
 
-    def __init__(self, bins: Bins, lengths: list[int], capacity: int) -> None:
-        self.bins, self.lengths, self.capacity = bins, lengths, capacity
-        self.open: list[list[int]] = [[] for _ in range(capacity + 1)]
-        self.mask = 0
-        for number, own in enumerate(bins):
-            self.put(number, capacity - sum(lengths[i] for i in own))
-
-    def put(self, number: int, space: int) -> None:
-        if space > 0:
-            self.open[space].append(number)
-            self.mask |= 1 << space
+    def __init__(self, bins: Bins, fills: list[int], capacity: int) -> None:
+        self.bins, self.fills, self.capacity = bins, fills, capacity
 
-    def best_fit(self, items: list[int]) -> None:
+    def best_fit(self, items: list[int], lengths: list[int]) -> None:
         """Put each item, longest first, into the bin it fills best, or a new one."""
-        for item in sorted(items, key=self.lengths.__getitem__, reverse=True):
-            length = self.lengths[item]
-            fitting = self.mask >> length
+        bins, fills, capacity = self.bins, self.fills, self.capacity
+        open_: list[list[int]] = [[] for _ in range(capacity + 1)]
+        mask = 0
+        for number, fill in enumerate(fills):
+            if fill < capacity:
+                open_[capacity - fill].append(number)
+                mask |= 1 << (capacity - fill)
+        for item in sorted(items, key=lengths.__getitem__, reverse=True):
+            length = lengths[item]
+            fitting = mask >> length
             if fitting:
                 space = length + (fitting & -fitting).bit_length() - 1
-                number = self.open[space].pop()
-                if not self.open[space]:
-                    self.mask ^= 1 << space
-                self.bins[number].append(item)
+                number = open_[space].pop()
+                if not open_[space]:
+                    mask ^= 1 << space
+                bins[number].append(item)
+                fills[number] += length
             else:
-                space, number = self.capacity, len(self.bins)
-                self.bins.append([item])
-            self.put(number, space - length)
+                space, number = capacity, len(bins)
+                bins.append([item])
+                fills.append(length)
+            if space > length:
+                open_[space - length].append(number)
+                mask |= 1 << (space - length)
 
+    def cost(self) -> tuple[int, int]:
+        """Fewer bins first; among equals, the one that fills some bins well and leaves others open."""
+        return len(self.bins), -sum(fill * fill for fill in self.fills)
 
-def cost(bins: Bins, lengths: list[int], capacity: int) -> tuple[int, float]:
-    """Fewer bins first; among equals, the one that fills some bins well and leaves others open."""
-    return len(bins), -sum((sum(lengths[i] for i in own) / capacity) ** 2 for own in bins)
 
+def packing_of(bins: Bins, lengths: list[int], capacity: int) -> Packing:
+    return Packing(bins, [sum(lengths[i] for i in own) for own in bins], capacity)
 
-def crossover(one: Bins, other: Bins, lengths: list[int], capacity: int, rng: np.random.Generator) -> Bins:
+
+def crossover(one: Packing, other: Packing, lengths: list[int], rng: np.random.Generator) -> Packing:
     """Inject well-filled bins of ``other`` into ``one`` whole.
 
-    Bins of ``one`` that share a document with an injected bin are dissolved, and so are two of its
+    Bins of ``one`` that share a document with an injected bin are dissolved, and so are some of its
     least filled ones; their other documents are displaced and placed by best fit.
     """
-    fill = np.array([sum(lengths[i] for i in own) for own in other])
+    fill = np.array(other.fills)
     good = np.flatnonzero(fill >= np.median(fill))
-    chosen = [other[i] for i in good[rng.random(len(good)) < rng.uniform(0.1, 0.5)]]
-    taken = {i for own in chosen for i in own}
+    chosen = good[rng.random(len(good)) < rng.uniform(0.1, 0.5)].tolist()
+    taken = {i for number in chosen for i in other.bins[number]}
     kept, displaced = [], []
-    for own in one:
+    for number, own in enumerate(one.bins):
         if taken.isdisjoint(own):
-            kept.append(own)
+            kept.append(number)
         else:
             displaced += [i for i in own if i not in taken]
-    kept.sort(key=lambda own: sum(lengths[i] for i in own))
-    displaced += [i for own in kept[:2] for i in own]
-    bins = [list(own) for own in kept[2:]] + [list(own) for own in chosen]
-    Spaces(bins, lengths, capacity).best_fit(displaced)
-    return bins
+    kept.sort(key=one.fills.__getitem__)
+    loose = int(rng.integers(2, 7))
+    displaced += [i for number in kept[:loose] for i in one.bins[number]]
+    bins = [list(one.bins[k]) for k in kept[loose:]] + [list(other.bins[k]) for k in chosen]
+    child = Packing(bins, [one.fills[k] for k in kept[loose:]] + [other.fills[k] for k in chosen], one.capacity)
+    child.best_fit(displaced, lengths)
+    return child
 
 
-def first_members(lengths: list[int], capacity: int, size: int, rng: np.random.Generator) -> list[Bins]:
+def first_members(lengths: list[int], capacity: int, size: int, rng: np.random.Generator) -> list[Packing]:
     """A best-fit-decreasing packing, and others that start from random bins."""
     members = []
     for k in range(size):
         order = rng.permutation(len(lengths)).tolist()
         early = order[: k * len(order) // (4 * size)]
-        spaces = Spaces([], lengths, capacity)
-        for item in early:
-            spaces.best_fit([item])
-        spaces.best_fit(order[len(early) :])
-        members.append(spaces.bins)
+        bins, fills = [], []
+        for item in early:  # first into the last bin, as they come
+            if fills and fills[-1] + lengths[item] <= capacity:
+                bins[-1].append(item)
+                fills[-1] += lengths[item]
+            else:
+                bins.append([item])
+                fills.append(lengths[item])
+        member = Packing(bins, fills, capacity)
+        member.best_fit(order[len(early) :], lengths)
+        members.append(member)
     return members
 
 
-def evolve(members: list[Bins], lengths: list[int], capacity: int, generations: int, rng: np.random.Generator) -> list[Bins]:
+def evolve(members: list[Packing], lengths: list[int], capacity: int, generations: int, rng: np.random.Generator) -> list[Packing]:
     """Steady-state evolution: each child replaces the worst member if it is better.
 
     It ends early at the lower bound, the total length over the capacity.
     """
     bound = -(-sum(lengths) // capacity)
-    ranked = sorted(((cost(m, lengths, capacity), k, m) for k, m in enumerate(members)), key=lambda x: x[:2])
+    ranked = sorted(((m.cost(), k, m) for k, m in enumerate(members)), key=lambda x: x[:2])
     for step in range(generations):
         if ranked[0][0][0] <= bound or len(ranked) < 2:
             break
         a, b = rng.choice(len(ranked), 2, replace=False)
-        child = crossover(ranked[min(a, b)][2], ranked[max(a, b)][2], lengths, capacity, rng)
-        value = cost(child, lengths, capacity)
+        child = crossover(ranked[min(a, b)][2], ranked[max(a, b)][2], lengths, rng)
+        value = child.cost()
         if value < ranked[-1][0]:
             ranked[-1] = (value, len(members) + step, child)
             ranked.sort(key=lambda x: x[:2])
@@ -200,23 +219,23 @@ def pack_pieces(
         for island in range(islands):
             rng = np.random.default_rng([block, island])
             members = first_members(lengths, capacity, population, rng)
-            rows.append((block, island, part["uid"].to_numpy(), lengths, [numbered(m, len(lengths)) for m in members]))
+            rows.append((block, island, part["uid"].to_numpy(), lengths, [numbered(m.bins, len(lengths)) for m in members]))
         return pd.DataFrame(rows, columns=["block", "island", "uids", "lengths", "members"])
 
     def epoch(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         lengths = part["lengths"].iloc[0].tolist()
-        members = [bins_of(np.asarray(m)) for own in part["members"] for m in own]
+        members = [packing_of(bins_of(np.asarray(m)), lengths, capacity) for own in part["members"] for m in own]
         rng = np.random.default_rng([key[0], key[1], len(members)])
         members = evolve(members, lengths, capacity, generations, rng)
-        packed = [numbered(m, len(lengths)) for m in members[:population]]
+        packed = [numbered(m.bins, len(lengths)) for m in members[:population]]
         common = (part["uids"].iloc[0], lengths)
         rows = [(key[0], key[1], *common, packed), (key[0], (key[1] + 1) % islands, *common, packed[:1])]
         return pd.DataFrame(rows, columns=["block", "island", "uids", "lengths", "members"])
 
     def best(part: pd.DataFrame) -> pd.DataFrame:
         lengths = part["lengths"].iloc[0].tolist()
-        options = [bins_of(np.asarray(m)) for own in part["members"] for m in own]
-        bins = min(options, key=lambda m: cost(m, lengths, capacity))
+        options = [packing_of(bins_of(np.asarray(m)), lengths, capacity) for own in part["members"] for m in own]
+        bins = min(options, key=Packing.cost).bins
         uids, block = part["uids"].iloc[0], int(part["block"].iloc[0])
         rows = []
         for number, own in enumerate(bins):
@@ -236,13 +255,13 @@ def pack_pieces(
 
 def pack_documents(
     docs: DataFrame, rank_path: str, pattern: str, end_id: int = 2, capacity: int = 1024,
-    id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False,
+    id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False, tokenizer_path: str | None = None,
 ) -> DataFrame:
     """``id_col, piece, start, length, ids_crc32, sequence_id, offset`` of every piece of every document.
 
     Pieces of repeated rows are told apart by a row number given when the pieces are written, so
     each is packed. An empty table gives no rows; other columns are ignored.
     """
-    pieces = document_pieces(docs, rank_path, pattern, end_id, capacity, id_col, text_col, keep_ids)
+    pieces = document_pieces(docs, rank_path, pattern, end_id, capacity, id_col, text_col, keep_ids, tokenizer_path)
     pieces = materialise(pieces.withColumn("uid", F.monotonically_increasing_id()), "pieces")
     return pack_pieces(pieces, capacity).drop("uid")

@@ -30,6 +30,7 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 PATTERN = public_tokenizers.PATTERN
 URL_RULES = [
     ("allow", "org", "/"),
@@ -85,7 +86,7 @@ def op4_url_filters(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return pack_documents(table(spark, folder, "documents"), RANKS, PATTERN, end_id=2, capacity=1024)
+    return pack_documents(table(spark, folder, "documents"), RANKS, PATTERN, end_id=2, capacity=1024, tokenizer_path=TOKENIZER)
 
 
 @query()

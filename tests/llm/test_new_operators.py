@@ -10,9 +10,11 @@ import pytest
 import xxhash
 
 import __spark_entry__ as entry
-from corpusloom.llm import simhash
+from corpusloom.llm import packing, simhash
 from corpusloom.llm.collocations import collocations
+from corpusloom.llm.packing import pack_documents
 from corpusloom.llm.qdwh import leading_components
+from corpusloom.llm.queries import PATTERN, RANKS, TOKENIZER
 from corpusloom.llm.simhash import simhash_components
 from corpusloom.llm.whitening import whitened_embeddings
 
@@ -188,6 +190,32 @@ def test_a_dense_cell_gives_a_forest():
     assert sum(len(a) for a, _ in links) == len(prints) - 1
 
 
+# ---- packing ---------------------------------------------------------------------------------------
+
+def test_end_marks_in_a_text_are_tokens(spark):
+    from tokenizers import Tokenizer
+
+    texts = {1: "one <|endoftext|> two", 2: "<|endoftext|>", 3: "<|endoftext|", 4: "a <|endoftext|><|endoftext|>b " * 400}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows = pack_documents(frame, RANKS, PATTERN, keep_ids=True, tokenizer_path=TOKENIZER).orderBy("doc_id", "piece").collect()
+    own = Tokenizer.from_file(TOKENIZER)
+    for i, text in texts.items():
+        assert [x for r in rows if r.doc_id == i for x in r.ids] == [*own.encode(text, add_special_tokens=False).ids, 2]
+
+
+@pytest.mark.parametrize("low, high", [(200, 520), (300, 380)])
+def test_evolving_beats_best_fit_on_hard_lengths(low, high):
+    rng = np.random.default_rng(3)
+    lengths = sorted(rng.integers(low, high, 4000).tolist(), reverse=True)
+    plain = packing.Packing([], [], 1024)
+    plain.best_fit(list(range(len(lengths))), lengths)
+    members = packing.first_members(lengths, 1024, 4, rng)
+    best = packing.evolve(members, lengths, 1024, 24, rng)[0]
+    assert sorted(i for own in best.bins for i in own) == list(range(len(lengths)))
+    assert best.fills == [sum(lengths[i] for i in own) for own in best.bins] and max(best.fills) <= 1024
+    assert len(best.bins) < len(plain.bins)
+
+
 # ---- whitening -----------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("size", [1, 2, 3, 17, 64])

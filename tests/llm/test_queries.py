@@ -62,7 +62,6 @@ def ids(docs):
     from tokenizers import Tokenizer
 
     own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    own.encode_special_tokens = True
     return {i: own.encode(t, add_special_tokens=False).ids for i, t in docs.items()}
 
 
