@@ -19,15 +19,17 @@ from corpusloom.session import materialise
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 MIX = np.uint64(0xD6E8FEB86659FD93)
+#: Rows with their sketches that a task compares at once.
+BUCKET_BYTES = 8 << 20
 
 
 class WordHashes(dict):
-    """Word -> its 64-bit hash, kept for the words that recur."""
+    """Word -> its 64-bit hash, kept for the first words that come, among which are the frequent ones."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 100_000:
-            self.clear()
-        self[word] = value = xxhash.xxh64_intdigest(word)
+        value = xxhash.xxh64_intdigest(word)
+        if len(self) < 200_000:
+            self[word] = value
         return value
 
 
@@ -326,7 +328,8 @@ class JaccardJoin:
             "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "id", "n", "sketch", "component",
             F.when(F.col("own") == F.col("other"), -1 - F.col("own")).otherwise(F.col("own")).alias("side"),
         ), "cells")
-        buckets = max(12, -(-cells.count() // 50_000))
+        size = cells.agg(F.sum(F.length("sketch") + 64)).first()[0] or 0
+        buckets = max(12, -(-size // BUCKET_BYTES))
         threshold = self.threshold
 
         def choose(part: pd.DataFrame) -> pd.DataFrame:
