@@ -12,7 +12,7 @@ from corpusloom.llm.common import named, table
 from corpusloom.llm.exact_dedup import exact_duplicates
 from corpusloom.llm.jaccard_join import jaccard_components
 from corpusloom.llm.packing import pack_documents
-from corpusloom.llm.queries import PATTERN, RANKS
+from corpusloom.llm.queries import PATTERN, RANKS, TOKENIZER
 from corpusloom.llm.secrets import fit_markov, labelled_strings, mask_secrets
 from corpusloom.llm.toxicity import learn_toxicity, toxic_score
 from corpusloom.session import materialise
@@ -67,8 +67,8 @@ def without_secrets(spark: SparkSession, docs: DataFrame, folder: str) -> DataFr
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Every piece of every document with its place in a sequence of at most 1,024 tokens."""
-    return pack_documents(docs, RANKS, PATTERN, end_id=2, capacity=1024)
+    """Every piece of every document with its token ids and its place in a sequence of at most 1,024 tokens."""
+    return pack_documents(docs, RANKS, PATTERN, end_id=2, capacity=1024, keep_ids=True, tokenizer_path=TOKENIZER)
 
 
 STAGES = [
