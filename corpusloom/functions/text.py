@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import vocab
 
-WHITESPACE = " \t\n\x0b\f\r"
+#: White space of any kind: as characters, and as a class for patterns.
+WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
+SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
 
 
 def strip(text: Column) -> Column:
@@ -59,7 +61,7 @@ def blank(text: Column) -> Column:
 
 def split_words(text: Column) -> Column:
     """Lower-cased words between runs of white space."""
-    return F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != "")
+    return F.filter(F.split(F.lower(text), SPACE + "+"), lambda w: w != "")
 
 
 def phrase_count(text: Column, phrases: list[str]) -> Column:
@@ -130,7 +132,7 @@ def is_punctuation(token: Column) -> Column:
 
 
 def is_space(token: Column) -> Column:
-    return token.rlike(r"^\s+$")
+    return token.rlike(f"^{SPACE}+$")
 
 
 def credential_class(

@@ -16,8 +16,9 @@ from corpusloom.functions import text as t
 from corpusloom.functions import vocab
 from corpusloom.functions.arrays import explode_rows, let, pieces, positions
 
-TOKEN_PATTERN = r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]"
-SENTENCE_BREAK = r"(?<=[.!?])\s+"
+# A word keeps its combining marks; white space of any kind is no token.
+TOKEN_PATTERN = r"[\p{L}\p{N}][\p{L}\p{N}\p{M}]*|[^\s\x1c-\x1f\x85\p{Z}\p{L}\p{N}]"
+SENTENCE_BREAK = rf"(?<=[.!?]){t.SPACE}+"
 # Tokens that are looked through at once for the nearest verb or the end of an entity.
 STRETCH = 512
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom import schemas
 from corpusloom.functions import text as t
 from corpusloom.functions import vocab
 from corpusloom.functions.numeric import argmax, half_even, ratio, softmax
@@ -73,27 +74,24 @@ def csv_sink_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""
-  WITH m AS (SELECT source, avg(CAST(n_chars > 600 AS INT)) AS accuracy, avg(CAST(lang = 'en' AS INT)) AS f1
-             FROM documents GROUP BY source)
-  SELECT source AS model, round(accuracy, 6) AS accuracy, round(f1, 6) AS f1 FROM m""")
+  WITH m AS (SELECT source, avg(CAST(n_chars > 600 AS INT)) AS accuracy, avg(CAST(lang = 'en' AS INT)) AS f1, avg(CAST(lang = 'de' AS INT)) AS precision,
+                    avg(CAST(lang = 'fr' AS INT)) AS recall FROM documents GROUP BY source),
+  e AS (SELECT 'classification' AS part, source AS name, unnest(['accuracy', 'precision', 'recall', 'f1']) AS field, unnest([accuracy, precision, recall, f1]) AS value FROM m
+    UNION ALL (SELECT 'top_features', source, 'importance', f1 FROM m ORDER BY f1 DESC, source LIMIT 8)
+    UNION ALL SELECT 'cluster_alignment', 'kmeans_ari', 'ari', max(f1) FROM m UNION ALL SELECT 'cluster_alignment', 'hierarchical_ari', 'ari', min(f1) FROM m)
+  SELECT part, name, field, round(value, 6) AS value FROM e""")
 def json_summary_sink_scan(spark: SparkSession, folder: str) -> DataFrame:
-    """Scores by source as one nested JSON row, written and read back."""
+    """Shares by source as one nested JSON row, written and read back, all parts of it."""
+    share = lambda test: F.avg(test.cast("int"))
     scores = table(spark, folder, "documents").groupBy(F.col("source").alias("model")).agg(
-        F.avg((F.col("n_chars") > 600).cast("int")).alias("accuracy"), F.avg((F.col("lang") == "en").cast("int")).alias("f1")
+        share(F.col("n_chars") > 600).alias("accuracy"), share(F.col("lang") == "de").alias("precision"),
+        share(F.col("lang") == "fr").alias("recall"), share(F.col("lang") == "en").alias("f1"),
     )
-    metrics = scores.select("model", "accuracy", F.lit(0.0).alias("precision"), F.lit(0.0).alias("recall"), "f1")
     importances = scores.select(F.col("model").alias("feature"), F.col("f1").alias("importance"))
     alignment = scores.agg(F.max("f1").alias("kmeans_ari"), F.min("f1").alias("hierarchical_ari"))
     path = scratch_path(spark, "summary-json")
-    tables.write_json(tables.summary_row(metrics, importances, alignment), path)
-    back = tables.read_json(
-        spark, path,
-        "classification array<struct<model:string,accuracy:double,precision:double,recall:double,f1:double>>,"
-        "top_features map<string,double>,cluster_alignment struct<kmeans_ari:double,hierarchical_ari:double>",
-    )
-    return back.select(F.inline("classification")).select(
-        "model", F.round("accuracy", 6).alias("accuracy"), F.round("f1", 6).alias("f1")
-    )
+    tables.write_json(tables.summary_row(scores, importances, alignment), path)
+    return tables.summary_entries(tables.read_json(spark, path, schemas.SUMMARY)).withColumn("value", F.round("value", 6))
 
 
 @query(f"""
@@ -105,6 +103,12 @@ def json_summary_sink_scan(spark: SparkSession, folder: str) -> DataFrame:
   SELECT doc_id, CAST(ticket_no AS INT) AS ticket_no, {strip_sql('text')} AS text FROM parts
   WHERE {strip_sql('text')} <> ''""")
 def ticket_requests(spark: SparkSession, folder: str) -> DataFrame:
+    """The tickets of nested requests that are not blank."""
+    parsed = tk.parse_requests(ticket_bodies(spark, folder), ["doc_id"], F.col("body"))
+    return tk.scoring_text(parsed).select("doc_id", "ticket_no", "text")
+
+
+def ticket_bodies(spark: SparkSession, folder: str) -> DataFrame:
     """Nested JSON requests, one per document: a ticket in parts, one as text, and a blank one."""
     none = F.lit(None).cast("string")
     fields = lambda *values: F.struct(*[v.alias(n) for n, v in zip(("type", "subject", "body", "text"), values)])
@@ -113,9 +117,7 @@ def ticket_requests(spark: SparkSession, folder: str) -> DataFrame:
         fields(none, none, none, F.col("subject")),
         fields(F.lit(" "), F.lit("\n"), none, F.lit("  ")),
     )
-    requests = tickets(spark, folder).select("doc_id", F.to_json(F.struct(batch.alias("tickets"))).alias("body"))
-    parsed = tk.parse_requests(requests, ["doc_id"], F.col("body"))
-    return tk.scoring_text(parsed).select("doc_id", "ticket_no", "text")
+    return tickets(spark, folder).select("doc_id", F.to_json(F.struct(batch.alias("tickets"))).alias("body"))
 
 
 def _templates_sql(templates: dict[str, list[str]], fillers: dict[str, list[tuple[str, str]]], source: str, prefix: str) -> str:
@@ -349,18 +351,23 @@ def grounded_prompts(spark: SparkSession, folder: str) -> DataFrame:
     return chat.grounded_prompts(asked, knowledge, "text").select("conv_id", "turn", "prompt")
 
 
-@query("""
-  WITH c AS (SELECT event_type, CASE
+OUTCOMES = [
+    None, "400 API_KEY_INVALID", "API key not valid. Please pass one", "429 too many calls", "RESOURCE_EXHAUSTED",
+    "404 Model is not there", "404 page is not there", "500",
+]
+
+
+@query(f"""
+  WITH c AS (SELECT event_type, CASE WHEN m IS NULL THEN 'ok'
       WHEN contains(m, 'API_KEY_INVALID') OR contains(m, 'API key not valid') THEN 'bad_key'
       WHEN contains(m, '429') OR contains(m, 'RESOURCE_EXHAUSTED') THEN 'quota'
       WHEN contains(m, '404') AND contains(lower(m), 'model') THEN 'model_missing' ELSE 'other' END AS outcome
-    FROM (SELECT event_type, concat_ws(' ', value, props, CASE WHEN event_type = 'error' THEN 'Model' ELSE '' END) AS m FROM events))
+    FROM (SELECT event_type, ([{', '.join('NULL' if x is None else f"'{x}'" for x in OUTCOMES)}])[event_id % {len(OUTCOMES)} + 1] || ' ' || event_type AS m FROM events))
   SELECT event_type, outcome, count(*) AS n FROM c GROUP BY ALL""")
 def outcome_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """The value and properties of an event are its message."""
-    message = F.concat_ws(
-        " ", F.col("value").cast("string"), "props", F.when(F.col("event_type") == "error", "Model").otherwise("")
-    )
+    """Events with an error text of every class by their number, and their type behind it."""
+    texts_ = F.array(*[F.lit(x).cast("string") for x in OUTCOMES])
+    message = F.concat(F.get(texts_, (F.col("event_id") % len(OUTCOMES)).cast("int")), F.lit(" "), F.col("event_type"))
     events = table(spark, folder, "events").select("event_type", t.outcome_class(message).alias("outcome"))
     return events.groupBy("event_type", "outcome").agg(F.count("*").alias("n"))
 
@@ -652,17 +659,14 @@ def phrase_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""
-  WITH x AS (SELECT vec_id, [embedding[1]::DOUBLE, embedding[2]::DOUBLE, embedding[3]::DOUBLE] AS z FROM embeddings),
+  WITH x AS (SELECT vec_id, embedding::DOUBLE[] AS z FROM embeddings),
   e AS (SELECT vec_id, z, list_transform(z, lambda v: exp(v - list_max(z))) AS e FROM x),
   p AS (SELECT vec_id, z, list_transform(e, lambda v: v / list_sum(e)) AS p FROM e)
-  SELECT vec_id, round(p[1], 6) AS low, round(p[2], 6) AS medium, round(p[3], 6) AS high,
-         (['low', 'medium', 'high'])[list_position(z, list_max(z))] AS predicted, round(list_max(p), 6) AS confidence FROM p""")
+  SELECT vec_id, CAST(component - 1 AS INT) AS component, round(share, 6) AS share, component = list_position(z, list_max(z)) AS predicted
+  FROM (SELECT vec_id, z, unnest(p) AS share, generate_subscripts(p, 1) AS component FROM p)""")
 def softmax_scores(spark: SparkSession, folder: str) -> DataFrame:
-    """The first three components of a vector are the logits."""
-    logits = F.transform(F.slice("embedding", 1, 3), lambda x: x.cast("double"))
-    p = table(spark, folder, "embeddings").select("vec_id", logits.alias("z")).withColumn("p", softmax(F.col("z")))
-    name = F.get(F.array(*[F.lit(x) for x in PRIORITIES]), argmax(F.col("z")).cast("int"))
-    return p.select(
-        "vec_id", *[F.round(F.get("p", i), 6).alias(x) for i, x in enumerate(PRIORITIES)],
-        name.alias("predicted"), F.round(F.array_max("p"), 6).alias("confidence"),
-    )
+    """All components of a vector as logits."""
+    logits = F.transform("embedding", lambda x: x.cast("double"))
+    p = table(spark, folder, "embeddings").select("vec_id", logits.alias("z"))
+    rows = p.select("vec_id", argmax(F.col("z")).cast("int").alias("best"), F.posexplode(softmax(F.col("z"))).alias("component", "share"))
+    return rows.select("vec_id", "component", F.round("share", 6).alias("share"), (F.col("component") == F.col("best")).alias("predicted"))

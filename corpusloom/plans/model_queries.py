@@ -13,6 +13,7 @@ from corpusloom.operators import features as ft
 from corpusloom.operators import tickets as tk
 from corpusloom.operators import trees as tr
 from corpusloom.plans import flows
+from corpusloom.plans.corpus_queries import ticket_bodies
 from corpusloom.plans.registry import messages, query, spread, table, tickets
 from corpusloom.plans.token_queries import FEATURES_SQL, TEST_FEATURES, TEST_SPANS, styled
 from corpusloom.plans.tree_sql import tree_sql
@@ -358,3 +359,11 @@ def ticket_scores(spark: SparkSession, folder: str) -> DataFrame:
     raw = tickets(spark, folder).withColumn("text", F.lit(None).cast("string"))
     scored = models.score_tickets(tk.scoring_text(spread(raw)), model, ["doc_id"])
     return scored.select("doc_id", "predicted_priority", "confidence", "probabilities.*")
+
+
+@query()
+def request_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Nested JSON requests with the number of their scored tickets and the priority of each."""
+    model, _ = models.fit_priority_model(ticket_split(spark, folder))
+    scored = models.score_requests(ticket_bodies(spark, folder), model, ["doc_id"], F.col("body"))
+    return scored.select("doc_id", "count", F.transform("results", lambda r: r["predicted_priority"]).alias("priorities"))

@@ -187,7 +187,7 @@ def token_neighbours(spark: SparkSession, folder: str) -> DataFrame:
          CAST(regexp_matches(token, '^\s+$') AS INT) AS space, CAST(length(token) AS INT) AS length, count(*) AS n
   FROM x GROUP BY ALL""")
 def token_shapes(spark: SparkSession, folder: str) -> DataFrame:
-    found = F.regexp_extract_all(F.col("text"), F.lit(an.TOKEN_PATTERN + r"|\s+"), F.lit(0))
+    found = F.regexp_extract_all(F.col("text"), F.lit(f"{an.TOKEN_PATTERN}|{t.SPACE}+"), F.lit(0))
     token = F.col("token")
     shapes = explode_rows(texts(spark, folder), [], found, "token").select(
         t.is_capitalised(token).cast("int").alias("capitalised"), t.is_numeric(token).cast("int").alias("numeric"),

@@ -145,3 +145,17 @@ def test_check_predictions(spark):
 def test_fill_leaves_braces_of_the_values(spark):
     df = spark.createDataFrame([("say {b}", "x")], "a string, b string")
     assert df.select(t.fill("{a}, {b} and {c}", a=F.col("a"), b=F.col("b"))).first()[0] == "say {b}, x and {c}"
+
+
+def test_white_space_and_marks_of_any_kind(spark):
+    from corpusloom.operators import annotate as an
+
+    rows = [(1, "  a b 　"), (2, "ने́ दिल्ली x. Y"), (3, "́ éa")]
+    df = spark.createDataFrame(rows, "message_id int, raw_text string")
+    got = {r[0]: r for r in df.select("message_id", t.strip(F.col("raw_text")), t.split_words(F.col("raw_text"))).collect()}
+    assert got[1][1] == "a b" and got[1][2] == ["a", "b"] and got[2][2] == ["ने́", "दिल्ली", "x.", "y"]
+    tokens = {}
+    for r in an.tokenize(df).orderBy("message_id", "token_idx").collect():
+        tokens.setdefault(r["message_id"], []).append(r["token"])
+    assert tokens == {1: ["a", "b"], 2: ["ने́", "दिल्ली", "x", ".", "Y"], 3: ["́", "éa"]}
+    assert [r["sentence"] for r in an.split_sentences(df.where("message_id = 2")).orderBy("sent_idx").collect()] == ["ने́ दिल्ली x.", "Y"]
