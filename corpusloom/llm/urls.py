@@ -37,23 +37,61 @@ def same_page(url: Column) -> Column:
     return F.when(F.contains(bare, F.lit("://")), page).otherwise(bare)
 
 
-def alias_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``a, b``: every url and its plain form, and every url and the target of its page's canonical link and refresh redirect.
-
-    Targets that begin with ``//`` or ``/`` are completed from the page's url; other relative targets and
-    null urls give no edge.
-    """
-    url, html = named(url_col), F.coalesce(named(html_col), F.lit(""))
-    declared = F.array(F.regexp_extract(html, CANONICAL, 1), F.regexp_extract(html, REFRESH, 1))
+def decoded(target: Column) -> Column:
+    """A link as written in HTML without the entities that urls contain; ``&amp;`` last, so that nothing is decoded twice."""
+    for entity, mark in ((r"&(?:quot|#34|#[xX]22);", '"'), (r"&(?:#39|#[xX]27|apos);", "'"), (r"&(?:lt|#60|#[xX]3[cC]);", "<"), (r"&(?:gt|#62|#[xX]3[eE]);", ">")):
+        target = F.regexp_replace(target, entity, mark)
+    return F.regexp_replace(target, r"&(?:amp|#38|#[xX]26);", "&")
+
+
+def without_dots(whole: Column) -> Column:
+    """A path in which ``.`` and ``..`` are resolved."""
+    steps = F.split(whole, "/")
+    last = F.element_at(steps, -1)
+    ended = F.when(last.isin(".", ".."), F.array_append(steps, F.lit(""))).otherwise(steps)
+    none = F.array().cast("array<string>")
+    up = lambda done: F.when(F.size(done) > 1, F.slice(done, 1, F.size(done) - 1)).otherwise(done)
+    walked = F.aggregate(ended, none, lambda done, x: F.when(x == ".", done).when(x == "..", up(done)).otherwise(F.array_append(done, x)))
+    return F.array_join(walked, "/")
+
+
+def resolved(target: Column, url: Column) -> Column:
+    """The url that a link on the page ``url`` means; null if it is empty, a fragment, or no link to a page."""
     scheme = F.concat(F.substring_index(url, "://", 1), F.lit(":"))
     site = F.concat(scheme, F.lit("//"), host(url))
+    own = F.when(path(url) == "", "/").otherwise(path(url))
+    bare, rest = F.regexp_extract(target, r"(?s)^([^?#]*)", 1), F.regexp_extract(target, r"(?s)^[^?#]*(.*)$", 1)
+    folder = F.regexp_extract(own, r"(?s)^(.*/)", 1)
+    full = (
+        F.when((target == "") | target.startswith("#"), F.lit(None).cast("string"))
+        .when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), target)
+        .when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None).cast("string"))
+        .when(target.startswith("//"), F.concat(scheme, target))
+        .when(target.startswith("/"), F.concat(site, without_dots(bare), rest))
+        .when(target.startswith("?"), F.concat(site, own, rest))
+        .otherwise(F.concat(site, without_dots(F.concat(folder, bare)), rest))
+    )
+    return F.when(F.contains(url, F.lit("://")), full)
 
-    def whole(target: Column) -> Column:
-        full = F.when(target.startswith("//"), F.concat(scheme, target)).when(target.startswith("/"), F.concat(site, target))
-        return F.when(F.contains(target, F.lit("://")), target).otherwise(full)
 
-    targets = F.array_append(F.transform(declared, lambda t: same_page(whole(t))), same_page(url))
-    found = pages.select(url.alias("a"), F.explode(targets).alias("b"))
+def alias_edges(
+    pages: DataFrame, url_col: str = "url", html_col: str = "html", redirects: DataFrame | None = None
+) -> DataFrame:
+    """``a, b``: every url and its plain form, and every url and the targets of its page's canonical links and refresh redirects.
+
+    ``redirects`` (``source, target``: urls, the target as the server sent it) adds an edge per row. Entities are
+    decoded, and relative targets completed from the page's url. Null urls, and targets that are empty,
+    fragments or no pages (``mailto:``), give no edge; neither do relative targets of a url without ``://``.
+    """
+    url, html = named(url_col).cast("string"), F.coalesce(named(html_col).cast("string"), F.lit(""))
+    declared = F.concat(*[F.regexp_extract_all(html, F.lit(pattern), 1) for pattern in (CANONICAL, REFRESH)])
+    links = pages.select(url.alias("a"), F.transform(declared, decoded).alias("targets"))
+    if redirects is not None:
+        sent = redirects.select(named("source").cast("string").alias("a"), F.array(named("target").cast("string")).alias("targets"))
+        links = links.unionByName(sent)
+    a = F.col("a")
+    targets = F.array_append(F.transform("targets", lambda t: same_page(resolved(t, a))), same_page(a))
+    found = links.select("a", F.explode(targets).alias("b"))
     return found.where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
 
 
