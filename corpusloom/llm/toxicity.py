@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
@@ -43,6 +44,7 @@ def fit_toxicity(
     max_features: int = 1 << 14,
     min_rows: int = 5,
     smoothing: float = 1.0,
+    parts: int = 3,
 ) -> ToxicityModel:
     """Fit on about ``max_rows`` labelled rows, chosen by the hash of their id.
 
@@ -51,64 +53,133 @@ def fit_toxicity(
     the most significant difference become features, each scaled by its ratio, and a regularised
     logistic regression weighs them.
 
+    A model that separates its own rows is too sure of itself, so the score of 0.5 is placed by rows the
+    model has not seen: each of ``parts`` parts is scored by a model of the others, and the bias moves to
+    where the toxic rows have the best F1. With a toxic or other row in too few parts it stays.
+
     Rows without a label are ignored. Without any label the score is 0 for every text; with one
     class only it is the share of that class, so 0 or 1; without features the share of toxic rows.
     """
     data = rows.select(
         named(id_col).alias("id"), F.coalesce(named(text_col), F.lit("")).alias("text"), named(label_col).cast("int").alias("y")
     ).where("y IS NOT NULL")
-    data = materialise(sampled(data, F.col("id"), max_rows).repartition(12, "id", "text"), "toxic-rows")
-    seen = {r["y"]: r["n"] for r in data.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    toxic, other = seen.get(1, 0), seen.get(0, 0)
-    if not toxic or not other:
-        share = 1.0 if toxic else 0.0
-        return ToxicityModel(np.zeros(2**BITS), 30.0 if share else -30.0)
-
-    def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        totals = np.zeros((2, 2**BITS), np.int64)
-        for part in lean(parts):
-            for label in (0, 1):
-                texts = part["text"][part["y"] == label].tolist()
-                for _, buckets in present(texts, LENGTHS):
-                    totals[label] += np.bincount(buckets, minlength=2**BITS)
-        at = np.flatnonzero(totals.sum(0))
-        yield pd.DataFrame({"bucket": at, "p": totals[1, at], "q": totals[0, at]})
-
-    counts = data.select("y", "text").mapInPandas(count, "bucket long, p long, q long")
-    counts = counts.groupBy("bucket").agg(F.sum("p").alias("p"), F.sum("q").alias("q")).where(F.col("p") + F.col("q") >= min_rows)
-    a = (F.col("p") + smoothing) / (toxic + 2 * smoothing)
-    b = (F.col("q") + smoothing) / (other + 2 * smoothing)
-    pooled = (F.col("p") + F.col("q") + smoothing) / (toxic + other + 2 * smoothing)
-    gain = F.abs(a - b) / F.sqrt(pooled * (1 - pooled) * (1 / toxic + 1 / other) + 1e-12)
-    chosen = counts.select("bucket", F.log(a / b).alias("ratio"), gain.alias("gain"))
-    features = chosen.orderBy(F.desc("gain"), "bucket").limit(max_features).collect()
-    if not features:
-        return ToxicityModel(np.zeros(2**BITS), float(np.log(toxic / other)))
-    ratios = np.zeros(2**BITS)
-    ratios[[f["bucket"] for f in features]] = [f["ratio"] for f in features]
-    numbers = np.full(2**BITS, -1)
-    buckets = np.array(sorted(f["bucket"] for f in features))
-    numbers[buckets] = np.arange(len(buckets))
-
-    def hits(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in lean(parts):
-            found = list(present(part["text"].tolist(), LENGTHS, ratios != 0)) or [(np.empty(0, int),) * 2]
-            row, bucket = (np.concatenate(x) for x in zip(*found))
-            cuts = np.searchsorted(row, np.arange(1, len(part)))
-            yield pd.DataFrame({
-                "y": part["y"].astype(float),
-                "at": np.split(numbers[bucket], cuts) if len(part) else [],
-                "x": np.split(ratios[bucket], cuts) if len(part) else [],
-            })
-
-    vector = F.udf(lambda at, x: Vectors.sparse(len(buckets), at, x), VectorUDT())
-    train = data.select("y", "text").mapInPandas(hits, "y double, at array<int>, x array<double>")
-    train = materialise(train, "toxic-features").select("y", vector("at", "x").alias("x")).persist()
-    fitted = LogisticRegression(featuresCol="x", labelCol="y", regParam=1e-4, maxIter=60, standardization=False).fit(train)
-    train.unpersist()
-    weights = np.zeros(2**BITS)
-    weights[buckets] = fitted.coefficients.toArray() * ratios[buckets]
-    return ToxicityModel(weights, float(fitted.intercept))
+    data = sampled(data, F.col("id"), max_rows).repartition(12, "id", "text")
+    data = data.withColumn("part", F.pmod(F.xxhash64("id", F.lit("part")), F.lit(parts)).cast("int"))
+    fit = ToxicityFit(materialise(data, "toxic-rows"), max_features, min_rows, smoothing)
+    if not fit.crossed(parts):
+        return fit.model()
+    with ThreadPoolExecutor(parts + 1) as pool:  # small fits, submitted together
+        model, *others = pool.map(fit.model, [None, *range(parts)])
+    model.bias -= fit.best_margin(dict(enumerate(others)))
+    return model
+
+
+class ToxicityFit:
+    """The labelled rows (``y, text, part``) with their n-grams counted once, and models of all rows or all but one part."""
+
+    def __init__(self, data: DataFrame, max_features: int, min_rows: int, smoothing: float) -> None:
+        self.data, self.max_features, self.min_rows, self.smoothing = data, max_features, min_rows, smoothing
+        seen = data.groupBy("part", "y").agg(F.count("*").alias("n")).collect()
+        self.seen = {(r["part"], r["y"]): r["n"] for r in seen}
+
+        def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            totals: dict[tuple[int, int], np.ndarray] = {}
+            for frame in lean(frames):
+                for key, own in frame.groupby(["part", "y"]):
+                    held = totals.setdefault(key, np.zeros(2**BITS, np.int32))
+                    for _, buckets in present(own["text"].tolist(), LENGTHS):
+                        held += np.bincount(buckets, minlength=2**BITS).astype(np.int32)
+            for (part, y), held in totals.items():
+                at = np.flatnonzero(held)
+                yield pd.DataFrame({"bucket": at, "part": part, "y": y, "n": held[at]})
+
+        found = data.select("part", "y", "text").mapInPandas(count, "bucket long, part int, y int, n long")
+        self.counts = materialise(found.groupBy("bucket", "part", "y").agg(F.sum("n").alias("n")), "toxic-grams")
+
+    def rows(self, label: int, without: int | None = None) -> int:
+        """How many rows have a label; toxic ones have 1, others any other number."""
+        return sum(n for (part, y), n in self.seen.items() if (y == 1) == (label == 1) and part != without)
+
+    def crossed(self, parts: int) -> bool:
+        """Whether both classes remain whichever part is left out."""
+        return parts > 1 and all(self.rows(label, part) for label in (0, 1) for part in range(parts))
+
+    def features(self, without: int | None) -> list[tuple[int, float]]:
+        """Bucket and log-count ratio of the n-grams that tell toxic rows from others, in the order of buckets."""
+        toxic, other, smooth = self.rows(1, without), self.rows(0, without), self.smoothing
+        kept = self.counts if without is None else self.counts.where(F.col("part") != without)
+        sums = [F.sum(F.when(side, F.col("n")).otherwise(0)) for side in (F.col("y") == 1, F.col("y") != 1)]
+        counts = kept.groupBy("bucket").agg(sums[0].alias("p"), sums[1].alias("q")).where(F.col("p") + F.col("q") >= self.min_rows)
+        a = (F.col("p") + smooth) / (toxic + 2 * smooth)
+        b = (F.col("q") + smooth) / (other + 2 * smooth)
+        pooled = (F.col("p") + F.col("q") + smooth) / (toxic + other + 2 * smooth)
+        gain = F.abs(a - b) / F.sqrt(pooled * (1 - pooled) * (1 / toxic + 1 / other) + 1e-12)
+        chosen = counts.select("bucket", F.log(a / b).alias("ratio"), gain.alias("gain"))
+        best = chosen.orderBy(F.desc("gain"), "bucket").limit(self.max_features).collect()
+        return sorted((f["bucket"], f["ratio"]) for f in best)
+
+    def model(self, without: int | None = None) -> ToxicityModel:
+        """A model of all rows, or of those outside one part."""
+        toxic, other = self.rows(1, without), self.rows(0, without)
+        if not toxic or not other:
+            return ToxicityModel(np.zeros(2**BITS), 30.0 if toxic else -30.0)
+        features = self.features(without)
+        if not features:
+            return ToxicityModel(np.zeros(2**BITS), float(np.log(toxic / other)))
+        buckets = np.array([bucket for bucket, _ in features])
+        ratios = np.zeros(2**BITS)
+        ratios[buckets] = [ratio for _, ratio in features]
+        numbers = np.full(2**BITS, -1, np.int32)
+        numbers[buckets] = np.arange(len(buckets))
+
+        def hits(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for frame in lean(frames):
+                found = list(present(frame["text"].tolist(), LENGTHS, ratios != 0)) or [(np.empty(0, int),) * 2]
+                row, bucket = (np.concatenate(x) for x in zip(*found))
+                cuts = np.searchsorted(row, np.arange(1, len(frame)))
+                yield pd.DataFrame({
+                    "y": (frame["y"] == 1).astype(float),
+                    "at": np.split(numbers[bucket], cuts) if len(frame) else [],
+                    "x": np.split(ratios[bucket], cuts) if len(frame) else [],
+                })
+
+        vector = F.udf(lambda at, x: Vectors.sparse(len(buckets), at, x), VectorUDT())
+        kept = self.data if without is None else self.data.where(F.col("part") != without)
+        train = kept.select("y", "text").mapInPandas(hits, "y double, at array<int>, x array<double>")
+        train = materialise(train, "toxic-features").select("y", vector("at", "x").alias("x")).persist()
+        fitted = LogisticRegression(featuresCol="x", labelCol="y", regParam=1e-4, maxIter=60, standardization=False).fit(train)
+        train.unpersist()
+        weights = np.zeros(2**BITS)
+        weights[buckets] = fitted.coefficients.toArray() * ratios[buckets]
+        return ToxicityModel(weights, float(fitted.intercept))
+
+    def best_margin(self, models: dict[int, ToxicityModel]) -> float:
+        """The margin from which rows count as toxic with the best F1, by models that have not seen them.
+
+        Margins are log odds in steps of a tenth; among equals the one nearest 0.
+        """
+        sparse = {part: (np.flatnonzero(m.weights), m.weights[m.weights != 0], m.bias) for part, m in models.items()}
+
+        def margins(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            whole = {}
+            for part, (at, values, bias) in sparse.items():
+                weights = np.zeros(2**BITS)
+                weights[at] = values
+                whole[part] = ToxicityModel(weights, bias)
+            for frame in lean(frames):
+                for part, own in frame.groupby("part"):
+                    score = whole[part].scores(own["text"].tolist())
+                    step = np.round(10 * np.log(score / (1 - score))).astype(int)
+                    yield pd.DataFrame({"y": (own["y"] == 1).to_numpy(), "step": step})
+
+        found = self.data.select("part", "y", "text").mapInPandas(margins, "y boolean, step int")
+        steps = found.groupBy("step").agg(F.sum(F.col("y").cast("int")).alias("toxic"), F.count("*").alias("n")).collect()
+        at = np.array(sorted(r["step"] for r in steps))
+        held = {r["step"]: r for r in steps}
+        hits = np.cumsum([held[s]["toxic"] for s in at[::-1]])[::-1]
+        named_toxic = np.cumsum([held[s]["n"] for s in at[::-1]])[::-1]
+        f1 = 2 * hits / (named_toxic + hits[0])
+        return float(min(at[f1 == f1.max()], key=abs)) / 10 - 0.05
 
 
 def toxic_score(spark: SparkSession, text: Column, model: ToxicityModel) -> Column:
