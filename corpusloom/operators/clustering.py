@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.arrays import let
@@ -112,6 +114,72 @@ def silhouette(df: DataFrame, array: str, cluster: str) -> DataFrame:
     return silhouette_rows(df, array, cluster).agg(F.avg("silhouette").alias("silhouette"))
 
 
+def euclidean_silhouette_rows(
+    df: DataFrame, key: str, array: str, cluster: str, references: int = 256, max_values: int = 4_000_000
+) -> DataFrame:
+    """Add the plain Euclidean silhouette of every row and its ``margin``, without forming all pairs.
+
+    Mean distances are taken to ``references`` rows of each cluster, those with the smallest md5 of the unique ``key``;
+    a row is no reference of itself. ``margin`` is two standard errors of both mean distances, carried over
+    to the silhouette; where all rows of the clusters are references the value is exact and the margin 0.
+    The reference rows go to every task, so they may hold ``max_values`` numbers at most; more raise an error.
+
+    A row alone in its cluster has silhouette 0, and so has every row if there is one cluster only. Rows without a
+    vector, cluster or key get null; other columns stay.
+    """
+    whole = F.col(key).isNotNull() & F.col(array).isNotNull() & F.col(cluster).isNotNull()
+    named_rows = df.where(whole).select(
+        F.col(key).cast("string").alias("key"), F.col(cluster).cast("string").alias("cluster"),
+        F.transform(array, lambda v: v.cast("double")).alias("x"),
+    )
+    sizes = named_rows.groupBy("cluster").agg(F.count("*").alias("n"), F.max(F.size("x")).alias("dims"))
+    sized = sizes.limit(max_values // references + 1).collect()
+    if sum(min(references, r["n"]) * r["dims"] for r in sized) > max_values:
+        raise ValueError(f"{len(sized)} clusters have more than {max_values} numbers in {references} reference rows each")
+    chosen = Window.partitionBy("cluster").orderBy(F.md5("key"), "key")
+    held = named_rows.withColumn("place", F.row_number().over(chosen)).where(F.col("place") <= references).toPandas()
+    known = df.sparkSession.sparkContext.broadcast([
+        (r["cluster"], r["n"], own["key"].to_numpy(), np.stack(own["x"].to_numpy()))
+        for r in sized for own in [held[held["cluster"] == r["cluster"]]]
+    ])
+
+    @F.pandas_udf("struct<silhouette double, margin double>")
+    def score(keys: pd.Series, clusters: pd.Series, points: pd.Series) -> pd.DataFrame:
+        out = np.full((len(keys), 2), np.nan)
+        at = np.flatnonzero(keys.notna() & clusters.notna() & points.notna())
+        if len(at):
+            out[at] = _silhouettes(keys.to_numpy()[at], clusters.to_numpy()[at], np.stack(points.to_numpy()[at]), known.value)
+        return pd.DataFrame(out, columns=["silhouette", "margin"]).astype(object).where(~np.isnan(out), None)
+
+    point = F.transform(array, lambda v: v.cast("double"))
+    scored = df.withColumn("_s", score(F.col(key).cast("string"), F.col(cluster).cast("string"), point))
+    return scored.withColumns({c: F.col(f"_s.{c}") for c in ("silhouette", "margin")}).drop("_s")
+
+
+def _silhouettes(keys: np.ndarray, clusters: np.ndarray, points: np.ndarray, known: list) -> np.ndarray:
+    """Silhouette and margin of a batch against the reference rows ``(cluster, size, keys, points)``."""
+    own, other = np.full((2, len(keys)), np.nan), np.full((2, len(keys)), np.nan)
+    for name, size, named_rows, rows in known:
+        centre = rows.mean(axis=0)
+        x, y = points - centre, rows - centre
+        squares = (x * x).sum(axis=1)[:, None] + (y * y).sum(axis=1) - 2 * x @ y.T
+        far = np.sqrt(np.maximum(squares, 0))
+        mine = clusters == name
+        far[keys[:, None] == named_rows] = np.nan
+        seen = (~np.isnan(far)).sum(axis=1)
+        least = np.maximum(seen, 1)
+        mean = np.nansum(far, axis=1) / least
+        spread = np.nansum((far - mean[:, None]) ** 2, axis=1) / np.maximum(seen - 1, 1)
+        left = 1 - seen / np.maximum(size - mine, 1)
+        found = np.stack([mean, 2 * np.sqrt(spread * np.maximum(left, 0) / least)])
+        own[:, mine & (seen > 0)] = found[:, mine & (seen > 0)]
+        nearer = ~mine & ~(found[0] >= other[0])
+        other[:, nearer] = found[:, nearer]
+    most = np.maximum(own[0], other[0])
+    result = np.stack([other[0] - own[0], own[1] + other[1]], axis=1) / np.where(most > 0, most, 1)[:, None]
+    return np.nan_to_num(result)
+
+
 def elbow(df: DataFrame, ks: range = range(2, 8), starts: int = 10, seed: int = 42, features: str = "features") -> DataFrame:
     """(k, inertia, silhouette) for every k."""
     rows = None

@@ -85,6 +85,22 @@ def silhouette(spark: SparkSession, folder: str) -> DataFrame:
     return rows.groupBy("label").agg(F.count("*").alias("n"), F.round(F.avg("silhouette"), 6).alias("silhouette"))
 
 
+REFERENCES = 64
+
+
+@query(f"""
+  WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v,
+               row_number() OVER (PARTITION BY label ORDER BY md5(CAST(vec_id AS VARCHAR)), CAST(vec_id AS VARCHAR)) AS place FROM embeddings),
+  d AS (SELECT x.vec_id, x.label, y.label AS other, avg(list_distance(x.v, y.v)) AS m
+        FROM e x, e y WHERE y.place <= {REFERENCES} AND x.vec_id <> y.vec_id GROUP BY ALL),
+  s AS (SELECT vec_id, label, max(m) FILTER (label = other) AS a, min(m) FILTER (label <> other) AS b FROM d GROUP BY ALL)
+  SELECT label, count(*) AS n, round(avg(coalesce((b - a) / greatest(a, b), 0)), 6) AS silhouette FROM s GROUP BY label""")
+def euclidean_silhouette(spark: SparkSession, folder: str) -> DataFrame:
+    """Plain Euclidean silhouette of the given labels, by label, from ``REFERENCES`` rows of each."""
+    rows = cl.euclidean_silhouette_rows(spread(table(spark, folder, "embeddings")), "vec_id", "embedding", "label", REFERENCES)
+    return rows.groupBy("label").agg(F.count("*").alias("n"), F.round(F.avg("silhouette"), 6).alias("silhouette"))
+
+
 # ---- clustering --------------------------------------------------------------------------------
 
 @query()
