@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
@@ -14,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm.char_ngrams import BITS, present
-from corpusloom.llm.common import id_and_text, lean, named, sampled
+from corpusloom.llm.common import id_and_text, lean, named, release, sampled
 from corpusloom.session import materialise
 
 LENGTHS = (3, 4, 5)
@@ -35,6 +34,12 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(sums + self.bias, -30, 30)))
 
 
+def dense_model(buckets: np.ndarray, values: np.ndarray, bias: float) -> ToxicityModel:
+    weights = np.zeros(2**BITS)
+    weights[buckets] = values
+    return ToxicityModel(weights, bias)
+
+
 def fit_toxicity(
     rows: DataFrame,
     id_col: str = "doc_id",
@@ -68,9 +73,9 @@ def fit_toxicity(
     fit = ToxicityFit(materialise(data, "toxic-rows"), max_features, min_rows, smoothing)
     if not fit.crossed(parts):
         return fit.model()
-    with ThreadPoolExecutor(parts + 1) as pool:  # small fits, submitted together
-        model, *others = pool.map(fit.model, [None, *range(parts)])
-    model.bias -= fit.best_margin(dict(enumerate(others)))
+    margin = fit.best_margin({part: fit.weighed(part) for part in range(parts)})
+    model = fit.model()
+    model.bias -= margin
     return model
 
 
@@ -118,21 +123,23 @@ class ToxicityFit:
         best = chosen.orderBy(F.desc("gain"), "bucket").limit(self.max_features).collect()
         return sorted((f["bucket"], f["ratio"]) for f in best)
 
-    def model(self, without: int | None = None) -> ToxicityModel:
-        """A model of all rows, or of those outside one part."""
+    def model(self) -> ToxicityModel:
+        return dense_model(*self.weighed())
+
+    def weighed(self, without: int | None = None) -> tuple[np.ndarray, np.ndarray, float]:
+        """Buckets, their weights and the bias, fitted on all rows or on those outside one part."""
         toxic, other = self.rows(1, without), self.rows(0, without)
+        none = np.empty(0, np.int64), np.empty(0)
         if not toxic or not other:
-            return ToxicityModel(np.zeros(2**BITS), 30.0 if toxic else -30.0)
+            return *none, 30.0 if toxic else -30.0
         features = self.features(without)
         if not features:
-            return ToxicityModel(np.zeros(2**BITS), float(np.log(toxic / other)))
-        buckets = np.array([bucket for bucket, _ in features])
-        ratios = np.zeros(2**BITS)
-        ratios[buckets] = [ratio for _, ratio in features]
-        numbers = np.full(2**BITS, -1, np.int32)
-        numbers[buckets] = np.arange(len(buckets))
+            return *none, float(np.log(toxic / other))
+        buckets, scale = (np.array(x) for x in zip(*features))
 
         def hits(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            ratios, numbers = np.zeros(2**BITS), np.full(2**BITS, -1, np.int32)
+            ratios[buckets], numbers[buckets] = scale, np.arange(len(buckets))
             for frame in lean(frames):
                 found = list(present(frame["text"].tolist(), LENGTHS, ratios != 0)) or [(np.empty(0, int),) * 2]
                 row, bucket = (np.concatenate(x) for x in zip(*found))
@@ -149,23 +156,17 @@ class ToxicityFit:
         train = materialise(train, "toxic-features").select("y", vector("at", "x").alias("x")).persist()
         fitted = LogisticRegression(featuresCol="x", labelCol="y", regParam=1e-4, maxIter=60, standardization=False).fit(train)
         train.unpersist()
-        weights = np.zeros(2**BITS)
-        weights[buckets] = fitted.coefficients.toArray() * ratios[buckets]
-        return ToxicityModel(weights, float(fitted.intercept))
+        release()
+        return buckets, fitted.coefficients.toArray() * scale, float(fitted.intercept)
 
-    def best_margin(self, models: dict[int, ToxicityModel]) -> float:
+    def best_margin(self, models: dict[int, tuple[np.ndarray, np.ndarray, float]]) -> float:
         """The margin from which rows count as toxic with the best F1, by models that have not seen them.
 
         Margins are log odds in steps of a tenth; among equals the one nearest 0.
         """
-        sparse = {part: (np.flatnonzero(m.weights), m.weights[m.weights != 0], m.bias) for part, m in models.items()}
 
         def margins(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            whole = {}
-            for part, (at, values, bias) in sparse.items():
-                weights = np.zeros(2**BITS)
-                weights[at] = values
-                whole[part] = ToxicityModel(weights, bias)
+            whole = {part: dense_model(*weighed) for part, weighed in models.items()}
             for frame in lean(frames):
                 for part, own in frame.groupby("part"):
                     score = whole[part].scores(own["text"].tolist())
