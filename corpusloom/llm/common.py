@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import ctypes
-import ctypes.util
+import functools
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -47,16 +47,28 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(key, str(rows))
 
 
+@functools.cache
+def c_library() -> ctypes.CDLL | None:
+    """The C library of this process if it is glibc, told to give large arrays back to the system when freed."""
+    library = ctypes.CDLL(None)
+    if not hasattr(library, "malloc_trim"):
+        return None
+    library.mallopt(M_MMAP_THRESHOLD, 1 << 18)
+    return library
+
+
+def release() -> None:
+    """Give memory that this process no longer uses back to the system."""
+    pa.default_memory_pool().release_unused()
+    if library := c_library():
+        library.malloc_trim(0)
+
+
 def lean(parts: Iterator) -> Iterator:
     """The batches of a task; large arrays go back to the system when freed, the rest when the batches are done.
 
     A Python worker outlives its tasks and would otherwise keep the most memory it ever had.
     """
-    library = ctypes.CDLL(ctypes.util.find_library("c"))
-    glibc = hasattr(library, "malloc_trim")
-    if glibc:
-        library.mallopt(M_MMAP_THRESHOLD, 1 << 18)
+    c_library()
     yield from parts
-    pa.default_memory_pool().release_unused()
-    if glibc:
-        library.malloc_trim(0)
+    release()

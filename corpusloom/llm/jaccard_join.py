@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import id_and_text, lean
+from corpusloom.llm.common import id_and_text, lean, release
 from corpusloom.llm.components import components
 from corpusloom.llm.quality import windows
 from corpusloom.session import materialise
@@ -333,7 +333,10 @@ class JaccardJoin:
         threshold = self.threshold
 
         def choose(part: pd.DataFrame) -> pd.DataFrame:
-            return chosen_pairs(part, threshold, every)
+            release()
+            pairs = chosen_pairs(part, threshold, every)
+            release()
+            return pairs
 
         dealt = cells.withColumn("bucket", F.pmod(F.xxhash64("key", "i", "j"), F.lit(buckets)))
         dealt = dealt.repartition(min(buckets, 20_000), "bucket").groupBy("bucket")
