@@ -228,3 +228,20 @@ def test_best_of(spark):
 def test_first_copy_goes_by_the_number_of_the_id(spark):
     raw = spark.createDataFrame([(100000, "a text that is long enough"), (99999, "a text that is long enough")], "id long, text string")
     assert [r["message_id"] for r in flows.message_corpus(raw, "posts").collect()] == ["KG_99999"]
+
+
+@pytest.mark.parametrize("limit", [0, 64])
+def test_passed_cuts_shuffle_no_row(spark, monkeypatch, limit):
+    monkeypatch.setattr(ordering, "MAX_STRATA", limit)
+    monkeypatch.setattr(ordering, "MAX_BUCKETS", limit)
+    labels = [None, float("nan"), 0.0, 1.0, 1.0, 1.0]
+    rows = [(f"k{i}", labels[i % 6]) for i in range(600)]
+    df = spark.createDataFrame(rows, "key string, label double")
+    passed = ordering.with_passed_cuts(df, "label", "key", [F.floor(F.col("n") * 0.25), F.col("n") * 0], 7, "passed")
+    got = {r["key"]: r["passed"] for r in passed.collect()}
+    for own in (None, "nan", "0.0", "1.0"):
+        keys = sorted((k for k, x in rows if (str(x) if x is not None else None) == own), key=lambda k: hashlib.md5(f"7|{k}".encode()).hexdigest())
+        cut = len(keys) // 4
+        assert [got[k] for k in keys] == [1] * cut + [2] * (len(keys) - cut)
+    plan = passed._jdf.queryExecution().toString()
+    assert ("Join" in plan) == (limit == 0)
