@@ -70,3 +70,19 @@ def test_depths_of_random_forests(spark):
 def test_chain_of_heads(spark, size):
     chain = spark.range(size).selectExpr("1 AS m", "id AS token_idx", "greatest(id - 1, 0) AS head_idx")
     assert [tuple(r) for r in depth.tree_depths(chain, ["m"]).collect()] == [(1, size)]
+
+
+def test_depths_of_gathered_and_joined_groups_agree(spark, monkeypatch):
+    rng = random.Random(5)
+    rows = [(g if g else None, 3 * i, 3 * rng.randrange(-1, 13) if rng.random() < 0.8 else 3 * i) for g in range(60) for i in range(rng.randrange(1, 13))]
+    rows += rows[:40] + [(7, 0, 3), (7, 0, 6)]
+    frame = spark.createDataFrame(rows, "m int, token_idx int, head_idx int")
+    gathered = sorted(map(str, depth.tree_depths(frame, ["m"]).collect()))
+    calls, joined = [], depth._joined_depths
+    monkeypatch.setattr(depth, "_joined_depths", lambda *a: calls.append(1) or joined(*a))
+    monkeypatch.setattr(depth, "ROW_TOKENS", 0)
+    assert sorted(map(str, depth.tree_depths(frame, ["m"]).collect())) == gathered and calls
+    monkeypatch.setattr(depth, "ROW_TOKENS", 4096)
+    calls.clear()
+    depth.tree_depths(frame.where("m <> 7"), ["m"]).collect()
+    assert not calls  # no round of joins
