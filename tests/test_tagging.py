@@ -132,3 +132,19 @@ def test_long_sentences_stay_whole(spark):
     tokens = got[1][0]
     assert [i + t.head_off for i, t in enumerate(tokens)] == [1] * len(words)
     assert [t.ent_pos for t in tokens] == [None] * 2002 + list(range(1300)) + [None] * 1700
+
+
+def test_only_what_fields_read_is_looked_for(spark):
+    df = spark.createDataFrame([(1, "We saw Delhi Police go to Pune. Rain.")], "message_id int, raw_text string")
+    plan = an.annotate(df, fields=["token", "pos"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "PROPN" in plan and "array_repeat" not in plan and "array_max" not in plan
+    text = "He saw " + "Delhi Police near " * 700 + "Pune go ."
+    found = an.annotate(spark.createDataFrame([(1, text)], "message_id int, raw_text string"), fields=an.SENTENCE_FIELDS)
+    toks = [t for s in found.first()["sentences"] for t in s]
+    first, verb, start = next(i for i, t in enumerate(toks) if t["pos"] == "VERB"), None, None
+    for i, t in enumerate(toks):
+        assert t["head_off"] == (0 if i == first else (first if verb is None else verb) - i)
+        verb = i if t["pos"] == "VERB" else verb
+        start = (i if start is None else start) if t["pos"] == "PROPN" else None
+        assert t["ent_pos"] == (None if start is None else i - start)
+        assert t["ent_type"] == (None if start is None else "GPE" if t["token"] == "Pune" else "ORG")
