@@ -155,3 +155,13 @@ def test_stream_equals_batch(spark, tmp_path):
     streamed = jobs.run_available(jobs.message_tagging(arriving), "tags").collect()
     batch = token_lists(tag_corpus(messages)).collect()
     assert sorted(map(str, streamed)) == sorted(map(str, batch))
+
+
+def test_fit_reads_as_many_parts_as_cores(spark, monkeypatch):
+    rows = [(f"{'fire help' if i % 2 else 'water food'} {i}", i % 2, "val" if i % 5 == 0 else "train") for i in range(200)]
+    data = spark.createDataFrame(rows, "text string, label int, split string").repartition(100)
+    monkeypatch.setattr(models, "with_weights", lambda df, label: df.repartition(100).withColumn("weight", F.lit(1.0)))
+    parts, plain = [], models.LogisticRegression.fit
+    monkeypatch.setattr(models.LogisticRegression, "fit", lambda self, df: parts.append(df.rdd.getNumPartitions()) or plain(self, df))
+    models.fit_priority_model(data, budgets=(1,))
+    assert parts and max(parts) <= spark.sparkContext.defaultParallelism
