@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import itertools
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -23,28 +23,73 @@ MIX = np.uint64(0xD6E8FEB86659FD93)
 BUCKET_BYTES = 8 << 20
 
 
-class WordHashes(dict):
-    """Word -> its 64-bit hash, kept for the first words that come, among which are the frequent ones."""
+#: Which bytes belong to words: all but ASCII white space.
+IN_WORD = np.array([bytes([b]).strip() != b"" for b in range(256)])
+#: The bytes that a word of 0 to 8 bytes has in a little-endian number.
+OWN_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+#: Words of more bytes are hashed one by one.
+LONG_WORD = 32
+#: Bytes of texts that are hashed at once; a longer text is hashed alone.
+PIECE_BYTES = 1 << 20
 
-    def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh64_intdigest(word)
-        if len(self) < 200_000:
-            self[word] = value
-        return value
 
+def mixed(codes: np.ndarray) -> np.ndarray:
+    """A permutation of the 64-bit numbers in which every bit depends on every bit."""
+    codes = (codes ^ (codes >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    codes = (codes ^ (codes >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return codes ^ (codes >> np.uint64(31))
 
-HASHES = WordHashes()
 
+def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Start and 64-bit hash of every run without ASCII white space, all words at once in blocks of 8 bytes."""
+    data = b"\n" + data + b"\n" * 8
+    inside = IN_WORD[np.frombuffer(data, np.uint8)]
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    starts, sizes = edges[::2], edges[1::2] - edges[::2]
+    blocks = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+    codes = mixed((blocks[starts] & OWN_BYTES[np.minimum(sizes, 8)]) ^ (sizes.astype(np.uint64) * MIX))
+    for done in range(8, LONG_WORD, 8):
+        at = np.flatnonzero((sizes > done) & (sizes <= LONG_WORD))
+        block = blocks[starts[at] + done] & OWN_BYTES[np.minimum(sizes[at] - done, 8)]
+        codes[at] = mixed(codes[at] * MIX + block)
+    for k in np.flatnonzero(sizes > LONG_WORD).tolist():
+        codes[k] = xxhash.xxh64_intdigest(data[starts[k] : starts[k] + sizes[k]])
+    return starts - 1, codes
 
-def shingles(text: str, words_each: int) -> np.ndarray:
-    """The distinct shingles of a text as sorted 64-bit hashes.
+
+def text_shingles(texts: Iterable[str], words_each: int) -> Iterator[np.ndarray]:
+    """The distinct shingles of each text as sorted 64-bit hashes.
 
     A-Z is lower-cased; words are runs without ASCII white space. A text with fewer words than a
-    shingle has its whole sequence as one, a text without words none.
+    shingle has its whole sequence as one, a text without words none. Texts are hashed in pieces.
     """
-    words = text.encode("utf-8", "replace").translate(LOWER).split()
-    codes = np.fromiter(map(HASHES.__getitem__, words), np.uint64, len(words))
-    return np.unique(windows(codes, min(words_each, len(words)))) if words else codes
+
+    def hashed(piece: list[bytes]) -> Iterator[np.ndarray]:
+        starts, codes = word_hashes(b"\n".join(piece).translate(LOWER))
+        ends = np.searchsorted(starts, np.cumsum([len(data) + 1 for data in piece])).tolist()
+        runs = windows(codes, words_each) if len(codes) >= words_each else codes[:0]
+        first = 0
+        for end in ends:
+            n = end - first
+            own = np.sort(runs[first : end - words_each + 1] if n >= words_each else windows(codes[first:end], n) if n else codes[:0])
+            yield own[np.append(True, own[1:] != own[:-1])] if len(own) else own
+            first = end
+
+    piece, size = [], 0
+    for text in texts:
+        data = text.encode("utf-8", "replace")
+        if piece and size + len(data) > PIECE_BYTES:
+            yield from hashed(piece)
+            piece, size = [], 0
+        piece.append(data)
+        size += len(data)
+    if piece:
+        yield from hashed(piece)
+
+
+def shingles(text: str, words_each: int) -> np.ndarray:
+    """:func:`text_shingles` of one text."""
+    return next(text_shingles([text], words_each))
 
 
 class Threshold:
@@ -79,12 +124,12 @@ class Threshold:
 
 def subset_keys(codes: np.ndarray, threshold: Threshold) -> np.ndarray:
     """One key per subset of the sizes that partners must share, by taking elements away from the sum."""
-    mixed = (codes ^ (codes >> np.uint64(31))) * MIX
-    total, keys = mixed.sum(), []
+    spread = (codes ^ (codes >> np.uint64(31))) * MIX
+    total, keys = spread.sum(), []
     for size in threshold.subset_sizes(len(codes)):
         gone = len(codes) - size
         picks = np.array(list(itertools.combinations(range(len(codes)), gone)), np.int64).reshape(math.comb(len(codes), gone), gone)
-        keys.append(total - mixed[picks].sum(1, dtype=np.uint64) + np.array([size], np.uint64) * MIX)
+        keys.append(total - spread[picks].sum(1, dtype=np.uint64) + np.array([size], np.uint64) * MIX)
     return np.concatenate(keys)
 
 
@@ -226,8 +271,7 @@ class JaccardJoin:
         def summary(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
             for part in lean(parts):
                 rows = []
-                for text in part:
-                    codes = shingles(text, words)
+                for codes in text_shingles(part, words):
                     first = codes[: threshold.prefix(len(codes))] if len(codes) else codes
                     rows.append((len(codes), fingerprint(codes), first.view(np.int64)))
                 yield pd.DataFrame(rows, columns=["n", "print", "prefix"])
@@ -264,7 +308,7 @@ class JaccardJoin:
         @F.pandas_udf("struct<keys array<long>, sketch binary, print binary>")
         def sign(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
             for part in lean(parts):
-                sets = [shingles(t, words) for t in part]
+                sets = text_shingles(part, words)
                 rows = [(*signatures(codes, threshold, held.value, small), fingerprint(codes)) for codes in sets]
                 yield pd.DataFrame([(k.view(np.int64), s, p) for k, s, p in rows], columns=["keys", "sketch", "print"])
 
@@ -280,10 +324,10 @@ class JaccardJoin:
             for left, right in lean(parts):
                 known: dict[str, np.ndarray] = {}
                 result = []
-                for x, y in zip(left, right):
+                for x, codes in zip(left, text_shingles(right, words)):
                     if x not in known:
                         known = {x: shingles(x, words)}
-                    result.append(threshold.linked(known[x], shingles(y, words)))
+                    result.append(threshold.linked(known[x], codes))
                 yield pd.Series(result, dtype=bool)
 
         right = pairs.join(self.rows, pairs["b"] == self.rows["id"]).select("a", "b", F.col("text").alias("right"))

@@ -12,7 +12,7 @@ from corpusloom.llm.archive import archive_pages, archived_pages
 from corpusloom.llm.bpe import Encoder, pieces
 from corpusloom.llm.components import components
 from corpusloom.llm.exact_dedup import exact_duplicates
-from corpusloom.llm.jaccard_join import Threshold, jaccard_components, shingles, subset_keys
+from corpusloom.llm.jaccard_join import Threshold, jaccard_components, shingles, subset_keys, text_shingles, word_hashes
 from corpusloom.llm.packing import pack_documents
 from corpusloom.llm.quality import quality_rules
 from corpusloom.llm.queries import PATTERN, RANKS, URL_RULES
@@ -268,3 +268,21 @@ def test_plain_and_foreign_archives(spark, tmp_path):
     heads = spark.read.format("warc").schema("record_id string").load(str(tmp_path)).collect()
     assert sorted(r.record_id for r in heads) == ["<a>", "<a>", "<b>", "<b>"]
     assert re.match(r"<.>", heads[0].record_id)
+
+
+@pytest.mark.parametrize("width", [1, 2, 3, 5])
+def test_shingles_of_many_texts_at_once(width):
+    """All words of a piece are hashed together, of any length, and no shingle crosses into the next text."""
+    words = ["a", "A", "a\x00", "\x00", "İ", "\x85", "ab" * 4, "ab" * 4 + "c", "b" * 32, "b" * 33, "b" * 33 + "c", "c" * 3_000_000]
+    rng = random.Random(width)
+    texts = ["", " \x0b\x0c", "x", "x\x1cy", *(rng.choice(" \t\n\r").join(rng.choices(words[:-1], k=rng.randrange(9))) for _ in range(300)), words[-1], ""]
+    names, hashes = {}, {}
+    for text, codes in zip(texts, text_shingles(texts, width), strict=True):
+        own = text.encode().lower().split()
+        size = min(width, len(own))
+        expected = {tuple(own[i : i + size]) for i in range(len(own) - size + 1)} if own else set()
+        assert codes.tolist() == sorted(set(codes.tolist())) == shingles(text, width).tolist() and len(codes) == len(expected)
+        if len(expected) == 1:
+            assert names.setdefault(int(codes[0]), expected) == expected and hashes.setdefault(*expected, int(codes[0])) == codes[0]
+    starts, codes = word_hashes(b" ".join(w.encode() for w in words))
+    assert len(starts) == len(words) == len(set(codes.tolist()))
