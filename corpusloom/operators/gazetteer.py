@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.session import materialise
+from corpusloom.session import materialise, small_batches
 
 
 def gazetteer_entries(entries: DataFrame, phrase: str = "phrase", kind: str = "kind") -> DataFrame:
@@ -23,8 +23,10 @@ def entity_spans(messages: DataFrame, entries: DataFrame, key: str = "message_id
     Matching ignores case. From the left, the longest entry that begins at a token is taken, and the search goes on behind it.
     ``entries`` comes from :func:`gazetteer_entries` and may be of any size: a message first learns which lengths
     begin with its words, by a join of its distinct words with a table of first words, and then which of its
-    phrases of those lengths are entries, by a join of its distinct phrases. Neither table is collected.
+    phrases of those lengths are entries, by a join of its distinct phrases. Neither table is collected. Messages
+    go to Python in small batches, for their words take many times the memory of the texts there.
     """
+    small_batches(messages.sparkSession)
     low = F.transform(tokens, lambda w: F.coalesce(F.lower(w), F.lit("")))
     held = materialise(messages.select(key, F.col(tokens).alias("_tokens"), low.alias("_low")).where("_tokens IS NOT NULL"), "to-match")
     firsts = entries.groupBy("first").agg(F.array_sort(F.collect_set("size"), lambda a, b: b - a).alias("sizes"))

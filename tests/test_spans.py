@@ -86,3 +86,16 @@ def test_depths_of_gathered_and_joined_groups_agree(spark, monkeypatch):
     calls.clear()
     depth.tree_depths(frame.where("m <> 100"), ["m"]).collect()
     assert not calls  # no round of joins
+
+
+def test_listed_entities_go_to_python_in_small_batches(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "10000")
+        known = gazetteer.gazetteer_entries(spark.createDataFrame([("w 1", "k")], "phrase string, kind string"))
+        rows = [(i, ["w", "1"]) for i in range(2500)]
+        found = gazetteer.entity_spans(spark.createDataFrame(rows, "message_id long, tokens array<string>").coalesce(1), known)
+        assert found.count() == 2500 and int(spark.conf.get(key)) <= 1000
+    finally:
+        spark.conf.set(key, before)
