@@ -8,13 +8,14 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from corpusloom.llm.char_ngrams import BITS, present
 from corpusloom.llm.common import id_and_text, lean, named, release, sampled
-from corpusloom.session import materialise
+from corpusloom.session import materialise, scratch_path
 
 LENGTHS = (3, 4, 5)
 
@@ -40,6 +41,17 @@ def dense_model(buckets: np.ndarray, values: np.ndarray, bias: float) -> Toxicit
     return ToxicityModel(weights, bias)
 
 
+def sparse_vectors(rows: DataFrame, size: int) -> DataFrame:
+    """``y`` and the sparse vector ``x`` of rows ``y, at, x``, whose places ``at`` are ascending.
+
+    The rows are written as what a vector consists of and read back as vectors, without workers for a Python function.
+    """
+    parts = {"type": F.lit(0).cast("tinyint"), "size": F.lit(size), "indices": F.col("at"), "values": F.col("x")}
+    path = scratch_path(rows.sparkSession, "toxic-features")
+    rows.select("y", F.struct(*[c.alias(name) for name, c in parts.items()]).alias("x")).write.parquet(path)
+    return rows.sparkSession.read.schema(StructType().add("y", "double").add("x", VectorUDT())).parquet(path)
+
+
 def fit_toxicity(
     rows: DataFrame,
     id_col: str = "doc_id",
@@ -150,10 +162,9 @@ class ToxicityFit:
                     "x": np.split(ratios[bucket], cuts) if len(frame) else [],
                 })
 
-        vector = F.udf(lambda at, x: Vectors.sparse(len(buckets), at, x), VectorUDT())
         kept = self.data if without is None else self.data.where(F.col("part") != without)
         train = kept.select("y", "text").mapInPandas(hits, "y double, at array<int>, x array<double>")
-        train = materialise(train, "toxic-features").select("y", vector("at", "x").alias("x")).persist()
+        train = sparse_vectors(train, len(buckets)).persist()
         fitted = LogisticRegression(featuresCol="x", labelCol="y", regParam=1e-4, maxIter=60, standardization=False).fit(train)
         train.unpersist()
         release()

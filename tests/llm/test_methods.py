@@ -7,7 +7,7 @@ from urllib.parse import urljoin
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.llm.toxicity import fit_toxicity, toxicity
+from corpusloom.llm.toxicity import fit_toxicity, sparse_vectors, toxicity
 from corpusloom.llm.urls import alias_edges, resolved, url_verdicts
 
 FOLDER = "/root/testdata/sf0.1"
@@ -88,3 +88,12 @@ def test_one_part_with_all_toxic_rows_leaves_the_bias(spark):
     model = fit_toxicity(spark.createDataFrame(rows, "doc_id long, text string, toxic int"), min_rows=1)
     toxic, plain = model.scores(["awful nasty words here", "plain words number 7"])
     assert toxic > 0.5 > plain
+
+
+def test_sparse_vectors_need_no_python_function(spark):
+    from pyspark.ml.linalg import Vectors
+
+    rows = spark.createDataFrame([(1.0, [0, 3], [0.5, -1.0]), (0.0, [], [])], "y double, at array<int>, x array<double>")
+    made = sparse_vectors(rows, 5)
+    assert {r.y: r.x for r in made.collect()} == {1.0: Vectors.sparse(5, [0, 3], [0.5, -1.0]), 0.0: Vectors.sparse(5, [], [])}
+    assert "BatchEvalPython" not in made._jdf.queryExecution().toString()
