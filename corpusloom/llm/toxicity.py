@@ -109,6 +109,7 @@ class ToxicityFit:
             for (part, y), held in totals.items():
                 at = np.flatnonzero(held)
                 yield pd.DataFrame({"bucket": at, "part": part, "y": y, "n": held[at]})
+            release()
 
         found = data.select("part", "y", "text").mapInPandas(count, "bucket long, part int, y int, n long")
         self.counts = materialise(found.groupBy("bucket", "part", "y").agg(F.sum("n").alias("n")), "toxic-grams")

@@ -4,6 +4,7 @@ import os
 import random
 from urllib.parse import urljoin
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -97,3 +98,11 @@ def test_sparse_vectors_need_no_python_function(spark):
     made = sparse_vectors(rows, 5)
     assert {r.y: r.x for r in made.collect()} == {1.0: Vectors.sparse(5, [0, 3], [0.5, -1.0]), 0.0: Vectors.sparse(5, [], [])}
     assert "BatchEvalPython" not in made._jdf.queryExecution().toString()
+
+
+def test_pairs_of_texts_and_ngrams_are_distinct_and_sorted():
+    from corpusloom.llm.char_ngrams import distinct
+
+    rng = random.Random(5)
+    values = [rng.randrange(-50, 50) << 40 for _ in range(400)]
+    assert distinct(np.array(values, np.int64)).tolist() == sorted(set(values)) and distinct(np.empty(0, np.int64)).tolist() == []
