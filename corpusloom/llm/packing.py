@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.bpe import added_tokens, encoder
@@ -28,17 +28,19 @@ def document_pieces(
     text_col: str = "text",
     keep_ids: bool = False,
     tokenizer_path: str | None = None,
+    packed: bool = False,
 ) -> DataFrame:
     """``id_col, piece, start, length, ids_crc32`` of every document's tokens with ``end_id`` behind them.
 
     A document of more than ``capacity`` tokens is cut into pieces of ``capacity``; the first takes
     the rest and may be shorter. A null or empty text is the end token alone. ``keep_ids`` adds the
-    ids of each piece (array of int). A text that holds an added token of the file ``tokenizer_path``, such as
+    ids of each piece (array of int; ``packed``: bytes that ``unpacked_ids`` reads). A text that holds an added token of the file ``tokenizer_path``, such as
     an end mark, is encoded by that tokenizer; all others have the same ids either way.
     """
     fields = [("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
-    fields += [("ids", pa.list_(pa.int32()))] if keep_ids else []
-    spelled = "piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if keep_ids else "")
+    fields += [("ids", pa.binary() if packed else pa.list_(pa.int32()))] if keep_ids else []
+    spelled = "piece int, start long, length long, ids_crc32 long" + (f", ids {'binary' if packed else 'array<int>'}" if keep_ids else "")
+    kept = pack_ids if packed else lambda piece: np.frombuffer(piece, "<i4")
     end = end_id.to_bytes(4, "little")
 
     @F.arrow_udf(f"array<struct<{spelled}>>")
@@ -58,7 +60,7 @@ def document_pieces(
                 for k, (a, b) in enumerate(zip(edges, edges[1:])):
                     piece = data[4 * a : 4 * b]
                     row = (k, a, b - a, zlib.crc32(piece))
-                    rows.append((*row, np.frombuffer(piece, "<i4")) if keep_ids else row)
+                    rows.append((*row, kept(piece)) if keep_ids else row)
                 counts.append(len(rows))
             columns = zip(*rows) if rows else ((),) * len(fields)
             arrays = [pa.array(c, t) for c, (_, t) in zip(columns, fields)]
@@ -69,6 +71,29 @@ def document_pieces(
     return rows.select(F.col("id").alias(id_col), "p.*")
 
 
+def pack_ids(piece: bytes) -> bytes:
+    """Ids of four bytes each as compressed bytes: of two bytes where all ids fit, of four otherwise."""
+    ids = np.frombuffer(piece, "<u4")
+    short = ids.astype("<u2") if ids.max(initial=0) < 1 << 16 else ids
+    return short.itemsize.to_bytes(1, "little") + pa.compress(short.tobytes(), "zstd", asbytes=True)
+
+
+def unpacked_ids(packed: Column, length: Column) -> Column:
+    """The ids of a piece (array of int) from what ``pack_ids`` made of them and their number."""
+
+    @F.arrow_udf("array<int>")
+    def unpacked(parts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for data, lengths in lean(parts):
+            made = [
+                np.frombuffer(pa.decompress(own[1:], own[0] * n, "zstd"), f"<u{own[0]}").astype(np.int32)
+                for own, n in zip(data.to_pylist(), lengths.to_pylist())
+            ]
+            counts = np.concatenate([[0], np.cumsum([len(ids) for ids in made])]).astype(np.int32)
+            yield pa.ListArray.from_arrays(pa.array(counts), pa.array(np.concatenate(made) if made else [], pa.int32()))
+
+    return unpacked(packed, length)
+
+
 class Packing:
     """Bins and how full each is; the tightest open one for a length is found by one bit operation."""
 
@@ -260,8 +285,10 @@ def pack_documents(
     """``id_col, piece, start, length, ids_crc32, sequence_id, offset`` of every piece of every document.
 
     Pieces of repeated rows are told apart by a row number given when the pieces are written, so
-    each is packed. An empty table gives no rows; other columns are ignored.
+    each is packed. An empty table gives no rows; other columns are ignored. Ids that are kept are written and
+    shuffled in compressed form.
     """
-    pieces = document_pieces(docs, rank_path, pattern, end_id, capacity, id_col, text_col, keep_ids, tokenizer_path)
+    pieces = document_pieces(docs, rank_path, pattern, end_id, capacity, id_col, text_col, keep_ids, tokenizer_path, packed=keep_ids)
     pieces = materialise(pieces.withColumn("uid", F.monotonically_increasing_id()), "pieces")
-    return pack_pieces(pieces, capacity).drop("uid")
+    placed = pack_pieces(pieces, capacity).drop("uid")
+    return placed.withColumn("ids", unpacked_ids("ids", "length")) if keep_ids else placed
