@@ -255,6 +255,18 @@ def chosen_pairs(part: pd.DataFrame, threshold: Threshold, every: bool) -> pd.Da
     return pd.DataFrame({"a": np.where(a < b, a, b), "b": np.where(a < b, b, a), "whole": whole})
 
 
+def distinct_lists(lists: DataFrame) -> DataFrame:
+    """One list of each set of members, that of the smallest key: ``key, id, print, head, rows`` without ``print``.
+
+    Near copies share most elements of their prefixes, and so as many lists with the same rows, which would all give the same pairs.
+    Sets of members are told apart by their size, their smallest id and two 64-bit hashes.
+    """
+    marks = [F.xxhash64(F.lit(seed), "id", "print").alias(f"mark{seed}") for seed in (1, 2)]
+    members = lists.select("key", "head", "rows", *marks).groupBy("key", "head", "rows").agg(*[F.bit_xor(f"mark{seed}").alias(f"mark{seed}") for seed in (1, 2)])
+    kept = members.groupBy("head", "rows", "mark1", "mark2").agg(F.min("key").alias("key")).select("key")
+    return lists.drop("print").join(kept, "key")
+
+
 class JaccardJoin:
     """The steps of :func:`jaccard_components`, with what they share."""
 
@@ -404,7 +416,7 @@ def jaccard_components(
     boundary between them is chosen by cost.
 
     Copies of one set are represented by their smallest id. Pairs of a list are ruled out by sizes and
-    parity sketches, which never reject a linked pair; the others are verified on their whole sets, by
+    parity sketches, which never reject a linked pair; of lists with the same rows one is read. The others are verified on their whole sets, by
     64-bit hashes of the shingles. Where a list has many more possible pairs than rows, a star forest
     of them is verified first, and only pairs of components that are still different afterwards, until
     none is undecided. A list of more than ``list_rows`` rows is first verified against its smallest id, and what
@@ -421,11 +433,12 @@ def jaccard_components(
     firsts = sets.join(groups, (sets["id"] == groups["first"]) & (sets["print"] == groups["print"])).select("id", "n", sets["print"], "prefix")
     firsts = materialise(firsts.dropDuplicates(["id", "print"]), "distinct-sets")
     keyed = join.keyed(firsts, *join.plan(firsts))
-    listed = keyed.select("id", "n", F.explode("keys").alias("key"))
+    listed = keyed.select("id", "n", "print", F.explode("keys").alias("key"))
     least, most = F.min("n"), F.max("n")
     heads = listed.groupBy("key").agg(F.min("id").alias("head"), F.count("*").alias("rows"), least.alias("x"), most.alias("y"))
     heads = materialise(heads.where((F.col("rows") > 2) | (F.col("rows") == 2) & (100 * F.col("x") >= percent * F.col("y"))), "heads")
     lists = materialise(listed.join(heads.drop("x", "y"), "key").drop("n"), "long-lists")
+    lists = materialise(distinct_lists(lists), "distinct-lists")
     tried, found = None, None
     if not lists.where(F.col("rows") > list_rows).isEmpty():
         tried = join.verified(materialise(join.stars(lists, keyed), "pairs"))
