@@ -245,3 +245,29 @@ def test_passed_cuts_shuffle_no_row(spark, monkeypatch, limit):
         assert [got[k] for k in keys] == [1] * cut + [2] * (len(keys) - cut)
     plan = passed._jdf.queryExecution().toString()
     assert ("Join" in plan) == (limit == 0)
+
+
+def test_neighbours_and_sizes_shuffle_rows_once(spark, tmp_path):
+    """Rows stay where the window has put them when sizes are joined by message and range."""
+    from corpusloom.plans import token_queries
+
+    texts = {1: " ".join(f"w{i}" for i in range(2500)), 2: "one", 3: "a b", 4: "", 5: None}
+    docs = spark.createDataFrame([(i, t, "web") for i, t in texts.items()] + [(3, "a b", "web"), (None, "x y", "web")], "doc_id long, text string, source string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        result = token_queries.token_neighbours(spark, str(tmp_path))
+        plan = result._jdf.queryExecution().executedPlan().toString()
+        rows = [tuple(r) for r in result.collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    by_key = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(by_key) == 3  # token rows, partial sizes, sizes by range
+    words = texts[1].split()
+    own = sorted(r for r in rows if r[0] == 1)
+    assert [r[2:5] for r in own] == list(zip(words, ["", *words], [*words[1:], ""]))
+    assert all(abs(r[5] - round(r[1] / 2499, 4)) < 1e-9 for r in own)
+    assert sorted(r for r in rows if r[0] != 1) == [
+        (2, 0, "one", "", "", 0.0), (3, 0, "a", "", "a", 0.0), (3, 0, "a", "a", "b", 0.0), (3, 1, "b", "a", "b", 0.3333), (3, 1, "b", "b", "", 0.3333),
+    ]
