@@ -25,32 +25,37 @@ def entity_spans(messages: DataFrame, entries: DataFrame, key: str = "message_id
     begin with its words, by a join of its distinct words with a table of first words, and then which of its
     phrases of those lengths are entries, by a join of its distinct phrases. Neither table is collected. Messages
     go to Python in small batches, for their words take many times the memory of the texts there.
+
+    The words are written once and shuffled once: both joins that need them read the same columns of the same rows. The words in lower case are made
+    where they are read.
     """
     small_batches(messages.sparkSession)
-    low = F.transform(tokens, lambda w: F.coalesce(F.lower(w), F.lit("")))
-    held = materialise(messages.select(key, F.col(tokens).alias("_tokens"), low.alias("_low")).where("_tokens IS NOT NULL"), "to-match")
+    held = materialise(messages.select(key, F.col(tokens).alias("_tokens")).where("_tokens IS NOT NULL"), "to-match")
+    low = F.transform("_tokens", lambda w: F.coalesce(F.lower(w), F.lit("")))
     firsts = entries.groupBy("first").agg(F.array_sort(F.collect_set("size"), lambda a, b: b - a).alias("sizes"))
-    words = held.select(key, F.explode(F.array_distinct("_low")).alias("first")).join(firsts, "first")
+    words = held.select(key, F.explode(F.array_distinct(low)).alias("first")).join(firsts, "first")
     begins = words.groupBy(key).agg(F.collect_list(F.struct("first", "sizes")).alias("_begins"))
-    held = materialise(held.join(begins, key), "to-match")
 
-    @F.pandas_udf("array<string>")
+    @F.pandas_udf("array<struct<phrase string, n int, head int>>")
     def phrases(low: pd.Series, begins: pd.Series) -> pd.Series:
         rows = []
         for words, own in zip(low, begins):
             words, sizes = list(words), {x["first"]: x["sizes"] for x in own}
-            rows.append(list({" ".join(words[i : i + n]) for i, w in enumerate(words) for n in sizes.get(w, ()) if i + n <= len(words)}))
+            found = {(" ".join(words[i : i + n]), int(n), len(w)) for i, w in enumerate(words) for n in sizes.get(w, ()) if i + n <= len(words)}
+            rows.append([{"phrase": phrase, "n": n, "head": head} for phrase, n, head in found])
         return pd.Series(rows)
 
-    asked = held.select(key, F.explode(phrases("_low", "_begins")).alias("phrase"))
-    found = asked.join(entries.select("phrase", "kind"), "phrase").groupBy(key).agg(F.collect_list(F.struct("phrase", "kind")).alias("_found"))
+    asked = held.join(begins, key).select(key, F.inline(phrases(low, "_begins")))
+    found = asked.join(entries.select("phrase", "kind"), "phrase").groupBy(key).agg(F.collect_list(F.struct("phrase", "n", "head", "kind")).alias("_found"))
 
     @F.pandas_udf("array<struct<start_idx int, n_tokens int, entity string, kind string>>")
-    def spans(tokens: pd.Series, low: pd.Series, begins: pd.Series, found: pd.Series) -> pd.Series:
+    def spans(tokens: pd.Series, low: pd.Series, found: pd.Series) -> pd.Series:
         rows = []
-        for words, lows, own, known in zip(tokens, low, begins, found):
+        for words, lows, known in zip(tokens, low, found):
             words, lows = ["" if w is None else w for w in words], list(lows)
-            sizes, kinds, at, out = {x["first"]: x["sizes"] for x in own}, {x["phrase"]: x["kind"] for x in known}, 0, []
+            sizes, kinds, at, out = {}, {x["phrase"]: x["kind"] for x in known}, 0, []
+            for first, n in sorted({(x["phrase"][: x["head"]], x["n"]) for x in known}, key=lambda x: -x[1]):
+                sizes.setdefault(first, []).append(n)
             while at < len(lows):
                 n = next((n for n in sizes.get(lows[at], ()) if at + n <= len(lows) and " ".join(lows[at : at + n]) in kinds), 0)
                 if n:
@@ -59,5 +64,5 @@ def entity_spans(messages: DataFrame, entries: DataFrame, key: str = "message_id
             rows.append(out)
         return pd.Series(rows)
 
-    matched = held.join(found, key).select(key, F.explode(spans("_tokens", "_low", "_begins", "_found")).alias("s"))
+    matched = held.join(found, key).select(key, F.explode(spans("_tokens", low, "_found")).alias("s"))
     return matched.select(key, "s.*")
