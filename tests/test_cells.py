@@ -24,3 +24,11 @@ def test_packed_bins(spark):
     frame = spark.createDataFrame([(0.0, None), (1.5, 0.5), (float("nan"), 7.0)], "a double, b double")
     rows = frame.select(tr.packed_bins(["a", "b"], [[0.0, 1.0], [0.5]]).alias("x")).collect()
     assert sorted(list(r.x) for r in rows) == [[0, 1], [2, 0], [2, 1]]
+
+
+def test_cells_are_scored_on_all_cores(spark):
+    rows = spark.range(2_000).selectExpr("id % 30 AS a", "id DIV 30 AS b", "CAST(id % 2 AS DOUBLE) AS label").coalesce(1)
+    edges = tr.bin_edges(rows, ["a", "b"])
+    table = tr.cells(rows, ["a", "b"], edges, [rows["label"]])
+    assert table.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert table.agg({"n": "sum"}).first()[0] == 2_000
